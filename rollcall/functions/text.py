@@ -24,8 +24,8 @@ def strip_space(c: Column) -> Column:
 
 
 def strip_nul(c: Column) -> Column:
-    """Drop 0x00 characters."""
-    return F.translate(c, "\x00", "")
+    """Drop 0x00 characters. A search for one character; text without it is passed on as it is."""
+    return F.replace(c, F.lit("\x00"), F.lit(""))
 
 
 def nul_count(c: Column) -> Column:

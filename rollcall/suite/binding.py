@@ -17,8 +17,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from rollcall.plans import gates, marts
+from rollcall.plans.gold import build_gold
 from rollcall.schemas import ENTITY, ESTABLISHMENT
-from rollcall.session import scratch_path
+from rollcall.session import scratch_path, stage
 from rollcall.sources import tables, text_files
 
 # Parameters of the binding: reference date, status values, thresholds suited to these tables.
@@ -34,6 +35,7 @@ MUNIS = [3, 7, 15]
 
 _gold: dict[tuple, str] = {}
 _marts: dict[tuple, dict[str, str]] = {}
+_etl: dict[tuple, DataFrame] = {}
 
 
 class Star:
@@ -146,6 +148,12 @@ class Star:
     def _name(self, stem: str) -> str:
         return f"{stem}_{hashlib.md5(self.folder.encode()).hexdigest()[:8]}"
 
+    def etl_gold(self) -> DataFrame:
+        """Gold built from the raw layout, written once: gates read what was written."""
+        if self._key not in _etl:
+            _etl[self._key] = stage(build_gold(self.ent, self.est, AS_OF), "etl-gold")
+        return _etl[self._key]
+
     def gates(self, gold: DataFrame) -> DataFrame:
         return gates.run_gates(
             gold,

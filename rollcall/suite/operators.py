@@ -233,8 +233,7 @@ def _(s: Star) -> DataFrame:
 @case("agg_count_distinct", """
     SELECT count(*) - count(DISTINCT entity_id) AS repetidos FROM etl_gold""")
 def _(s: Star) -> DataFrame:
-    rows = gold.build_gold(s.ent, s.est, AS_OF)
-    by_id = aggregates.count_by(rows, "entity_id")
+    by_id = aggregates.count_by(s.etl_gold(), "entity_id")
     return by_id.agg((F.sum("n") - F.count("entity_id")).alias("repetidos"))
 
 
