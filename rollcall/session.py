@@ -17,6 +17,8 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.parquet.compression.codec": "zstd",
+    # Recording the Python line of every column expression costs more than planning a small query.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 

@@ -36,6 +36,7 @@ MUNIS = [3, 7, 15]
 _gold: dict[tuple, str] = {}
 _marts: dict[tuple, dict[str, str]] = {}
 _etl: dict[tuple, DataFrame] = {}
+_schemas: dict[tuple[str, str], T.StructType] = {}
 
 
 class Star:
@@ -45,7 +46,11 @@ class Star:
         self.spark, self.folder = spark, folder
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        """A given table; its schema is read from a footer once, not by a job per query."""
+        path = f"{self.folder}/{name}.parquet"
+        if (self.folder, name) not in _schemas:
+            _schemas[self.folder, name] = self.spark.read.parquet(path).schema
+        return self.spark.read.schema(_schemas[self.folder, name]).parquet(path)
 
     @cached_property
     def reg(self) -> DataFrame:
