@@ -65,7 +65,7 @@ def main() -> None:
         "rollcall-bench",
         master=f"local[{cpus}]",
         **{
-            "spark.sql.shuffle.partitions": cpus,
+            "spark.sql.shuffle.partitions": str(int(cpus) * (1 if n_copies == 1 else 8)),
             "spark.driver.memory": os.environ.get("BENCH_MEMORY", "12g"),
             "spark.ui.enabled": "false",
             "spark.ui.showConsoleProgress": "false",
@@ -132,6 +132,7 @@ def main() -> None:
         "growth_mart": lambda: marts.growth_series(mart("mart_growth_muni")),
         "count_by_muni": lambda: marts.count_by_muni(reg),
         "strategic_sample": lambda: strategic.strategic(reg, sec, mun),
+        "strategic_any_rows": lambda: strategic.strategic(reg, sec, mun, repeatable=False),
         "strategic_kpis_full": lambda: strategic.indicators(strategic.selection(reg, sec, mun)),
         "data_quality": lambda: quality.data_quality(reg, sec, AS_OF),
         "regions_available": lambda: compare.regions_available(reg, mun),

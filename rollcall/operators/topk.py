@@ -14,6 +14,18 @@ def top_rows(df: DataFrame, n: int, *order: str | Column) -> DataFrame:
     return df.orderBy(*order).limit(n)
 
 
+def largest_rows(df: DataFrame, n: int, value: str, *ties: str | Column) -> DataFrame:
+    """Rows with the ``n`` largest values, for wide rows and an ``n`` of report size.
+
+    A first pass over the value column alone finds the n-th largest value. Its result is a filter of
+    the second pass that reaches the scan, so row groups whose maximum is below it are not read, and
+    the other columns are not decoded for them. Rows equal to that value all stay until the ties
+    are broken.
+    """
+    floor = top_rows(df.select(value), n, F.col(value).desc()).agg(F.min(value))
+    return top_rows(df.where(F.col(value) >= floor.scalar()), n, F.col(value).desc(), *ties)
+
+
 def first_by_key(df: DataFrame, key: str, n: int, bucket_chars: int = 4) -> DataFrame:
     """First ``n`` rows by a text key, for an ``n`` of sample size.
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from rollcall.operators.aggregates import count_by
 from rollcall.operators.joins import attach_name, keep_named
-from rollcall.operators.topk import first_by_key, top_groups, top_rows
+from rollcall.operators.topk import first_by_key, largest_rows, top_groups
 
 # Size of the sample shown and choices of ranking length.
 SAMPLE_ROWS = 30_000
@@ -32,9 +32,12 @@ def selection(
     return keep_named(rows, mun, "muni_code", city)
 
 
-def sample(rows: DataFrame, n: int = SAMPLE_ROWS) -> DataFrame:
-    """The ``n`` rows with the smallest identifiers: a sample that is the same every time."""
-    return first_by_key(rows, "entity_id", n)
+def sample(rows: DataFrame, n: int = SAMPLE_ROWS, repeatable: bool = True) -> DataFrame:
+    """``n`` rows: those with the smallest identifiers, the same every time.
+
+    When any rows will do, ``repeatable=False`` stops reading as soon as there are enough.
+    """
+    return first_by_key(rows, "entity_id", n) if repeatable else rows.limit(n)
 
 
 def named(rows: DataFrame, sec: DataFrame, mun: DataFrame) -> DataFrame:
@@ -57,9 +60,11 @@ def strategic(
     sector: str | None = None,
     city: str | None = None,
     limit: int | None = SAMPLE_ROWS,
+    repeatable: bool = True,
 ) -> DataFrame:
+    """Entities with names; a sample of them unless ``limit`` is None."""
     rows = selection(reg, sec, mun, sector, city)
-    return named(rows if limit is None else sample(rows, limit), sec, mun)
+    return named(rows if limit is None else sample(rows, limit, repeatable), sec, mun)
 
 
 def indicators(rows: DataFrame) -> DataFrame:
@@ -94,7 +99,7 @@ def rank_capital(
 ) -> DataFrame:
     """Entities with the most capital. Only the n rows found are joined to names."""
     order = (F.col("capital").desc(), F.col("entity_id"))
-    top = top_rows(selection(reg, sec, mun, sector, city), n, *order)
+    top = largest_rows(selection(reg, sec, mun, sector, city), n, "capital", "entity_id")
     rows = attach_name(top, sec, "sector_code", "setor")
     rows = attach_name(rows, mun, "muni_code", "cidade").orderBy(*order)
     return rows.select(

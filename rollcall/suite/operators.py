@@ -201,8 +201,8 @@ def _(s: Star) -> DataFrame:
     SELECT count(*) FILTER (WHERE codigo IS NULL) AS nao_mapeado
     FROM reg LEFT JOIN sec ON sector_code = codigo""")
 def _(s: Star) -> DataFrame:
-    rows = joins.unmatched(s.reg.select("sector_code"), s.sec, "sector_code")
-    return rows.agg(F.count(F.lit(1)).alias("nao_mapeado"))
+    rows = joins.unmatched(aggregates.count_by(s.reg, "sector_code"), s.sec, "sector_code")
+    return rows.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("nao_mapeado"))
 
 
 _TOP_MUNI = """
@@ -389,7 +389,7 @@ def _(s: Star) -> DataFrame:
     ORDER BY reg.capital DESC, entity_id LIMIT 100""")
 def _(s: Star) -> DataFrame:
     positive = s.reg.where(F.col("capital") > 0).select("entity_id", "capital")
-    return topk.top_rows(positive, 100, F.col("capital").desc(), "entity_id")
+    return topk.largest_rows(positive, 100, "capital", "entity_id")
 
 
 @case("topk_groups", """
