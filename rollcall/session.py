@@ -22,11 +22,35 @@ SETTINGS = {
 }
 
 
-def build_session(app: str = "rollcall", master: str | None = None, **extra: str) -> SparkSession:
+# Bytes one shuffle task should meet at most, and bounds on the number of such tasks.
+SHUFFLE_BYTES = 256 << 20
+MIN_SHUFFLE_TASKS, MAX_SHUFFLE_TASKS = 200, 50_000
+
+
+def shuffle_tasks(input_bytes: int) -> int:
+    """Shuffle partitions to start from for an input of this size.
+
+    Adaptive execution merges partitions that turn out small, but splits none except in skewed
+    joins, so a large load must start with enough of them for each to fit in memory.
+    """
+    wanted = -(-input_bytes // SHUFFLE_BYTES)
+    return max(MIN_SHUFFLE_TASKS, min(MAX_SHUFFLE_TASKS, wanted))
+
+
+def build_session(
+    app: str = "rollcall",
+    master: str | None = None,
+    input_bytes: int | None = None,
+    **extra: str,
+) -> SparkSession:
+    """A session with the library's settings, its shuffles sized for ``input_bytes`` if given."""
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
-    for key, value in {**SETTINGS, **extra}.items():
+    settings = {**SETTINGS, **extra}
+    if input_bytes is not None:
+        settings.setdefault("spark.sql.shuffle.partitions", str(shuffle_tasks(input_bytes)))
+    for key, value in settings.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
 

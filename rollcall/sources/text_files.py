@@ -31,15 +31,17 @@ def read_raw(
     schema: T.StructType,
     *,
     multiline: bool = True,
+    mode: str = "FAILFAST",
 ) -> DataFrame:
     """Headerless extract files as text columns, all shards together.
 
     Quoted fields may hold line breaks. A file read with ``multiline`` is one task; extracts known
-    to have none can be split by turning it off.
+    to have none can be split by turning it off. A record with too few or too many fields stops the
+    load, unless another ``mode`` of the CSV reader is asked for.
     """
     return (
         spark.read.schema(schema)
-        .options(**RAW, nullValue=_NO_FIELD_TEXT, multiLine=multiline, mode="PERMISSIVE")
+        .options(**RAW, nullValue=_NO_FIELD_TEXT, multiLine=multiline, mode=mode)
         .csv(paths)
     )
 

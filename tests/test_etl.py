@@ -102,6 +102,19 @@ def test_zip_source_streams_small_blocks(folder):
     assert sum(b.num_rows for b in batches) == 2
 
 
+def test_a_record_of_the_wrong_length_stops_the_load(spark, tmp_path):
+    lines = "\n".join([*ENTITIES, '"1";"too short"']) + "\n"
+    (tmp_path / "bad.csv").write_bytes(lines.encode("latin-1"))
+    with pytest.raises(Exception, match="(?i)malformed"):
+        text_files.read_entities(spark, str(tmp_path / "bad.csv")).collect()
+    lenient = text_files.read_entities(spark, str(tmp_path / "bad.csv"), mode="PERMISSIVE")
+    assert lenient.count() == 5
+    with zipfile.ZipFile(tmp_path / "Empresas0.zip", "w") as z:
+        z.writestr("bad.csv", lines.encode("latin-1"))
+    with pytest.raises(Exception, match="Expected 7 columns"):
+        zip_shards.read_entity_zips(spark, str(tmp_path)).collect()
+
+
 def test_nul_report_and_count(spark, folder):
     report = dict(rows_of(zip_shards.zip_nul_report(spark, f"{folder}/zip", "Empresas*.zip")))
     assert report == {"Empresas0.zip": 0, "Empresas1.zip": 2}
