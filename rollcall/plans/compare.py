@@ -148,6 +148,15 @@ def growth_by_state(reg: DataFrame, values: Sequence, since: int = SINCE_YEAR) -
     return count_by(rows, "uf", F.year("opened").alias("ano"), name="aberturas").orderBy("uf", "ano")
 
 
+def _counts_by_muni(reg: DataFrame, by: str) -> DataFrame:
+    """Entities per region and municipality, counted by stored columns; a prefix is cut from the
+    few codes counted, not from every row."""
+    stored = ["uf", "muni_code"] if by == "uf" else ["muni_code"]
+    rows = reg.where(F.col("muni_code").isNotNull() & _region(by).isNotNull())
+    counts = count_by(rows, *stored).withColumn("muni_code", F.col("muni_code").cast("bigint"))
+    return counts if by == "uf" else counts.withColumn(_KEYS[by], _region(by))
+
+
 def regions_available(reg: DataFrame, mun: DataFrame, by: str = "prefix") -> DataFrame:
     """Every region with its entities and the name of its most populous municipality.
 
@@ -155,13 +164,10 @@ def regions_available(reg: DataFrame, mun: DataFrame, by: str = "prefix") -> Dat
     total both come from those counts.
     """
     key = _KEYS[by]
-    counts = count_by(
-        reg.where(_region(by).isNotNull() & F.col("muni_code").isNotNull()),
-        _region(by).alias(key),
-        F.col("muni_code").cast("bigint").alias("muni_code"),
-    )
     best = F.max(F.struct("n", (-F.col("muni_code")).alias("k")))
-    summed = counts.groupBy(key).agg(F.sum("n").alias("total_empresas"), best.alias("__best"))
+    summed = _counts_by_muni(reg, by).groupBy(key).agg(
+        F.sum("n").alias("total_empresas"), best.alias("__best")
+    )
     top = summed.select(key, "total_empresas", (-F.col("__best.k")).alias("__muni"))
     named = attach_name(top, mun, "__muni", "municipio_mais_comum")
     label = region_label(F.col(key), F.col("municipio_mais_comum"), F.col("total_empresas"))
@@ -195,12 +201,5 @@ def capital_bar(kpis: DataFrame, region: str) -> DataFrame:
 
 def largest_by_region(reg: DataFrame, by: str = "uf") -> DataFrame:
     """The municipality with the most entities in each region."""
-    key = _KEYS[by]
-    rows = reg.where(_region(by).isNotNull() & F.col("muni_code").isNotNull())
-    counts = count_by(
-        rows,
-        _region(by).alias(key),
-        F.col("muni_code").cast("bigint").alias("cod_municipio"),
-        name="qtd",
-    )
-    return top_row(counts, key, "qtd", "cod_municipio")
+    counts = _counts_by_muni(reg, by).withColumnsRenamed({"muni_code": "cod_municipio", "n": "qtd"})
+    return top_row(counts, _KEYS[by], "qtd", "cod_municipio")
