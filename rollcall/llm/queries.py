@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from rollcall.llm import quality, url_filter
+from rollcall.llm import bpe, language, quality, simhash, url_filter
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -76,9 +77,37 @@ def op2_quality(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op4_simhash(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _table(spark, folder, "documents").select("doc_id", "text")
+    found = simhash.near_duplicates(docs)
+    return found.select(
+        F.col("row_id").alias("doc_id"),
+        F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"),
+        "component_id",
+    )
+
+
+def op5_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _table(spark, folder, "documents").select("doc_id", "text")
+    return bpe.digest(bpe.decode(bpe.encode(docs)))
+
+
+def op8_language(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _table(spark, folder, "documents").select("doc_id", "text", "lang")
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 4 == 2, F.lit(False))
+    model = language.train(docs.filter(~held_out))
+    told = language.identify(docs.select("doc_id", "text"), model)
+    return told.select(
+        "doc_id", held_out.alias("held_out"), "lang_pred", F.col("lang_score").alias("score")
+    )
+
+
 QUERIES: dict[str, Query] = {
     "op1_url_filter": op1_url_filter,
     "op2_quality": op2_quality,
+    "op4_simhash": op4_simhash,
+    "op5_bpe": op5_bpe,
+    "op8_language": op8_language,
 }
 SQL: dict[str, str] = {"op1_url_filter": OP1_SQL}
 
