@@ -7,7 +7,19 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rollcall.llm import bpe, language, quality, simhash, url_filter
+from rollcall.llm import (
+    bpe,
+    language,
+    license_scan,
+    line_dedup,
+    mixing,
+    quality,
+    simhash,
+    spans,
+    top_k,
+    url_filter,
+)
+from rollcall.session import ship_package
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -77,6 +89,11 @@ def op2_quality(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op3_spans(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _table(spark, folder, "documents").select("doc_id", "text")
+    return spans.remove_repeated(docs).select("doc_id", "n_sentences", "n_removed", "text")
+
+
 def op4_simhash(spark: SparkSession, folder: str) -> DataFrame:
     docs = _table(spark, folder, "documents").select("doc_id", "text")
     found = simhash.near_duplicates(docs)
@@ -92,6 +109,32 @@ def op5_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return bpe.digest(bpe.decode(bpe.encode(docs)))
 
 
+def op6_top_k(spark: SparkSession, folder: str) -> DataFrame:
+    vectors = top_k.quantized(_table(spark, folder, "embeddings"))
+    return top_k.top_k(vectors, vectors.filter(F.col("vec_id") % top_k.EVERY == 0))
+
+
+OP6_SQL = """
+    WITH good AS (
+        SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS q
+        FROM embeddings WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+          AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    ), scored AS (
+        SELECT a.vec_id AS query_id, b.vec_id,
+               list_sum(list_transform(range(1, len(a.q) + 1), lambda i: a.q[i] * b.q[i])) AS score
+        FROM good a JOIN good b ON a.vec_id % 50 = 0 AND a.vec_id <> b.vec_id
+    ), ranked AS (
+        SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM scored
+    )
+    SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, CAST(score AS BIGINT) AS score
+    FROM ranked WHERE rank <= 5"""
+
+
+def op7_mix(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _table(spark, folder, "documents").select("doc_id", "text", "source")
+    return mixing.mix(docs).select("doc_id", "size", "source_size", "target", "taken", "source")
+
+
 def op8_language(spark: SparkSession, folder: str) -> DataFrame:
     docs = _table(spark, folder, "documents").select("doc_id", "text", "lang")
     held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 4 == 2, F.lit(False))
@@ -102,18 +145,65 @@ def op8_language(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op9_lines(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _table(spark, folder, "documents").select("doc_id", "text")
+    kept = line_dedup.without_common_lines(docs)
+    return kept.select(
+        "doc_id", "n_lines", "n_dropped", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256")
+    )
+
+
+OP9_SQL = r"""
+    WITH split AS (
+        SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents
+    ), listed AS (
+        SELECT doc_id, unnest(lines) AS line, generate_subscripts(lines, 1) AS place FROM split
+    ), keyed AS (
+        SELECT *, translate(trim(line, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+            'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key FROM listed
+    ), common AS (
+        SELECT key, max(doc_id) AS last_doc FROM keyed WHERE length(key) >= 40
+        GROUP BY key HAVING count(DISTINCT doc_id) >= 5
+    ), told AS (
+        SELECT k.*, c.key IS NOT NULL AND k.doc_id <> c.last_doc AS gone
+        FROM keyed k LEFT JOIN common c ON k.key = c.key
+    )
+    SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE gone) AS n_dropped,
+           sha256(coalesce(string_agg(line, chr(10) ORDER BY place) FILTER (WHERE NOT gone), ''))
+               AS kept_sha256
+    FROM told GROUP BY doc_id"""
+
+
+def op10_license(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _table(spark, folder, "documents").select("doc_id", "text")
+    return license_scan.scan(docs).drop("spans")
+
+
 QUERIES: dict[str, Query] = {
     "op1_url_filter": op1_url_filter,
     "op2_quality": op2_quality,
+    "op3_spans": op3_spans,
     "op4_simhash": op4_simhash,
     "op5_bpe": op5_bpe,
+    "op6_top_k": op6_top_k,
+    "op7_mix": op7_mix,
     "op8_language": op8_language,
+    "op9_lines": op9_lines,
+    "op10_license": op10_license,
 }
-SQL: dict[str, str] = {"op1_url_filter": OP1_SQL}
+SQL: dict[str, str] = {"op1_url_filter": OP1_SQL, "op6_top_k": OP6_SQL, "op9_lines": OP9_SQL}
+
+
+def _shipped(query: Query) -> Query:
+    def run(spark: SparkSession, folder: str) -> DataFrame:
+        ship_package(spark)
+        return query(spark, folder)
+
+    return run
 
 
 def queries() -> dict[str, Query]:
-    return dict(QUERIES)
+    return {name: _shipped(query) for name, query in QUERIES.items()}
 
 
 def oracle_sql() -> dict[str, str]:
