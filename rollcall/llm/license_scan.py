@@ -21,7 +21,7 @@ from rollcall.llm.common import KEY, ascii_lower, row_key, whole
 WORDS = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 # Diagonals this far apart are one span; share of a notice's word pairs that must be there; how many
 # times longer than the template a span may be.
-SLACK, MIN_COVER, MAX_STRETCH = 3, 0.6, 1.5
+SLACK, MIN_COVER, MAX_STRETCH = 3, 0.75, 1.5
 # Word pairs of a template, one bit of a number each.
 MAX_PAIRS = 63
 

@@ -73,12 +73,13 @@ def mix(
     row = [F.struct(*docs.columns).alias("row")] if keep_row else []
     size = F.regexp_count(whole(), F.lit(WORD)).cast("bigint")
     sized = docs.select(*row_key(), F.col("source"), size.alias("size"), *row)
-    sized = sized.withColumn("key", F.xxhash64(F.lit(seed), "row_id", "row_hash", "row_check"))
+    key = F.xxhash64(F.lit(seed), "row_id", "row_hash", "row_check")
+    sized = sized.withColumn("key", F.shiftrightunsigned(key, 1))  # 63 bits, never negative
     sized = stage(sized, "sized")
     goals = stage(targets(sized, weights, share, most), "targets")
     largest = goals.agg(F.max("n_rows")).first()[0] or 0
     bits = max(0, -(-largest // RANGE_ROWS) - 1).bit_length()
-    part = F.shiftrightunsigned("key", 64 - bits) if bits else F.lit(0).cast("bigint")
+    part = F.shiftright("key", 63 - bits)
     dealt = sized.withColumn("range", part)
 
     sums = dealt.groupBy("source", "range").agg(F.sum("size").alias("sum"))

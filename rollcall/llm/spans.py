@@ -26,7 +26,7 @@ from pyspark.sql import types as T
 
 from rollcall.llm.common import KEY, blocks, output, row_key, texts
 
-MIN_SENTENCES, MIN_WORDS = 2, 20
+MIN_SENTENCES, MIN_WORDS = 2, 12
 LONG, CUT_EVERY = 24, 8
 
 _BREAK = re.compile(r"(?<=[.!?])\s+|\n\s*")

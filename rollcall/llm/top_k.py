@@ -65,7 +65,7 @@ def search(query: np.ndarray, own: int, columns: np.ndarray, ids: np.ndarray, ma
         block = block if len(alive) == len(ids) else block[:, alive]
         score = score + query[at : at + DIMENSIONS] @ block
         left = min(at + DIMENSIONS, len(query))
-        if left == len(query) or len(alive) <= k:
+        if left == len(query) or len(alive) <= k or score.dtype == object:
             continue
         slack = np.sqrt(rest[left] * mass[n + 1][alive]) * (1 + 1e-9) + 1
         seen = score.astype(np.float64)
@@ -73,6 +73,8 @@ def search(query: np.ndarray, own: int, columns: np.ndarray, ids: np.ndarray, ma
         floor = np.partition(worst, len(worst) - k)[len(worst) - k]
         keep = seen + slack >= floor
         alive, score = alive[keep], score[keep]
+    if score.dtype == object:
+        score = np.array([max(-(2**63), min(2**63 - 1, int(x))) for x in score], dtype=object)
     if len(alive) > k:
         floor = np.sort(score)[-k]
         keep = score >= floor
@@ -90,7 +92,8 @@ def top_k(
 
     Both sides are (vec_id, q). A vector with the query's identifier is the query's own and no
     candidate; ties go to the smaller identifier. Vectors of different lengths are compared as if the
-    shorter ended in zeros. A query whose row is repeated counts once. Scores beyond 64 bits are clipped.
+    shorter ended in zeros. A query whose row is repeated counts once. Scores beyond 64 bits are clipped
+    before they are ranked; numbers that large are scored without bounds.
     """
     queries = queries.dropDuplicates(["vec_id", "q"])
     n_tiles = max(1, -(-vectors.count() // tile))
@@ -118,7 +121,7 @@ def top_k(
             found, score = search(query, own, columns, ids, mass, k)
             out["query_id"] += [own] * len(found)
             out["vec_id"] += ids[found].tolist()
-            out["score"] += [max(-(2**63), min(2**63 - 1, int(s))) for s in score]
+            out["score"] += [int(s) for s in score]
         return pa.table({c: pa.array(v, pa.int64()) for c, v in out.items()})
 
     part = left.unionByName(right).groupBy("tile", "block").applyInArrow(
