@@ -30,6 +30,7 @@ import tiktoken
 import xxhash
 import zstandard
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from rollcall.llm.common import blocks, code_points, output, texts
@@ -209,12 +210,14 @@ def encode(docs: DataFrame, path: str | None = None, text: str = "text") -> Data
         coder = word_encoder(path)
         for batch in batches:
             found = [np.array(coder(w), dtype="<i4").tobytes() for w in batch.column("word").to_pylist()]
-            yield output(batch, word_ids=pa.array(found, pa.binary()))
+            yield output(batch, ("seen_in",), word_ids=pa.array(found, pa.binary()))
 
-    # One exchange by word serves both the distinct words and the join back.
+    # One exchange by word serves both the distinct words and the join back. Spark shares it because
+    # both ask for the same rows and columns: the distinct words come with one block that holds them.
     words = docs.select(text).mapInArrow(words_of, "block bigint, number int, word string")
-    words = words.repartition("word")
-    known = words.select("word").distinct().mapInArrow(encode_words, "word string, word_ids binary")
+    words = words.filter("word IS NOT NULL").repartition("word")  # the join would ask for this filter
+    known = words.groupBy("word").agg(F.max(F.struct("block", "number")).alias("seen_in"))
+    known = known.mapInArrow(encode_words, "word string, word_ids binary")
     told = words.join(known, "word").select("block", "number", "word_ids")
     extra = [T.StructField("bpe_block", T.LongType()), T.StructField("bpe_numbers", T.BinaryType())]
     kept_fields = [f for f in docs.schema.fields if f.name != text]
