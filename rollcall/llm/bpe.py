@@ -224,11 +224,11 @@ def encode(docs: DataFrame, path: str | None = None, text: str = "text") -> Data
     rows = docs.mapInArrow(rows_of, T.StructType([*kept_fields, *extra]))
 
     def put_together(key, left: pa.Table, right: pa.Table) -> pa.Table:
-        if right.num_rows == 0 and left.num_rows:
-            raise RuntimeError("the input changed between two reads: write it to a table first")
         # Blocks of equal texts share a name, and give each word as often as there are such blocks.
         number, order = np.unique(left.column("number").to_numpy(), return_index=True)
-        if not np.array_equal(number, np.arange(len(number))):
+        wanted = [_unpack(data) for data in right.column("bpe_numbers").to_pylist()]
+        most = max((int(w.max(initial=-1)) for w in wanted), default=-1)
+        if len(number) != most + 1 or right.num_rows == 0:
             raise RuntimeError("the input changed between two reads: write it to a table first")
         packed = left.column("word_ids").combine_chunks().take(pa.array(order))
         packed = packed.combine_chunks() if isinstance(packed, pa.ChunkedArray) else packed
@@ -237,8 +237,7 @@ def encode(docs: DataFrame, path: str | None = None, text: str = "text") -> Data
         flat = np.frombuffer(packed.buffers()[2] or b"", np.int32)
         first, count = size[:-1], np.diff(size)
         values, ends = [], [0]
-        for data in right.column("bpe_numbers").to_pylist():
-            which = _unpack(data)
+        for which in wanted:
             many = count[which]
             upto = np.cumsum(many)
             total = int(upto[-1]) if len(upto) else 0

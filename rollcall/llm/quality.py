@@ -21,7 +21,7 @@ from pyspark.sql import types as T
 from rollcall.llm.common import SPACE, blocks, code_points, output, texts
 
 # Bounds of the sample the classifier learns from.
-MAX_DOCS, MAX_CHARS = 4_000, 12_000_000
+MAX_DOCS, MAX_CHARS = 2_000, 4_000_000
 BUCKETS = 1 << 18
 CHAR_SIZES = (1, 2, 3, 4)
 THRESHOLD = 0.5
@@ -101,22 +101,20 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
 def sample_labelled(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """Text and label of at most ``MAX_DOCS`` labelled rows and ``MAX_CHARS`` code points, by hash.
 
-    Labels are one per identifier (the lowest, if several) and not null. Lengths and identifiers
-    decide which rows belong to the sample; only their texts are then read.
+    Labels are one per identifier (the lowest, if several) and not null. Identifiers, hashes and lengths
+    decide which rows belong to the sample; no text moves but theirs.
     """
     known = labels.filter("doc_id IS NOT NULL AND quality IS NOT NULL")
     known = known.groupBy("doc_id").agg(F.min("quality").alias("label"))
-    found = docs.filter("text IS NOT NULL").select("doc_id", "text").join(known, "doc_id")
-    order = [F.xxhash64(F.col("doc_id").cast("string"), F.lit(7)), F.col("doc_id"), F.xxhash64("text")]
-    picked = found.select("doc_id", F.xxhash64("text").alias("h"), F.char_length("text").alias("n"),
-                          F.struct(*order).alias("o"))
-    picked = picked.orderBy("o").limit(MAX_DOCS)
-    upto = Window.orderBy("o").rowsBetween(Window.unboundedPreceding, 0)
+    docs = docs.filter("text IS NOT NULL").withColumn("mark", F.xxhash64("text"))
+    found = docs.select("doc_id", "mark", F.char_length("text").alias("n")).join(known, "doc_id")
+    order = F.struct(F.xxhash64(F.col("doc_id").cast("string"), F.lit(7)), "doc_id", "mark")
+    picked = found.withColumn("order", order).orderBy("order").limit(MAX_DOCS)
+    upto = Window.orderBy("order").rowsBetween(Window.unboundedPreceding, 0)
     picked = picked.withColumn("upto", F.sum("n").over(upto)).filter(F.col("upto") <= MAX_CHARS)
-    chosen = picked.select("doc_id", "h").distinct()
-    return found.withColumn("h", F.xxhash64("text")).join(chosen, ["doc_id", "h"], "left_semi").select(
-        "doc_id", "text", "label"
-    )
+    # At most MAX_DOCS rows of three numbers.
+    chosen = F.broadcast(picked.select("doc_id", "mark", "label").distinct())
+    return docs.join(chosen, ["doc_id", "mark"]).select("doc_id", "text", "label")
 
 
 def _features(sample: DataFrame) -> list[tuple[int, int, np.ndarray, np.ndarray]]:
@@ -159,12 +157,12 @@ def train(docs: DataFrame, labels: DataFrame, rounds: int = 150, penalty: float
         return Classifier(None)
     label = np.array([r[1] > 0 for r in rows], dtype=np.float64)
     used = np.unique(np.concatenate([r[2] for r in rows]))
-    number = np.searchsorted(used, np.concatenate([r[2] for r in rows]))
+    number = np.searchsorted(used, np.concatenate([r[2] for r in rows])).astype(np.int32)
     # Frequencies are tiny; roots of a bucket's usual frequency bring all features to one scale.
-    share = np.concatenate([r[3] for r in rows]).astype(np.float64)
-    row = np.repeat(np.arange(len(rows)), [len(r[2]) for r in rows])
+    share = np.concatenate([r[3] for r in rows])
+    row = np.repeat(np.arange(len(rows), dtype=np.int32), [len(r[2]) for r in rows])
     scale = 1 / np.sqrt(np.bincount(number, share * share, len(used)) / len(rows) + 1e-8)
-    value = share * np.minimum(scale, 300)[number]
+    value = share * np.minimum(scale, 300).astype(np.float32)[number]
     aside = np.arange(len(rows)) % 5 == 4
     fit = ~aside if len({*label[~aside]}) == 2 else np.ones(len(rows), dtype=bool)
     weight, bias = np.zeros(len(used)), float(np.log(label.mean() / (1 - label.mean())))
