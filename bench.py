@@ -43,8 +43,10 @@ def copies(df: DataFrame, n: int, id_column: str, *day_columns: str) -> DataFram
         return df
     number = F.col(id_column).cast("bigint") * n + F.col("copy")
     shift = {c: F.date_sub(F.col(c), F.col("copy").cast("int")) for c in day_columns}
-    # Small tables come in one file; without this one task would make all copies.
-    made = df.repartition(64).withColumn("copy", F.explode(F.sequence(F.lit(0), F.lit(n - 1))))
+    # Small tables come in one file; without this one task would make all copies. A task makes about
+    # 250,000 rows, whatever the size.
+    tasks = max(df.sparkSession.sparkContext.defaultParallelism, -(-df.count() * n // 250_000))
+    made = df.repartition(tasks).withColumn("copy", F.explode(F.sequence(F.lit(0), F.lit(n - 1))))
     made = made.withColumns({**shift, id_column: F.lpad(number.cast("string"), 8, "0")})
     return made.drop("copy")
 
@@ -131,8 +133,10 @@ def main() -> None:
         "growth_raw": lambda: marts.growth_by_muni(reg, mun, since),
         "growth_mart": lambda: marts.growth_series(mart("mart_growth_muni")),
         "count_by_muni": lambda: marts.count_by_muni(reg),
-        "strategic_sample": lambda: strategic.strategic(reg, sec, mun),
-        "strategic_any_rows": lambda: strategic.strategic(reg, sec, mun, repeatable=False),
+        "strategic_sample": lambda: strategic.strategic(reg, sec, mun, limit=strategic.SAMPLE_ROWS),
+        "strategic_any_rows": lambda: strategic.strategic(
+            reg, sec, mun, limit=strategic.SAMPLE_ROWS, repeatable=False
+        ),
         "strategic_kpis_full": lambda: strategic.indicators(strategic.selection(reg, sec, mun)),
         "data_quality": lambda: quality.data_quality(reg, sec, AS_OF),
         "regions_available": lambda: compare.regions_available(reg, mun),

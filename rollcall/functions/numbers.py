@@ -7,6 +7,9 @@ from pyspark.sql import functions as F
 
 from rollcall.schemas import MONEY
 
+# What counts as an amount in the extracts.
+AMOUNT = r"^ *-?[0-9]+([,.][0-9]{1,2})? *\z"
+
 
 def to_long(c: Column) -> Column:
     """Whole number, NULL where the text is none."""
@@ -18,10 +21,18 @@ def to_int(c: Column) -> Column:
 
 
 def decimal_comma(c: Column) -> Column:
-    """Amount from text with a decimal comma; 0 where there is none."""
-    return F.coalesce(
-        F.replace(c, F.lit(","), F.lit(".")).try_cast(MONEY), F.lit(0).cast(MONEY)
-    )
+    """Amount from text with a decimal comma: 0 where there is none, NULL where it is no amount.
+
+    An amount has up to two decimals and no marks between thousands. Text that is none, and an amount
+    too large for the column, is NULL and never 0: :func:`unreadable_amount` finds it.
+    """
+    amount = F.replace(c, F.lit(","), F.lit(".")).try_cast(MONEY)
+    return F.when(c.isNull() | (F.trim(c) == ""), F.lit(0).cast(MONEY)).when(c.rlike(AMOUNT), amount)
+
+
+def unreadable_amount(c: Column) -> Column:
+    """True for text that should be an amount and cannot be kept as one."""
+    return decimal_comma(c).isNull()
 
 
 def round_ratio(num: Column, den: Column, decimals: int) -> Column:

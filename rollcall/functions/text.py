@@ -2,13 +2,18 @@
 
 from __future__ import annotations
 
+import re
+from collections.abc import Sequence
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
 def pad_id(c: Column, width: int = 8) -> Column:
-    """Left-pad an identifier with zeros to a fixed width (longer ones are cut)."""
-    return F.lpad(c, width, "0")
+    """Left-pad an identifier with zeros to a width; longer ones stay as they are, so that no two meet."""
+    return F.when(F.length(c) < width, F.lpad(c, width, "0")).otherwise(c)
 
 
 def blank_to_null(c: Column, *blanks: str) -> Column:
@@ -40,10 +45,33 @@ def code_prefix(code: Column, n: int = 2, pad: int | None = None) -> Column:
     """
     digits = code.cast("string")
     if pad is not None:
-        digits = F.lpad(digits, pad, "0")
+        digits = pad_id(digits, pad)
     return F.substring(digits, 1, n)
 
 
+def has_prefix(code: Column, prefixes: Sequence[str], n: int = 2) -> Column:
+    """True where :func:`code_prefix` of a whole-number code is one of ``prefixes``.
+
+    Codes that begin with given digits form one range of numbers for each length, so the test is a list
+    of comparisons that reaches the scan, and no row is turned into text. A prefix shorter than ``n`` is
+    that very code. Prefixes that are no such digits match nothing, or are compared as text if negative.
+    """
+    tests = []
+    for prefix in dict.fromkeys(prefixes):
+        if not re.fullmatch("[0-9]+", prefix) or len(prefix) > n or prefix != str(int(prefix)):
+            if prefix.startswith("-"):
+                tests.append(code_prefix(code, n) == prefix)
+        elif len(prefix) < n:
+            tests.append(code == int(prefix))
+        else:
+            for digits in range(19 - len(prefix) + 1):
+                low = int(prefix) * 10**digits
+                high = min(low + 10**digits - 1, 2**63 - 1)
+                if low <= high:
+                    tests.append((code >= low) & (code <= high))
+    return reduce(or_, tests) if tests else F.lit(False)
+
+
 def truncate(c: Column, n: int = 40) -> Column:
     return F.substring(c, 1, n)
 

@@ -1,4 +1,4 @@
-"""Side-by-side comparison of two to four regions.
+"""Side-by-side comparison of any regions.
 
 A region is a state column (``uf``), a two-digit prefix of the municipality code (``prefix``), or a
 municipality (``muni``).
@@ -6,6 +6,7 @@ municipality (``muni``).
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -19,14 +20,14 @@ from rollcall.functions.labels import (
     state_name,
 )
 from rollcall.functions.numbers import money_mean, percent
-from rollcall.functions.text import code_prefix
+from rollcall.functions.text import code_prefix, has_prefix
 from rollcall.operators.aggregates import count_by, pivot_sum
+from rollcall.operators.filters import opened_since
 from rollcall.operators.joins import attach_name
 from rollcall.operators.topk import top_rows
-from rollcall.operators.windows import rank_groups, top_row
+from rollcall.operators.windows import top_row
 
-# Regions compared at once, sectors shown, first year, choices offered.
-MIN_REGIONS, MAX_REGIONS = 2, 4
+# Sectors shown, first year, choices offered.
 TOP_SECTORS = 8
 SINCE_YEAR = 2000
 TOP_MUNIS = 100
@@ -45,12 +46,22 @@ def _region(by: str, muni: str = "muni_code") -> Column:
 
 
 def _chosen(df: DataFrame, by: str, values: Sequence, muni: str = "muni_code") -> DataFrame:
-    """Rows of the chosen regions, with the region under its published name."""
+    """Rows of the chosen regions, any number of them; the filter is one that reaches the scan."""
     values = list(dict.fromkeys(values))
-    if not MIN_REGIONS <= len(values) <= MAX_REGIONS:
-        raise ValueError(f"choose {MIN_REGIONS} to {MAX_REGIONS} regions")
-    region = _region(by, muni)
-    return df.where(region.isin(values)).withColumn(_KEYS[by], region)
+    if by == "prefix":
+        return df.where(has_prefix(F.col(muni), values))
+    return df.where(_region(by, muni).isin(values))
+
+
+def _summed(df: DataFrame, by: str, *keys: Column, **sums: Column) -> DataFrame:
+    """Sums per region: facts are grouped by a stored column, a prefix is cut from the few codes."""
+    stored = "uf" if by == "uf" else "muni_code"
+    grouped = df.groupBy(stored, *keys).agg(*[c.alias(n) for n, c in sums.items()])
+    grouped = grouped.withColumn(_KEYS[by], _region(by))
+    if by != "prefix":
+        return grouped
+    names = [c for c in grouped.columns if c not in {stored, _KEYS[by], *sums}]
+    return grouped.groupBy(_KEYS[by], *names).agg(*[F.sum(n).alias(n) for n in sums])
 
 
 def _labelled(df: DataFrame, by: str, mun: DataFrame | None) -> DataFrame:
@@ -71,10 +82,9 @@ def compare_kpis(
 ) -> DataFrame:
     """Entities and mean positive capital of each chosen region."""
     key, positive = _KEYS[by], F.col("capital") > 0
-    sums = _chosen(reg, by, values).groupBy(key).agg(
-        F.count(F.lit(1)).alias("total_empresas"),
-        F.sum(F.when(positive, F.col("capital"))).alias("__capital"),
-        F.count_if(positive).alias("__positive"),
+    sums = _summed(
+        _chosen(reg, by, values), by, total_empresas=F.count(F.lit(1)),
+        __capital=F.sum(F.when(positive, F.col("capital"))), __positive=F.count_if(positive),
     )
     kpis = sums.select(
         key,
@@ -94,19 +104,21 @@ def compare_sectors(
 ) -> DataFrame:
     """Percentage of each chosen region's entities in the selection's largest sector divisions.
 
-    The percentage is of all divisions, so those shown do not add up to 100. Facts are read once:
-    region totals, division totals and the division ranking are windows over the grouped rows, at
-    most four regions times a hundred two-digit divisions.
+    The percentage is of all divisions, so those shown do not add up to 100. Facts are read once, by
+    stored codes; each division gathers its regions, at most one row for each, and a top-n of the
+    divisions is opened again. So no task holds all regions times all divisions.
     """
     key = _KEYS[by]
     rows = _chosen(reg.where(F.col("sector_code").isNotNull()), by, values)
-    base = count_by(rows, key, code_prefix(F.col("sector_code"), pad=pad).alias("divisao"))
-    ranked = (
-        base.withColumn("__region", F.sum("n").over(Window.partitionBy(key)))
-        .withColumn("__division", F.sum("n").over(Window.partitionBy("divisao")))
-        .withColumn("__rank", rank_groups(F.col("__division"), F.col("divisao")))
+    codes = _summed(rows, by, F.col("sector_code"), n=F.count(F.lit(1)))
+    division = code_prefix(F.col("sector_code"), pad=pad).alias("divisao")
+    base = codes.groupBy(key, division).agg(F.sum("n").alias("n"))
+    base = base.withColumn("__region", F.sum("n").over(Window.partitionBy(key)))
+    divisions = base.groupBy("divisao").agg(
+        F.sum("n").alias("__division"), F.collect_list(F.struct(key, "n", "__region")).alias("__rows")
     )
-    shares = ranked.where(F.col("__rank") <= top_n).select(
+    top = top_rows(divisions, top_n, F.col("__division").desc(), "divisao")
+    shares = top.select("divisao", F.inline("__rows")).select(
         key, "divisao", percent(F.col("n"), F.col("__region"), 2).alias("pct")
     )
     return (
@@ -135,6 +147,7 @@ def compare_growth(
     if by == "uf":
         raise ValueError("the growth mart has no state column")
     rows = _chosen(mart.where(F.col("ano") >= since), by, values, "cod_municipio")
+    rows = rows.withColumn(_KEYS[by], _region(by, "cod_municipio"))
     if by == "muni":
         rows = rows.select("cod_municipio", "ano", F.col("total").alias("aberturas"))
         return _labelled(rows, by, mun).orderBy("cod_municipio", "ano")
@@ -144,7 +157,7 @@ def compare_growth(
 
 def growth_by_state(reg: DataFrame, values: Sequence, since: int = SINCE_YEAR) -> DataFrame:
     """Openings per chosen state and year, from the gold table."""
-    rows = _chosen(reg.where(F.year("opened") >= since), "uf", values)
+    rows = _chosen(opened_since(reg, dt.date(since, 1, 1)), "uf", values)
     return count_by(rows, "uf", F.year("opened").alias("ano"), name="aberturas").orderBy("uf", "ano")
 
 

@@ -9,9 +9,8 @@ from rollcall.operators.aggregates import count_by
 from rollcall.operators.joins import attach_name, keep_named
 from rollcall.operators.topk import first_by_key, largest_rows, top_groups
 
-# Size of the sample shown and choices of ranking length.
+# Fixed value: size of the published sample.
 SAMPLE_ROWS = 30_000
-RANK_LENGTHS = (10, 25, 50, 100)
 
 
 def filter_options(codes: DataFrame) -> DataFrame:
@@ -32,7 +31,7 @@ def selection(
     return keep_named(rows, mun, "muni_code", city)
 
 
-def sample(rows: DataFrame, n: int = SAMPLE_ROWS, repeatable: bool = True) -> DataFrame:
+def sample(rows: DataFrame, n: int, repeatable: bool = True) -> DataFrame:
     """``n`` rows: those with the smallest identifiers, the same every time.
 
     When any rows will do, ``repeatable=False`` stops reading as soon as there are enough.
@@ -59,10 +58,10 @@ def strategic(
     mun: DataFrame,
     sector: str | None = None,
     city: str | None = None,
-    limit: int | None = SAMPLE_ROWS,
+    limit: int | None = None,
     repeatable: bool = True,
 ) -> DataFrame:
-    """Entities with names; a sample of them unless ``limit`` is None."""
+    """Entities with names: all of them, or a sample of ``limit`` rows if one is asked for."""
     rows = selection(reg, sec, mun, sector, city)
     return named(rows if limit is None else sample(rows, limit, repeatable), sec, mun)
 
@@ -99,7 +98,7 @@ def rank_capital(
 ) -> DataFrame:
     """Entities with the most capital. Only the n rows found are joined to names."""
     order = (F.col("capital").desc(), F.col("entity_id"))
-    top = largest_rows(selection(reg, sec, mun, sector, city), n, "capital", "entity_id")
+    top = largest_rows(selection(reg, sec, mun, sector, city), n, "capital", "entity_id", nulls=False)
     rows = attach_name(top, sec, "sector_code", "setor")
     rows = attach_name(rows, mun, "muni_code", "cidade").orderBy(*order)
     return rows.select(

@@ -24,19 +24,19 @@ SETTINGS = {
 }
 
 
-# Bytes one shuffle task should meet at most, and bounds on the number of such tasks.
+# Bytes one shuffle task should meet at most, and the least number of such tasks.
 SHUFFLE_BYTES = 256 << 20
-MIN_SHUFFLE_TASKS, MAX_SHUFFLE_TASKS = 200, 50_000
+MIN_SHUFFLE_TASKS = 200
 
 
 def shuffle_tasks(input_bytes: int) -> int:
     """Shuffle partitions to start from for an input of this size.
 
     Adaptive execution merges partitions that turn out small, but splits none except in skewed
-    joins, so a large load must start with enough of them for each to fit in memory.
+    joins, so a large load must start with enough of them for each to fit in memory: 372,530 for
+    100 TB, without an upper bound.
     """
-    wanted = -(-input_bytes // SHUFFLE_BYTES)
-    return max(MIN_SHUFFLE_TASKS, min(MAX_SHUFFLE_TASKS, wanted))
+    return max(MIN_SHUFFLE_TASKS, -(-input_bytes // SHUFFLE_BYTES))
 
 
 def build_session(

@@ -19,9 +19,17 @@ def column(spark, values, kind, build):
     return [r["y"] for r in sorted(rows)]
 
 
-def test_pad_id_fills_and_cuts(spark):
-    got = column(spark, ["123", "12345678", "123456789", None], "string", text.pad_id)
-    assert got == ["00000123", "12345678", "12345678", None]
+def test_pad_id_fills_and_never_cuts(spark):
+    got = column(spark, ["123", "12345678", "123456781", "123456782", None], "string", text.pad_id)
+    assert got == ["00000123", "12345678", "123456781", "123456782", None]
+
+
+def test_has_prefix_is_code_prefix(spark):
+    codes = [0, 1, 7, 12, 13, 120, 129, 130, 1299, 12 * 10**17, 92 * 10**17, 2**63 - 1, -12, -1, None]
+    for prefixes in (["12"], ["1"], ["92", "7"], ["-1"], ["0", "13"], ["012", "x", ""], []):
+        want = [None if c is None else str(c)[:2] in prefixes for c in codes]
+        got = column(spark, codes, "bigint", lambda c: text.has_prefix(c, prefixes))
+        assert [bool(g) for g in got] == [bool(w) for w in want], prefixes
 
 
 def test_blank_to_null(spark):
@@ -59,9 +67,17 @@ def test_number_texts(spark):
 
 
 def test_decimal_comma(spark):
-    values = ["1234,50", "0,00", "", None, "abc", "1000000,00"]
+    values = ["1234,50", "0,00", "", None, "  ", "1000000,00", "12,3", "7", "-5,00", " 8,00 "]
     got = column(spark, values, "string", numbers.decimal_comma)
-    assert got == [Decimal(v) for v in ("1234.50", "0.00", "0.00", "0.00", "0.00", "1000000.00")]
+    want = ("1234.50", "0", "0", "0", "0", "1000000", "12.3", "7", "-5", "8")
+    assert got == [Decimal(v) for v in want]
+
+
+def test_what_is_no_amount_is_null_and_found(spark):
+    values = ["abc", "1.234,56", "20000000000000000,00", "12,345", "1,2,3", ",5"]
+    assert column(spark, values, "string", numbers.decimal_comma) == [None] * len(values)
+    assert all(column(spark, values, "string", numbers.unreadable_amount))
+    assert not any(column(spark, ["", None, "1,00"], "string", numbers.unreadable_amount))
 
 
 def test_to_long_rejects_what_is_no_number(spark):

@@ -66,7 +66,7 @@ def test_filter_options(four):
 
 
 def test_strategic_indicators(four):
-    rows = strategic.sample(strategic.selection(*four))
+    rows = strategic.sample(strategic.selection(*four), 30_000)
     kpi = strategic.indicators(rows).first()
     assert (kpi.empresas, kpi.capital_total) == (3, Decimal(850000))
     assert kpi.capital_medio == pytest.approx(850000 / 3)
@@ -210,11 +210,14 @@ def test_bubbles_selection_policies(towns):
     assert years == {1996}
 
 
-def test_comparison_takes_two_to_four_regions(towns):
+def test_comparison_takes_any_number_of_regions(towns):
     reg, mun = towns
-    for values in (["35"], ["35", "35"], ["11", "35", "41", "42", "43"]):
-        with pytest.raises(ValueError, match="2 to 4"):
-            compare.compare_kpis(reg, "prefix", values)
+    every = {r.cod_uf for r in compare.regions_available(reg, mun).collect()}
+    for values in ([], ["35"], ["35", "35"], ["11", "35", "41", "42", "43", "99"]):
+        kpis = compare.compare_kpis(reg, "prefix", values)
+        assert {r.cod_uf for r in kpis.collect()} == every & set(values)
+        shares = compare.compare_sectors(reg, "prefix", values)
+        assert {r.cod_uf for r in shares.collect()} <= every & set(values)
     with pytest.raises(ValueError, match="names"):
         compare.compare_kpis(reg, "muni", [1101, 3501])
     with pytest.raises(ValueError, match="by is"):
@@ -286,6 +289,23 @@ def test_first_by_key_with_a_hot_prefix(spark):
     assert topk.first_by_key(df.where(F.lit(False)), "entity_id", 5).count() == 0
 
 
+def test_first_by_key_with_nulls_and_a_common_prefix(spark):
+    ids = [None] * 5 + [f"1234{i:05d}" for i in range(300)]
+    df = spark.createDataFrame([(i,) for i in ids], "entity_id string").repartition(4)
+    for n in (3, 5, 7, 200, 400):
+        got = [r.entity_id for r in topk.first_by_key(df, "entity_id", n).collect()]
+        assert got == ids[:n]
+
+
+def test_largest_rows_fills_up_with_nulls(spark):
+    df = spark.createDataFrame([(10, "b"), (None, "c"), (None, "a"), (7, "d")], "v int, k string")
+    for n in (1, 2, 3, 4, 9):
+        got = [(r.v, r.k) for r in topk.largest_rows(df, n, "v", "k").collect()]
+        assert got == [(10, "b"), (7, "d"), (None, "a"), (None, "c")][:n]
+    known = topk.largest_rows(df, 4, "v", "k", nulls=False)
+    assert [r.v for r in known.collect()] == [10, 7]
+
+
 def test_spread_is_the_same_from_any_counting(spark):
     rng = random.Random(5)
     values = [rng.choice([7, rng.randrange(500)]) for _ in range(999)]

@@ -1,7 +1,6 @@
 """Session sizing and the shared folder."""
 
 from rollcall.session import (
-    MAX_SHUFFLE_TASKS,
     MIN_SHUFFLE_TASKS,
     SHUFFLE_BYTES,
     scratch_path,
@@ -15,7 +14,7 @@ def test_shuffle_tasks_follow_the_input():
     assert shuffle_tasks(0) == MIN_SHUFFLE_TASKS
     assert shuffle_tasks(1000 * SHUFFLE_BYTES) == 1000
     assert shuffle_tasks(1000 * SHUFFLE_BYTES + 1) == 1001
-    assert shuffle_tasks(100 * 10**12) == MAX_SHUFFLE_TASKS
+    assert shuffle_tasks(100 * 10**12) == 372_530
 
 
 def test_scratch_is_below_the_configured_folder(spark):
