@@ -7,8 +7,8 @@ import datetime as dt
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rollcall.functions.dates import parse_compact, plausible_opening
-from rollcall.functions.numbers import decimal_comma, to_int, to_long
+from rollcall.functions.dates import is_compact_date, parse_compact, plausible_opening
+from rollcall.functions.numbers import decimal_comma, to_int, to_long, unreadable_amount
 from rollcall.functions.text import blank_to_null, pad_id
 from rollcall.operators.filters import split_rows
 from rollcall.schemas import GOLD
@@ -38,6 +38,34 @@ def quarantine_count(
     return set_aside.agg(F.count(F.lit(1)).alias("quarantined"))
 
 
+def quarantine_reasons(
+    entities: DataFrame, establishments: DataFrame, as_of: dt.date | str | None = None
+) -> DataFrame:
+    """(reason, n) of everything a load sets aside or cannot read as it stands.
+
+    Head offices are left out of gold for their opening date: missing, no date, or out of range. Amounts
+    that cannot be read are NULL in gold, identifiers of more than eight characters stay whole.
+    """
+    opened = F.col("data_inicio_atividade")
+    compact = is_compact_date(opened) & parse_compact(opened).isNotNull()
+    why = (
+        F.when(opened.isNull() | (opened == ""), "abertura_ausente")
+        .when(F.coalesce(compact, F.lit(False)), "abertura_fora_do_intervalo")
+        .otherwise("abertura_invalida")
+    )
+    _, aside = split_quarantine(establishments, as_of)
+    of_dates = aside.groupBy(why.alias("reason")).agg(F.count(F.lit(1)).alias("n"))
+    counted = entities.agg(
+        F.count_if(unreadable_amount(F.col("capital_social"))).alias("capital_ilegivel"),
+        F.count_if(F.length("cnpj_basico") > 8).alias("identificador_longo"),
+    )
+    of_entities = counted.selectExpr(
+        "stack(2, 'capital_ilegivel', capital_ilegivel, 'identificador_longo', identificador_longo)"
+        " AS (reason, n)"
+    )
+    return of_dates.unionByName(of_entities.where("n > 0"))
+
+
 def typed_entities(entities: DataFrame) -> DataFrame:
     return entities.select(
         pad_id(F.col("cnpj_basico")).alias("entity_id"),

@@ -7,6 +7,7 @@ shuffled only as partial aggregates, and never joined.
 from __future__ import annotations
 
 import datetime as dt
+from functools import cached_property
 from typing import Any
 
 from pyspark.sql import Column, DataFrame
@@ -20,6 +21,7 @@ from rollcall.operators.aggregates import count_by, spread_of_days, weighted_mea
 from rollcall.operators.filters import closed_spans, opened_since, where_in
 from rollcall.operators.joins import attach_name, keep_groups
 from rollcall.operators.topk import top_groups, top_rows
+from rollcall.session import stage
 
 # Status codes, thresholds and percentiles of the published reports.
 ACTIVE = 2
@@ -41,7 +43,11 @@ def survival_by_sector(
     reg: DataFrame, sec: DataFrame, *, closed: Any = CLOSED, min_n: int = MIN_SECTOR_SIZE
 ) -> DataFrame:
     """Years from opening to closing per sector name: count, mean and percentiles."""
-    counts = count_by(closed_spans(reg, closed), "sector_code", "days")
+    return _survival(count_by(closed_spans(reg, closed), "sector_code", "days"), sec, min_n)
+
+
+def _survival(counts: DataFrame, sec: DataFrame, min_n: int) -> DataFrame:
+    """The survival figures from (sector_code, days, n)."""
     named = attach_name(counts, sec, "sector_code", "descricao").select(
         sector_label(F.col("descricao"), F.col("sector_code")).alias("setor"), "days", "n"
     )
@@ -151,8 +157,14 @@ def division_totals(reg: DataFrame, pad: int | None = None) -> DataFrame:
     ``pad=7`` restores the leading zeros that numeric sector codes have lost.
     """
     known = reg.where((F.col("capital") >= 0) & F.col("sector_code").isNotNull())
-    return known.groupBy(code_prefix(F.col("sector_code"), pad=pad).alias("divisao_cnae")).agg(
-        F.count(F.lit(1)).alias("total_empresas"), F.sum("capital").alias("capital_total")
+    codes = known.groupBy("sector_code").agg(F.count(F.lit(1)).alias("n"), F.sum("capital").alias("capital"))
+    return _division_figures(codes, pad)
+
+
+def _division_figures(codes: DataFrame, pad: int | None = None) -> DataFrame:
+    """Divisions from (sector_code, n, capital): prefixes are cut from codes, not from facts."""
+    return codes.groupBy(code_prefix(F.col("sector_code"), pad=pad).alias("divisao_cnae")).agg(
+        F.sum("n").alias("total_empresas"), F.sum("capital").alias("capital_total")
     )
 
 
@@ -179,22 +191,100 @@ def region_kpis(
 
     Regions are two-digit prefixes of the municipality code unless another column is given.
     """
-    region = code_prefix(F.col("muni_code")) if region is None else region
+    stored = F.col("muni_code") if region is None else region
     positive = F.col("capital") > 0
-    sums = reg.groupBy(region.alias(name)).agg(
-        F.count(F.lit(1)).alias("total_empresas"),
-        F.sum(F.when(positive, F.col("capital"))).alias("__capital"),
-        F.count_if(positive).alias("__positive"),
-        F.count_if(F.col("status") == F.lit(active)).alias("__active"),
+    codes = reg.groupBy(stored.alias("__stored")).agg(
+        F.count(F.lit(1)).alias("n"),
+        F.count_if(positive).alias("positive"),
+        F.sum(F.when(positive, F.col("capital"))).alias("positive_capital"),
+        F.count_if(F.col("status") == F.lit(active)).alias("active"),
+    )
+    shown = code_prefix(F.col("__stored")) if region is None else F.col("__stored")
+    return _region_figures(codes, shown, name)
+
+
+def _region_figures(codes: DataFrame, region: Column, name: str) -> DataFrame:
+    """Region figures from sums by a stored column; a prefix is cut from the few codes."""
+    sums = codes.groupBy(region.alias(name)).agg(
+        *[F.sum(c).alias(c) for c in ("n", "positive", "positive_capital", "active")]
     )
     return sums.select(
         name,
-        "total_empresas",
-        money_mean(F.col("__capital"), F.col("__positive")).alias("capital_medio"),
-        percent(F.col("__active"), F.col("total_empresas"), 1).alias("pct_ativas"),
+        F.col("n").alias("total_empresas"),
+        money_mean(F.col("positive_capital"), F.col("positive")).alias("capital_medio"),
+        percent(F.col("active"), F.col("n"), 1).alias("pct_ativas"),
     )
 
 
+# --- all marts at once --------------------------------------------------------------------------
+
+
+class SharedSums:
+    """Two groupings of the facts, each read and written once, from which every mart is summed.
+
+    ``places``: by opening year, municipality, state and whether the growth mart begins by then.
+    ``sectors``: by sector code and, for closed entities, the days they lived.
+    """
+
+    def __init__(self, reg: DataFrame, closed: Any, active: Any, since: dt.date | str) -> None:
+        self.reg, self.closed, self.active, self.since = reg, closed, active, since
+
+    @cached_property
+    def places(self) -> DataFrame:
+        opened, capital = F.col("opened"), F.col("capital")
+        recent = F.coalesce(opened >= F.lit(self.since).cast("date"), F.lit(False))
+        keys = [F.year(opened).alias("ano"), "muni_code", "uf", recent.alias("recent")]
+        return stage(self.reg.groupBy(*keys).agg(
+            F.count(F.lit(1)).alias("n"),
+            F.count_if(capital > 0).alias("positive"),
+            F.sum(F.when(capital > 0, capital)).alias("positive_capital"),
+            F.count_if(F.col("status") == F.lit(self.active)).alias("active"),
+        ), "place-sums")
+
+    @cached_property
+    def sectors(self) -> DataFrame:
+        capital = F.col("capital")
+        lived = (F.col("status") == F.lit(self.closed)) & (F.col("status_date") >= F.col("opened"))
+        days = F.when(lived, F.datediff("status_date", "opened"))
+        return stage(self.reg.groupBy("sector_code", days.alias("days")).agg(
+            F.count(F.lit(1)).alias("n"),
+            F.count_if(capital >= 0).alias("with_capital"),
+            F.sum(F.when(capital >= 0, capital)).alias("capital"),
+        ), "sector-sums")
+
+    def growth(self, mun: DataFrame) -> DataFrame:
+        rows = self.places.where(F.col("recent") & F.col("muni_code").isNotNull())
+        return _named_muni(rows.groupBy("ano", "muni_code").agg(F.sum("n").alias("total")), mun, "total")
+
+    def bubbles(self, mun: DataFrame) -> DataFrame:
+        known = F.col("ano").isNotNull() & F.col("muni_code").isNotNull() & (F.col("positive") > 0)
+        sums = self.places.where(known).groupBy("ano", "muni_code").agg(
+            F.sum("positive").alias("total_empresas"), F.sum("positive_capital").alias("__capital")
+        )
+        mean = F.col("__capital").cast("double") / F.col("total_empresas")
+        return _named_muni(sums, mun, "total_empresas", mean.alias("capital_medio"))
+
+    def density(self) -> DataFrame:
+        known = self.places.where(F.col("uf").isNotNull())
+        return known.groupBy("uf").agg(F.sum("n").alias("total"))
+
+    def regions(self, name: str = "cod_uf") -> DataFrame:
+        codes = self.places.groupBy("muni_code").agg(
+            *[F.sum(c).alias(c) for c in ("n", "positive", "positive_capital", "active")]
+        )
+        return _region_figures(codes, code_prefix(F.col("muni_code")), name)
+
+    def divisions(self) -> DataFrame:
+        codes = self.sectors.where(F.col("sector_code").isNotNull() & (F.col("with_capital") > 0))
+        return _division_figures(codes.select(
+            "sector_code", F.col("with_capital").alias("n"), "capital"
+        ))
+
+    def survival(self, sec: DataFrame, min_n: int) -> DataFrame:
+        counts = self.sectors.where(F.col("days").isNotNull()).select("sector_code", "days", "n")
+        return _survival(counts, sec, min_n)
+
+
 # Unique key of each mart.
 MART_KEYS = {
     "mart_survival_sector": ("setor",),
@@ -216,14 +306,13 @@ def mart_builders(
     min_sector: int = MIN_SECTOR_SIZE,
     since: dt.date | str = GROWTH_SINCE,
 ) -> dict:
-    """Every mart as a function without arguments, by name."""
+    """Every mart as a function without arguments, by name; together they read the facts twice."""
+    sums = SharedSums(reg, closed, active, since)
     return {
-        "mart_survival_sector": lambda: survival_by_sector(
-            reg, sec, closed=closed, min_n=min_sector
-        ),
-        "mart_growth_muni": lambda: growth_by_muni(reg, mun, since),
-        "mart_bubbles": lambda: bubbles(reg, mun),
-        "mart_treemap": lambda: division_totals(reg),
-        "mart_density_uf": lambda: density_by_uf(reg),
-        "mart_region_kpis": lambda: region_kpis(reg, active=active),
+        "mart_survival_sector": lambda: sums.survival(sec, min_sector),
+        "mart_growth_muni": lambda: sums.growth(mun),
+        "mart_bubbles": lambda: sums.bubbles(mun),
+        "mart_treemap": lambda: sums.divisions(),
+        "mart_density_uf": lambda: sums.density(),
+        "mart_region_kpis": lambda: sums.regions(),
     }

@@ -30,7 +30,7 @@ def data_quality(
         F.count_if(capital.isNull() | (capital <= 0)).alias("bad_capital"),
         F.count_if(bad_date).alias("bad_date"),
     )
-    known = sec.select(F.col("codigo").alias("known"))
+    known = sec.select(F.col("codigo").alias("known")).distinct()  # listed twice counts once
     joined = by_code.join(known, F.col("sector_code") == F.col("known"), "left")
 
     def total(c):

@@ -2,23 +2,27 @@
 
 A table is published in two steps. Its rows are written as a new version; a view of the table's
 name is then replaced to read that version. Readers keep the old version until the view changes, and
-a version that fails its gates is never named by the view.
+a version that fails its gates is dropped and never named by the view. Versions are tables of the
+session's catalogue and lie in its warehouse, not in the scratch folder; the last few are kept.
 """
 
 from __future__ import annotations
 
 import datetime as dt
 import logging
+import re
 from collections.abc import Callable, Iterable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rollcall.plans.gates import enforce
-from rollcall.session import scratch_path
+from rollcall.plans.gates import enforce, require_unique
 
 log = logging.getLogger(__name__)
 
+# Versions of a table that stay, the current one included.
+KEEP = 2
+
 
 def overwrite_table(df: DataFrame, path: str) -> DataFrame:
     """Replace the Parquet table at ``path``."""
@@ -52,13 +56,21 @@ def _write_version(df: DataFrame, name: str, order: Iterable[str] = ()) -> str:
     version = f"{name}_v{dt.datetime.now(dt.timezone.utc):%Y%m%d%H%M%S%f}"
     if order:
         df = df.sortWithinPartitions(*order)
-    path = scratch_path(df.sparkSession, version)
-    df.write.option("path", path).saveAsTable(version)
+    df.write.saveAsTable(version)
     return version
 
 
-def _point(spark: SparkSession, name: str, version: str) -> DataFrame:
+def versions(spark: SparkSession, name: str) -> list[str]:
+    """Tables that hold versions of ``name``, oldest first."""
+    found = (r.tableName for r in spark.sql(f"SHOW TABLES LIKE '{name}_v*'").collect())
+    return sorted(t for t in found if re.fullmatch(rf"{re.escape(name)}_v\d{{20}}", t))
+
+
+def _point(spark: SparkSession, name: str, version: str, keep: int = KEEP) -> DataFrame:
+    """Make a version the current one and drop those older than the last ``keep``."""
     spark.sql(f"CREATE OR REPLACE VIEW {name} AS SELECT * FROM {version}")
+    for old in versions(spark, name)[: -max(1, keep)]:
+        spark.sql(f"DROP TABLE {old}")
     return spark.table(name)
 
 
@@ -67,38 +79,51 @@ def publish(
     name: str,
     gates: Callable[[DataFrame], DataFrame] | None = None,
     order: Iterable[str] = ("opened",),
+    keep: int = KEEP,
 ) -> DataFrame:
     """Write a version of a table, run its gates on what was written, then make it current.
 
     Rows are sorted by ``order`` inside each file, so that a date filter skips row groups; the
     partitioning of the last join is kept and nothing is shuffled for it. When a gate fails the old
-    version stays current and :class:`GateFailure` is raised.
+    version stays current, the new one is dropped and :class:`GateFailure` is raised.
     """
     spark = df.sparkSession
     version = _write_version(df, name, order)
-    if gates is not None:
-        enforce(gates(spark.table(version)))
-    return _point(spark, name, version)
+    try:
+        if gates is not None:
+            enforce(gates(spark.table(version)))
+    except Exception:
+        spark.sql(f"DROP TABLE {version}")
+        raise
+    return _point(spark, name, version, keep)
 
 
 def refresh_marts(
     spark: SparkSession,
     builders: Mapping[str, Callable[[], DataFrame]],
     names: Iterable[str] | None = None,
-) -> bool:
+    keys: Mapping[str, Iterable[str]] | None = None,
+    keep: int = KEEP,
+) -> list[str]:
     """Rebuild marts one by one; one that fails keeps its old version and stops no other.
 
-    True when all were rebuilt.
+    A mart whose ``keys`` are not unique fails. The names of those that failed are returned.
     """
-    ok = True
+    failed = []
     for name in builders if names is None else names:
+        version = None
         try:
-            _point(spark, name, _write_version(builders[name](), name))
+            version = _write_version(builders[name](), name)
+            if keys and name in keys:
+                require_unique(spark.table(version), *keys[name])
+            _point(spark, name, version, keep)
             log.info("[ok] %s", name)
         except Exception:
             log.exception("[FAILED] %s", name)
-            ok = False
-    return ok
+            failed.append(name)
+            if version is not None:
+                spark.sql(f"DROP TABLE IF EXISTS {version}")
+    return failed
 
 
 def read_mart(spark: SparkSession, name: str, *columns: str) -> DataFrame:
@@ -111,10 +136,12 @@ def publish_with_marts(
     name: str,
     gates: Callable[[DataFrame], DataFrame],
     builders: Callable[[DataFrame], Mapping[str, Callable[[], DataFrame]]],
-) -> bool:
-    """Publish gold, then rebuild every mart from the version published."""
-    current = publish(gold, name, gates)
-    return refresh_marts(gold.sparkSession, builders(current))
+    keys: Mapping[str, Iterable[str]] | None = None,
+    keep: int = KEEP,
+) -> list[str]:
+    """Publish gold, then rebuild every mart from the version published; names of marts that failed."""
+    current = publish(gold, name, gates, keep=keep)
+    return refresh_marts(gold.sparkSession, builders(current), keys=keys, keep=keep)
 
 
 def row_counts(spark: SparkSession, names: Iterable[str]) -> DataFrame:

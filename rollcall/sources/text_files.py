@@ -14,6 +14,7 @@ from pyspark.sql import types as T
 
 from rollcall.functions.numbers import to_long
 from rollcall.functions.text import nul_count, strip_nul, strip_space
+from rollcall.plans.gates import require_unique
 from rollcall.schemas import CODES_RAW, ENTITY, ESTABLISHMENT
 
 log = logging.getLogger(__name__)
@@ -73,11 +74,16 @@ def read_codes(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_code_tables(spark: SparkSession, paths: dict[str, str]) -> dict[str, DataFrame]:
-    """Every code table found; one that is missing is logged and left out."""
+    """Every code table found; one that is missing is logged and left out.
+
+    A code listed twice would double every row that is joined to it, so it stops the load. Entries
+    without a numeric code join to nothing and may repeat.
+    """
     found = {}
     for name, path in paths.items():
         try:
             found[name] = read_codes(spark, path)
+            require_unique(found[name].where(F.col("codigo").isNotNull()), "codigo")
         except AnalysisException as error:
             if error.getCondition() != "PATH_NOT_FOUND":
                 raise

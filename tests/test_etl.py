@@ -8,7 +8,7 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import functions as F
 
-from rollcall import schemas
+from rollcall import load, schemas
 from rollcall.plans import gates, gold
 from rollcall.sources import tables, text_files, zip_shards
 
@@ -122,12 +122,16 @@ def test_nul_report_and_count(spark, folder):
     assert text_files.nul_removed(raw).first()["removed"] >= 1
 
 
-def test_nul_only_block_is_not_the_end():
-    import io
-
-    stream = zip_shards.NulFilter(io.BytesIO(b"ab" + b"\x00" * 50 + b"cd"))
-    assert io.BufferedReader(stream, 8).read() == b"abcd"
-    assert stream.removed == 50
+def test_blocks_of_nul_alone_and_long_records(spark, tmp_path):
+    long = "z" * 5000
+    body = f'"1";"a{chr(0) * 3000}b";;;"1,00";;\n"2";"{long}";;;;;\n'.encode("latin-1")
+    with zipfile.ZipFile(tmp_path / "Empresas0.zip", "w") as z:
+        z.writestr("x.csv", body)
+    read = zip_shards.read_entity_zips(spark, str(tmp_path), block=9000)
+    assert rows_of(read.select("cnpj_basico", "razao_social")) == [("1", "ab"), ("2", long)]
+    assert zip_shards.shard_nuls(str(tmp_path / "Empresas0.zip"), 64) == 3000
+    with pytest.raises(Exception, match="(?i)straddling|block"):
+        zip_shards.read_entity_zips(spark, str(tmp_path), block=1000).collect()
 
 
 def test_shard_counts(spark, folder):
@@ -230,10 +234,71 @@ def test_failed_gate_keeps_the_published_version(spark, built):
 
     first = tables.publish(df, "gold_t1", strict)
     assert first.count() == 3
+    [first_version] = tables.versions(spark, "gold_t1")
     worse = df.where(F.col("entity_id") == "00000123")
     with pytest.raises(gates.GateFailure):
         tables.publish(worse, "gold_t1", strict)
     assert spark.table("gold_t1").count() == 3
+    assert tables.versions(spark, "gold_t1") == [first_version]  # the failed one is gone
+
+
+def test_only_the_last_versions_are_kept(spark):
+    for n in range(1, 5):
+        tables.publish(spark.range(n).withColumn("opened", F.lit(n)), "kept_t", keep=2)
+        assert spark.table("kept_t").count() == n
+        assert len(tables.versions(spark, "kept_t")) == min(n, 2)
+    tables.publish(spark.range(9).withColumn("opened", F.lit(1)), "kept_t", keep=1)
+    assert len(tables.versions(spark, "kept_t")) == 1 and spark.table("kept_t").count() == 9
+
+
+def test_mart_with_duplicate_keys_keeps_its_old_version(spark):
+    good = spark.createDataFrame([("a", 1), ("b", 2)], "uf string, n int")
+    assert tables.refresh_marts(spark, {"mart_k": lambda: good}, keys={"mart_k": ["uf"]}) == []
+    twice = good.unionByName(good)
+    assert tables.refresh_marts(spark, {"mart_k": lambda: twice}, keys={"mart_k": ["uf"]}) == ["mart_k"]
+    assert spark.table("mart_k").count() == 2 and len(tables.versions(spark, "mart_k")) == 1
+
+
+def test_codes_listed_twice_stop_the_load(spark, tmp_path):
+    (tmp_path / "cnae.csv").write_bytes(b'"47";"a"\n"47";"b"\n"x";"c"\n"y";"d"\n')
+    with pytest.raises(gates.GateFailure, match="codigo"):
+        text_files.read_code_tables(spark, {"sectors": f"{tmp_path}/cnae.csv"})
+
+
+def test_load_as_one_call(spark, built, folder):
+    ent, est, df = built
+    sources = {"one_ent": lambda: ent, "one_est": lambda: est}
+    sec = spark.createDataFrame([(111301, "x"), (4711301, "y")], schemas.CODES)
+    mun = spark.createDataFrame([(7107, "z")], schemas.CODES)
+    lenient = dict(min_rows=0, min_retention=70, max_decade_share=70)
+    for _ in range(3):
+        failed = load.run_load(
+            spark, sources, sec, mun, prefix="one_", as_of=AS_OF, keep=2, min_sector=1, **lenient
+        )
+        assert failed == []
+    assert spark.table("one_gold").count() == df.count()
+    assert spark.table("one_quarantine").count() == 4
+    reasons = dict(rows_of(spark.table("one_quarantine_reasons")))
+    assert sum(n for r, n in reasons.items() if r.startswith("abertura")) == 4
+    assert spark.table("one_mart_density_uf").count() == 3
+    assert all(len(tables.versions(spark, t)) == 2 for t in ("one_gold", "one_quarantine", "one_mart_bubbles"))
+    with pytest.raises(gates.GateFailure):
+        load.run_load(spark, sources, sec, mun, prefix="one_", as_of=AS_OF, min_rows=99)
+    assert spark.table("one_gold").count() == df.count() and len(tables.versions(spark, "one_gold")) == 2
+
+
+def test_reasons_of_what_is_set_aside(spark):
+    est = spark.createDataFrame(
+        [("1", d, "1") for d in (None, "", "abc", "20250230", "18991231", "20990101", "20000101")]
+        + [("2", "x", "2"), ("123456789", "20000101", "1")],
+        "cnpj_basico string, data_inicio_atividade string, matriz_filial string",
+    )
+    ent = spark.createDataFrame([("1", "1.000,00"), ("2", ""), ("123456789", "9,9")],
+                                "cnpj_basico string, capital_social string")
+    assert rows_of(gold.quarantine_reasons(ent, est, AS_OF)) == [
+        ("abertura_ausente", 2), ("abertura_fora_do_intervalo", 2), ("abertura_invalida", 2),
+        ("capital_ilegivel", 1), ("identificador_longo", 1),
+    ]
 
 
 def test_marts_fail_alone(spark, built):
@@ -243,11 +308,11 @@ def test_marts_fail_alone(spark, built):
         "mart_b": lambda: df.select("no_such_column"),
         "mart_c": lambda: df.groupBy("status").count(),
     }
-    assert tables.refresh_marts(spark, builders) is False
+    assert tables.refresh_marts(spark, builders) == ["mart_b"]
     assert tables.read_mart(spark, "mart_a", "uf").count() == 3
     assert tables.read_mart(spark, "mart_c").count() == 3
     assert not spark.catalog.tableExists("mart_b")
-    assert tables.refresh_marts(spark, builders, ["mart_a"]) is True
+    assert tables.refresh_marts(spark, builders, ["mart_a"]) == []
     assert rows_of(tables.row_counts(spark, ["mart_a", "mart_c"])) == [("mart_a", 3), ("mart_c", 3)]
 
 
