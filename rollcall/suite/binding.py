@@ -12,10 +12,11 @@ import hashlib
 import re
 from functools import cached_property
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from rollcall.functions.text import pad_id
 from rollcall.plans import gates, marts
 from rollcall.plans.gold import build_gold
 from rollcall.schemas import ENTITY, ESTABLISHMENT
@@ -66,7 +67,7 @@ class Star:
             .join(lines, F.col("o_orderkey") == F.col("l_orderkey"), "left")
         )
         return joined.select(
-            F.lpad(F.col("o_orderkey").cast("string"), 8, "0").alias("entity_id"),
+            pad_id(F.col("o_orderkey").cast("string")).alias("entity_id"),
             F.col("c_name").alias("name"),
             F.col("c_mktsegment").alias("legal_nature"),
             F.greatest("c_acctbal", F.lit(0.0)).cast("decimal(18,2)").alias("capital"),
@@ -101,13 +102,18 @@ class Star:
     def ent(self) -> DataFrame:
         """Raw entity layout: seven text columns."""
         capital = F.greatest("c_acctbal", F.lit(0.0)).cast("decimal(18,2)").cast("string")
+        dirty = F.col("o_orderkey") % 101
         given = {
-            "cnpj_basico": F.col("o_orderkey").cast("string"),
+            "cnpj_basico": _raw_id("o_orderkey"),
             "razao_social": F.col("c_name"),
             "natureza_juridica": F.when(F.col("c_acctbal") < 0, F.lit("")).otherwise(
                 F.col("c_nationkey").cast("string")
             ),
-            "capital_social": F.translate(capital, ".", ","),
+            "capital_social": F.when(dirty == 1, F.lit("1.234,56"))
+            .when(dirty == 2, F.lit("20000000000000000,00"))
+            .when(dirty == 3, F.lit("n/d"))
+            .when(dirty == 4, F.lit(""))
+            .otherwise(F.translate(capital, ".", ",")),
             "porte_empresa": F.col("o_orderpriority"),
         }
         rows = self.table("orders").join(
@@ -121,7 +127,7 @@ class Star:
         part, shipped = F.col("l_partkey"), F.date_format("l_shipdate", "yyyyMMdd")
         closed = F.col("l_linestatus") == "F"
         given = {
-            "cnpj_basico": F.col("l_orderkey").cast("string"),
+            "cnpj_basico": _raw_id("l_orderkey"),
             "cnpj_ordem": F.lpad(F.col("l_linenumber").cast("string"), 4, "0"),
             "cnpj_dv": F.lit("00"),
             "matriz_filial": F.col("l_linenumber").cast("string"),
@@ -191,8 +197,9 @@ class Star:
             self.publish_gold()
         gold = self.spark.table(_gold[self._key])
         named = {self._name(n): build for n, build in self.builders(gold).items()}
-        if not tables.refresh_marts(self.spark, named):
-            raise RuntimeError("a mart could not be rebuilt")
+        keys = {self._name(n): k for n, k in marts.MART_KEYS.items()}
+        if failed := tables.refresh_marts(self.spark, named, keys=keys):
+            raise RuntimeError(f"marts that could not be rebuilt: {failed}")
         return {n: self._name(n) for n in self.builders(gold)}
 
     def mart(self, name: str, *columns: str) -> DataFrame:
@@ -208,6 +215,12 @@ class Star:
         return path
 
 
+def _raw_id(key: str) -> Column:
+    """An order's identifier in the extracts; some have a digit more than the usual eight."""
+    long = F.col(key) + 100_000_000
+    return F.when(F.col(key) % 53 == 0, long).otherwise(F.col(key)).cast("string")
+
+
 def _layout(schema: T.StructType, given: dict) -> list:
     return [given.get(n, F.lit(None).cast("string")).alias(n) for n in schema.fieldNames()]
 
@@ -264,14 +277,25 @@ _valid_opening = (
     + f" BETWEEN DATE '1900-01-01' AND DATE '{AS_OF}', false)"
 )
 VALID_OPENING = _valid_opening
+# An amount has up to two decimals; blank counts as 0, all else as NULL.
+AMOUNT_SQL = """CASE WHEN trim(coalesce(capital_social, '')) = '' THEN 0
+    WHEN regexp_full_match(trim(capital_social), '-?[0-9]+([,.][0-9][0-9]?)?')
+        THEN TRY_CAST(replace(capital_social, ',', '.') AS DECIMAL(18,2)) END"""
 _points = ", ".join(
     f"round(quantile_cont(CAST(days AS DOUBLE), {p}) / 365.25, 2) AS {n}"
     for n, p in marts.SECTOR_POINTS.items()
 )
 
+
+
+def _raw_id_sql(key: str) -> str:
+    return f"CAST(CASE WHEN {key} % 53 = 0 THEN {key} + 100000000 ELSE {key} END AS VARCHAR)"
+
+
 VIEWS = {
     "reg": f"""
-        SELECT lpad(CAST(o_orderkey AS VARCHAR), 8, '0') AS entity_id, c_name AS name,
+        SELECT CASE WHEN o_orderkey < 10000000 THEN lpad(CAST(o_orderkey AS VARCHAR), 8, '0')
+                    ELSE CAST(o_orderkey AS VARCHAR) END AS entity_id, c_name AS name,
                c_mktsegment AS legal_nature, {_capital} AS capital,
                CAST(o_orderdate AS DATE) AS opened, l.sector_code,
                CAST(c_nationkey AS BIGINT) AS muni_code, r_name AS uf, o_orderstatus AS status,
@@ -286,14 +310,16 @@ VIEWS = {
     "nat": """SELECT DISTINCT c_mktsegment AS codigo, 'Natureza ' || c_mktsegment AS descricao
         FROM customer WHERE c_mktsegment <> 'MACHINERY'""",
     "ent": "SELECT " + _sql_layout(ENTITY, {
-        "cnpj_basico": "CAST(o_orderkey AS VARCHAR)",
+        "cnpj_basico": _raw_id_sql("o_orderkey"),
         "razao_social": "c_name",
         "natureza_juridica": "CASE WHEN c_acctbal < 0 THEN '' ELSE CAST(c_nationkey AS VARCHAR) END",
-        "capital_social": f"replace(CAST({_capital} AS VARCHAR), '.', ',')",
+        "capital_social": "CASE o_orderkey % 101 WHEN 1 THEN '1.234,56' "
+                          "WHEN 2 THEN '20000000000000000,00' WHEN 3 THEN 'n/d' WHEN 4 THEN '' "
+                          f"ELSE replace(CAST({_capital} AS VARCHAR), '.', ',') END",
         "porte_empresa": "o_orderpriority",
     }) + " FROM orders JOIN customer ON o_custkey = c_custkey",
     "est": "SELECT " + _sql_layout(ESTABLISHMENT, {
-        "cnpj_basico": "CAST(l_orderkey AS VARCHAR)",
+        "cnpj_basico": _raw_id_sql("l_orderkey"),
         "cnpj_ordem": "lpad(CAST(l_linenumber AS VARCHAR), 4, '0')",
         "cnpj_dv": "'00'",
         "matriz_filial": "CAST(l_linenumber AS VARCHAR)",
@@ -311,19 +337,15 @@ VIEWS = {
         "correio_eletronico": "''",
     }) + " FROM lineitem",
     "etl_gold": f"""
-        SELECT e.entity_id, e.name, e.legal_nature, e.capital, s.opened, s.sector_code,
-               s.muni_code, s.uf, s.status, s.status_date
-        FROM (SELECT lpad(cnpj_basico, 8, '0') AS entity_id, razao_social AS name,
-                     TRY_CAST(nullif(natureza_juridica, '') AS BIGINT) AS legal_nature,
-                     coalesce(TRY_CAST(replace(capital_social, ',', '.') AS DECIMAL(18,2)), 0)
-                         AS capital FROM ent) e
-        JOIN (SELECT lpad(cnpj_basico, 8, '0') AS entity_id,
-                     {_compact.format("data_inicio_atividade")} AS opened,
-                     TRY_CAST(nullif(cnae_fiscal, '') AS BIGINT) AS sector_code,
-                     TRY_CAST(nullif(municipio, '') AS BIGINT) AS muni_code, uf,
-                     TRY_CAST(nullif(situacao_cadastral, '') AS BIGINT) AS status,
-                     {_compact.format("data_situacao")} AS status_date
-              FROM est WHERE matriz_filial = '1' AND {_valid_opening}) s USING (entity_id)""",
+        SELECT repeat('0', greatest(0, 8 - length(ent.cnpj_basico))) || ent.cnpj_basico AS entity_id,
+               razao_social AS name, TRY_CAST(natureza_juridica AS BIGINT) AS legal_nature,
+               {AMOUNT_SQL} AS capital, {_compact.format("data_inicio_atividade")} AS opened,
+               TRY_CAST(cnae_fiscal AS BIGINT) AS sector_code,
+               TRY_CAST(municipio AS BIGINT) AS muni_code, uf,
+               TRY_CAST(situacao_cadastral AS BIGINT) AS status,
+               {_compact.format("data_situacao")} AS status_date
+        FROM est INNER JOIN ent ON ltrim(est.cnpj_basico, '0') = ltrim(ent.cnpj_basico, '0')
+        WHERE {_valid_opening} AND matriz_filial = '1'""",
     "spans": f"""
         SELECT sector_code, date_diff('day', opened, status_date) AS days FROM reg
         WHERE status = '{CLOSED}' AND status_date >= opened""",
@@ -334,17 +356,18 @@ VIEWS = {
             FROM spans LEFT JOIN sec ON sector_code = codigo GROUP BY 1)
         WHERE total >= {MIN_SECTOR}""",
     "mart_growth_muni": f"""
-        SELECT year(opened) AS ano, muni_code AS cod_municipio,
-               coalesce(descricao, CAST(muni_code AS VARCHAR)) AS nome_municipio, count(*) AS total
-        FROM reg LEFT JOIN mun ON codigo = muni_code
-        WHERE muni_code IS NOT NULL AND opened >= DATE '{SINCE}' GROUP BY 1, 2, 3""",
+        SELECT ano, cod_municipio, coalesce(descricao, CAST(cod_municipio AS VARCHAR))
+                   AS nome_municipio, total
+        FROM (SELECT year(opened) AS ano, muni_code AS cod_municipio, count(*) AS total FROM reg
+              WHERE opened >= DATE '{SINCE}' GROUP BY ALL) LEFT JOIN mun ON codigo = cod_municipio
+        WHERE cod_municipio IS NOT NULL""",
     "mart_bubbles": """
-        SELECT year(opened) AS ano, muni_code AS cod_municipio,
-               coalesce(descricao, CAST(muni_code AS VARCHAR)) AS nome_municipio,
-               count(*) AS total_empresas,
-               CAST(sum(capital) AS DOUBLE) / count(*) AS capital_medio
-        FROM reg LEFT JOIN mun ON codigo = muni_code
-        WHERE opened IS NOT NULL AND muni_code IS NOT NULL AND capital > 0 GROUP BY 1, 2, 3""",
+        SELECT ano, cod_municipio, coalesce(descricao, CAST(cod_municipio AS VARCHAR))
+                   AS nome_municipio, n AS total_empresas, CAST(amount AS DOUBLE) / n AS capital_medio
+        FROM (SELECT year(opened) AS ano, muni_code AS cod_municipio, count(*) AS n,
+                     sum(capital) AS amount FROM reg WHERE capital > 0 GROUP BY ALL)
+             LEFT JOIN mun ON codigo = cod_municipio
+        WHERE ano IS NOT NULL AND cod_municipio IS NOT NULL""",
     "mart_treemap": """
         SELECT left(CAST(sector_code AS VARCHAR), 2) AS divisao_cnae, count(*) AS total_empresas,
                CAST(sum(capital) AS DOUBLE) AS capital_total

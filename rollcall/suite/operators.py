@@ -8,8 +8,8 @@ from pyspark.sql import functions as F
 from rollcall.functions import dates, labels, numbers, text
 from rollcall.operators import aggregates, filters, joins, topk, windows
 from rollcall.plans import compare, gold, marts, strategic
-from rollcall.session import stage
 from rollcall.suite.binding import (
+    AMOUNT_SQL,
     AS_OF,
     CLOSED,
     DUE_UFS,
@@ -176,14 +176,14 @@ _DIV = "left(CAST(sector_code AS VARCHAR), 2)"
 
 
 @case("join_topk_filter", f"""
-    WITH g AS (SELECT uf, {_DIV} AS divisao, count(*) AS qtd FROM reg
-               WHERE sector_code IS NOT NULL GROUP BY 1, 2),
-         t AS (SELECT divisao FROM g GROUP BY divisao ORDER BY sum(qtd) DESC, divisao LIMIT 8)
-    SELECT uf, g.divisao, qtd FROM g JOIN t ON g.divisao = t.divisao""")
+    SELECT uf, {_DIV} AS divisao, count(*) AS qtd FROM reg
+    WHERE {_DIV} IN (SELECT {_DIV} FROM reg WHERE sector_code IS NOT NULL GROUP BY {_DIV}
+                     ORDER BY count(*) DESC, {_DIV} LIMIT 8)
+    GROUP BY ALL""")
 def _(s: Star) -> DataFrame:
     known = s.reg.where(F.col("sector_code").isNotNull())
     division = text.code_prefix(F.col("sector_code")).alias("divisao")
-    grouped = stage(aggregates.count_by(known, "uf", division, name="qtd"), "divisions")
+    grouped = aggregates.count_by(known, "uf", division, name="qtd")
     top = topk.top_groups(grouped, "divisao", F.sum("qtd"), 8, "total")
     return joins.keep_groups(grouped, top, "divisao").select("uf", "divisao", "qtd")
 
@@ -381,7 +381,7 @@ def _(s: Star) -> DataFrame:
 @case("limit_sample", "SELECT entity_id, name FROM sample")
 def _(s: Star) -> DataFrame:
     positive = s.reg.where(F.col("capital") > 0).select("entity_id", "name")
-    return strategic.sample(positive)
+    return strategic.sample(positive, strategic.SAMPLE_ROWS)
 
 
 @case("topk_sort", """
@@ -419,11 +419,9 @@ def _(s: Star) -> DataFrame:
 
 
 @case("cte_chain", f"""
-    WITH base AS (SELECT uf, {_DIV} AS divisao, count(*) AS qtd FROM reg
-                  WHERE sector_code IS NOT NULL GROUP BY 1, 2),
-         totais AS (SELECT uf, sum(qtd) AS total FROM base GROUP BY uf)
-    SELECT base.uf, divisao, {percent("qtd", "total", 2)} AS pct
-    FROM base JOIN totais ON base.uf = totais.uf""")
+    SELECT uf, divisao, {percent("n", "sum(n) OVER (PARTITION BY uf)", 2)} AS pct
+    FROM (SELECT uf, {_DIV} AS divisao, count(*) AS n FROM reg WHERE sector_code IS NOT NULL
+          GROUP BY ALL)""")
 def _(s: Star) -> DataFrame:
     known = s.reg.where(F.col("sector_code").isNotNull())
     base = aggregates.count_by(
@@ -447,7 +445,9 @@ def _(s: Star) -> DataFrame:
 # --- scalar functions ---------------------------------------------------------------------------
 
 
-@case("fn_lpad", "SELECT cnpj_basico, lpad(cnpj_basico, 8, '0') AS id FROM ent")
+@case("fn_lpad", """
+    SELECT cnpj_basico, repeat('0', greatest(0, 8 - length(cnpj_basico))) || cnpj_basico AS id
+    FROM ent""")
 def _(s: Star) -> DataFrame:
     return s.ent.select("cnpj_basico", text.pad_id(F.col("cnpj_basico")).alias("id"))
 
@@ -464,8 +464,7 @@ def _(s: Star) -> DataFrame:
 
 
 @case("fn_decimal_comma", """
-    SELECT cnpj_basico, CAST(coalesce(TRY_CAST(replace(capital_social, ',', '.') AS DECIMAL(18,2)),
-           0) AS DOUBLE) AS capital FROM ent""")
+    SELECT cnpj_basico, CAST(""" + AMOUNT_SQL + """ AS DOUBLE) AS capital FROM ent""")
 def _(s: Star) -> DataFrame:
     return s.ent.select(
         "cnpj_basico", numbers.decimal_comma(F.col("capital_social")).alias("capital")

@@ -128,8 +128,9 @@ def _(s: Star) -> DataFrame:
     def builders(gold: DataFrame) -> dict:
         return {keys[n]: build for n, build in s.builders(gold).items()}
 
-    if not tables.publish_with_marts(s.reg, name, s.gates, builders):
-        raise RuntimeError("a mart could not be rebuilt")
+    unique = {keys[n]: k for n, k in marts.MART_KEYS.items()}
+    if failed := tables.publish_with_marts(s.reg, name, s.gates, builders, unique):
+        raise RuntimeError(f"marts that could not be rebuilt: {failed}")
     counts = tables.row_counts(s.spark, keys.values())
     return counts.withColumn("tabela", F.regexp_extract("tabela", r"(mart_\w+)$", 1))
 

@@ -31,7 +31,7 @@ def types_of(df):
     return {f.name: f.dataType.simpleString() for f in df.schema}
 
 
-DUCK_TYPES = {"BIGINT": "bigint", "DOUBLE": "double", "VARCHAR": "string", "BOOLEAN": "boolean"}
+DUCK_TYPES = {"BIGINT": "bigint", "DOUBLE": "double", "INTEGER": "int", "VARCHAR": "string", "BOOLEAN": "boolean"}
 
 
 def compare(df, con, sql):

@@ -6,9 +6,10 @@ import pytest
 
 import __spark_entry__ as bound
 import oracle
+from rollcall.suite import registry
 
 FOLDER = os.environ.get("ROLLCALL_TEST_TABLES", "/root/testdata/sf0.001")
-QUERIES, SQL = bound.queries(), bound.oracle_sql()
+QUERIES, SQL = registry.queries(), registry.oracle_sql()
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(FOLDER), reason=f"no tables at {FOLDER}")
 
@@ -20,6 +21,7 @@ def con():
 
 def test_every_query_has_sql():
     assert set(QUERIES) == set(SQL)
+    assert set(QUERIES) <= set(bound.queries()) and set(SQL) <= set(bound.oracle_sql())
 
 
 @pytest.mark.parametrize("key", sorted(QUERIES))
