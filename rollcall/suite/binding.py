@@ -1,7 +1,7 @@
 """The benchmark tables seen as a company registry.
 
-An order is an entity, its customer gives name, capital, nature and municipality (nation) in a state
-(region); its lines give sector (part) and closing date. A line is also an establishment of the raw
+An order is an entity, its customer gives name, capital, municipality (nation and segment) in a state
+(region), segment and priority its nature; its lines give sector (part) and closing date. A line is also an establishment of the raw
 layout, line number 1 being the head office. The same views are written once as DataFrames and once
 as SQL for the checking engine.
 """
@@ -26,13 +26,14 @@ from rollcall.sources import tables, text_files
 # Parameters of the binding: reference date, status values, thresholds suited to these tables.
 AS_OF = "2002-01-01"
 CLOSED, ACTIVE = "F", "O"
-MIN_SECTOR = 100
+MIN_SECTOR = 30
 SINCE = "1997-01-01"
 MIN_ROWS = 1_000
 MAX_DECADE = 95.0
 DUE_UFS = ["ASIA", "EUROPE", "AFRICA"]
 PREFIXES = ["11", "12", "21", "23"]
-MUNIS = [3, 7, 15]
+MUNIS = [31, 72, 153]
+SEGMENTS = ("AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY")
 
 _gold: dict[tuple, str] = {}
 _marts: dict[tuple, dict[str, str]] = {}
@@ -69,11 +70,11 @@ class Star:
         return joined.select(
             pad_id(F.col("o_orderkey").cast("string")).alias("entity_id"),
             F.col("c_name").alias("name"),
-            F.col("c_mktsegment").alias("legal_nature"),
+            F.concat_ws("-", "c_mktsegment", F.substring("o_orderpriority", 1, 1)).alias("legal_nature"),
             F.greatest("c_acctbal", F.lit(0.0)).cast("decimal(18,2)").alias("capital"),
             F.col("o_orderdate").cast("date").alias("opened"),
             "sector_code",
-            F.col("c_nationkey").cast("bigint").alias("muni_code"),
+            (F.col("c_nationkey") * 10 + _segment(F.col("c_mktsegment"))).alias("muni_code"),
             F.col("r_name").alias("uf"),
             F.col("o_orderstatus").alias("status"),
             "status_date",
@@ -82,19 +83,22 @@ class Star:
     @cached_property
     def sec(self) -> DataFrame:
         return self.table("part").select(
-            F.col("p_partkey").alias("codigo"), F.col("p_type").alias("descricao")
+            F.col("p_partkey").alias("codigo"), F.concat_ws(" ", "p_type", "p_brand").alias("descricao")
         )
 
     @cached_property
     def mun(self) -> DataFrame:
-        return self.table("nation").select(
-            F.col("n_nationkey").cast("bigint").alias("codigo"), F.col("n_name").alias("descricao")
+        each = F.explode(F.array(*map(F.lit, SEGMENTS))).alias("segment")
+        return self.table("nation").select("n_nationkey", "n_name", each).select(
+            (F.col("n_nationkey") * 10 + _segment(F.col("segment"))).alias("codigo"),
+            F.concat_ws(" ", "n_name", "segment").alias("descricao"),
         )
 
     @cached_property
     def nat(self) -> DataFrame:
-        known = self.table("customer").where(F.col("c_mktsegment") != "MACHINERY")
-        return known.select(F.col("c_mktsegment").alias("codigo")).distinct().withColumn(
+        priority = F.explode(F.array(*[F.lit(str(n)) for n in range(1, 6)]))
+        kinds = self.table("customer").select("c_mktsegment").distinct().withColumn("p", priority)
+        return kinds.select(F.concat_ws("-", "c_mktsegment", "p").alias("codigo")).withColumn(
             "descricao", F.concat(F.lit("Natureza "), F.col("codigo"))
         )
 
@@ -215,6 +219,11 @@ class Star:
         return path
 
 
+def _segment(name: Column) -> Column:
+    """Number of a market segment, from 1."""
+    return F.array_position(F.array(*map(F.lit, SEGMENTS)), name)
+
+
 def _raw_id(key: str) -> Column:
     """An order's identifier in the extracts; some have a digit more than the usual eight."""
     long = F.col(key) + 100_000_000
@@ -296,19 +305,23 @@ VIEWS = {
     "reg": f"""
         SELECT CASE WHEN o_orderkey < 10000000 THEN lpad(CAST(o_orderkey AS VARCHAR), 8, '0')
                     ELSE CAST(o_orderkey AS VARCHAR) END AS entity_id, c_name AS name,
-               c_mktsegment AS legal_nature, {_capital} AS capital,
+               c_mktsegment || '-' || left(o_orderpriority, 1) AS legal_nature, {_capital} AS capital,
                CAST(o_orderdate AS DATE) AS opened, l.sector_code,
-               CAST(c_nationkey AS BIGINT) AS muni_code, r_name AS uf, o_orderstatus AS status,
+               CAST(c_nationkey * 10 + list_position({list(SEGMENTS)}, c_mktsegment) AS BIGINT)
+                   AS muni_code, r_name AS uf, o_orderstatus AS status,
                l.status_date
         FROM orders JOIN customer ON o_custkey = c_custkey
              JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey
              LEFT JOIN (SELECT l_orderkey, min(l_partkey) AS sector_code,
                                CAST(max(l_shipdate) AS DATE) AS status_date
                         FROM lineitem GROUP BY l_orderkey) l ON o_orderkey = l_orderkey""",
-    "sec": "SELECT p_partkey AS codigo, p_type AS descricao FROM part",
-    "mun": "SELECT CAST(n_nationkey AS BIGINT) AS codigo, n_name AS descricao FROM nation",
-    "nat": """SELECT DISTINCT c_mktsegment AS codigo, 'Natureza ' || c_mktsegment AS descricao
-        FROM customer WHERE c_mktsegment <> 'MACHINERY'""",
+    "sec": "SELECT p_partkey AS codigo, p_type || ' ' || p_brand AS descricao FROM part",
+    "mun": f"""SELECT CAST(n_nationkey * 10 + k AS BIGINT) AS codigo,
+                      n_name || ' ' || {list(SEGMENTS)}[k] AS descricao
+        FROM nation, range(1, {len(SEGMENTS) + 1}) AS r(k)""",
+    "nat": """SELECT DISTINCT c_mktsegment || '-' || p AS codigo,
+                     'Natureza ' || c_mktsegment || '-' || p AS descricao
+        FROM customer, range(1, 6) AS r(p)""",
     "ent": "SELECT " + _sql_layout(ENTITY, {
         "cnpj_basico": _raw_id_sql("o_orderkey"),
         "razao_social": "c_name",

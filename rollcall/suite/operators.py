@@ -77,16 +77,16 @@ def _(s: Star) -> DataFrame:
     return filters.where_equal(s.reg, uf="ASIA", status=None).select("entity_id", "uf", "status")
 
 
-@case("filter_in_list", "SELECT entity_id, muni_code FROM reg WHERE muni_code IN (3, 7, 15)")
+@case("filter_in_list", "SELECT entity_id, muni_code FROM reg WHERE muni_code IN (31, 72, 153)")
 def _(s: Star) -> DataFrame:
     return filters.where_in(s.reg, "muni_code", MUNIS).select("entity_id", "muni_code")
 
 
 @case("filter_isin_local", """
     SELECT ano, nome_municipio, total FROM mart_growth_muni
-    WHERE nome_municipio IN ('NATION_3', 'NATION_7')""")
+    WHERE nome_municipio IN ('NATION_3 AUTOMOBILE', 'NATION_7 BUILDING')""")
 def _(s: Star) -> DataFrame:
-    rows = filters.where_in(s.mart("mart_growth_muni"), "nome_municipio", ["NATION_3", "NATION_7"])
+    rows = filters.where_in(s.mart("mart_growth_muni"), "nome_municipio", ["NATION_3 AUTOMOBILE", "NATION_7 BUILDING"])
     return rows.select("ano", "nome_municipio", "total")
 
 
@@ -384,6 +384,14 @@ def _(s: Star) -> DataFrame:
     return strategic.sample(positive, strategic.SAMPLE_ROWS)
 
 
+@case("limit_sample_500", """
+    SELECT entity_id, CAST(capital AS DOUBLE) AS capital FROM reg WHERE capital > 0
+    ORDER BY entity_id LIMIT 500""")
+def _(s: Star) -> DataFrame:
+    positive = s.reg.where(F.col("capital") > 0).select("entity_id", "capital")
+    return strategic.sample(positive, 500)
+
+
 @case("topk_sort", """
     SELECT entity_id, CAST(capital AS DOUBLE) AS capital FROM reg WHERE capital > 0
     ORDER BY reg.capital DESC, entity_id LIMIT 100""")
@@ -484,9 +492,11 @@ def _(s: Star) -> DataFrame:
 
 @case("fn_coalesce_code", """
     SELECT entity_id, coalesce(descricao, CAST(muni_code AS VARCHAR)) AS nome
-    FROM reg LEFT JOIN mun ON muni_code = codigo AND descricao <> 'NATION_7'""")
+    FROM reg LEFT JOIN mun ON muni_code = codigo
+         AND codigo // 10 IN (SELECT s_nationkey FROM supplier)""")
 def _(s: Star) -> DataFrame:
-    partial = s.mun.where(F.col("descricao") != "NATION_7")
+    sites = s.table("supplier").select("s_nationkey")  # nations without a supplier have no name
+    partial = s.mun.join(sites, F.expr("codigo div 10") == F.col("s_nationkey"), "left_semi")
     rows = joins.attach_name(s.reg, partial, "muni_code", "descricao")
     name = labels.code_or_name(F.col("descricao"), F.col("muni_code"))
     return rows.select("entity_id", name.alias("nome"))
@@ -494,10 +504,9 @@ def _(s: Star) -> DataFrame:
 
 @case("fn_coalesce_label", """
     SELECT entity_id, coalesce(descricao, 'CNAE ' || CAST(sector_code AS VARCHAR)) AS setor
-    FROM reg LEFT JOIN sec ON sector_code = codigo AND descricao <> 'PROMO'""")
+    FROM reg LEFT JOIN sec ON sector_code = codigo""")
 def _(s: Star) -> DataFrame:
-    partial = s.sec.where(F.col("descricao") != "PROMO")
-    rows = joins.attach_name(s.reg, partial, "sector_code", "descricao")
+    rows = joins.attach_name(s.reg, s.sec, "sector_code", "descricao")
     label = labels.sector_label(F.col("descricao"), F.col("sector_code"))
     return rows.select("entity_id", label.alias("setor"))
 

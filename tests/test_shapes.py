@@ -118,7 +118,7 @@ def test_no_broadcast_above_the_threshold(spark, reg, star):
     try:
         for df in (
             marts.survival_by_sector(reg, star.sec, closed="F"),
-            strategic.strategic(reg, star.sec, star.mun, "PROMO", limit=strategic.SAMPLE_ROWS),
+            strategic.strategic(reg, star.sec, star.mun, "PROMO Brand#7", limit=strategic.SAMPLE_ROWS),
             strategic.rank_capital(reg, star.sec, star.mun),
             gold.build_gold(star.ent, star.est, "2002-01-01"),
         ):
