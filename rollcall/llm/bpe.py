@@ -2,13 +2,13 @@
 
 1. Texts are cut into pre-tokens. Neighbouring texts form a block of bounded size; a block explodes into
    its distinct words, numbered by frequency, and for every text the numbers of its words in order.
-2. The words of all blocks are shuffled by word. Each distinct word is encoded once; its ids are joined
-   back to the blocks that hold it.
+2. The words of all blocks are shuffled by hash of the word. Where a word's rows meet, it is encoded once,
+   and its ids are joined back to every block that holds it.
 3. Ids come back by block and texts are put together by position.
 
-Shuffling a block's distinct words and packed positions, in place of a row for each position, keeps what
-moves near the size of the input. Decoding joins ids with the table of token bytes, which has one row per
-token of the vocabulary file and is broadcast.
+What moves is packed: the words of a block that share a bucket of the hash are one row, as are their ids,
+and a text's numbers. So a corpus is shuffled for about its own size, and not a row for each position.
+Decoding joins ids with the table of token bytes, which has one row per token of the vocabulary file.
 
 A block is named by a hash of its texts, so both passes over the input agree on it. An input that gives
 other rows or another order when it is read again is found out and stops the job: write it first.
@@ -18,7 +18,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
-from collections import Counter
+import zlib
 from collections.abc import Callable, Iterator
 from functools import cache
 
@@ -30,13 +30,12 @@ import tiktoken
 import xxhash
 import zstandard
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from rollcall.llm.common import blocks, code_points, output, texts
 
 # Bytes of text whose distinct words are numbered together, and those cut up at a time.
-BLOCK, PIECE = 24 << 20, 1 << 20
+BLOCK, PIECE = 12 << 20, 1 << 20
 # What follows an apostrophe in a pre-token of its own, as in the published pattern.
 SUFFIXES = ("s", "t", "re", "ve", "m", "ll", "d")
 
@@ -108,6 +107,21 @@ def _unpack(data: bytes) -> np.ndarray:
     return np.ascontiguousarray(planes.T).reshape(-1).view("<u4").astype(np.int64)
 
 
+def _pack_bytes(parts: list[bytes]) -> bytes:
+    """Byte strings with their lengths, compressed."""
+    sizes = np.fromiter(map(len, parts), np.int64, len(parts))
+    head = _pack(sizes)
+    body = zstandard.ZstdCompressor(level=1).compress(b"".join(parts))
+    return len(head).to_bytes(4, "little") + head + body
+
+
+def _unpack_bytes(data: bytes) -> list[bytes]:
+    size = int.from_bytes(data[:4], "little")
+    ends = np.cumsum(_unpack(data[4 : 4 + size])).tolist()
+    flat = zstandard.ZstdDecompressor().decompress(data[4 + size :])
+    return [flat[a:b] for a, b in zip([0, *ends], ends)]
+
+
 class _Block:
     """Texts whose words are numbered together."""
 
@@ -184,17 +198,26 @@ def encode(docs: DataFrame, path: str | None = None, text: str = "text") -> Data
     path = path or public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
     docs = docs.select(*[c for c in docs.columns if c != "ids"])
 
+    buckets = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
     def words_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for held in _numbered(batches, text):
-            rank, name = held.order(), held.mark()
-            each = list(held.number)
-            for a in range(0, len(each), 1 << 16):
-                some = each[a : a + (1 << 16)]
-                yield pa.RecordBatch.from_pydict({
-                    "block": pa.array([name] * len(some), pa.int64()),
-                    "number": pa.array(rank[a : a + len(some)].astype(np.int32)),
-                    "word": pa.array(some, pa.string()),
-                })
+            each = [w.encode("utf-8", "surrogatepass") for w in held.number]
+            bucket = np.fromiter((zlib.crc32(w) % buckets for w in each), np.int64, len(each))
+            order = np.argsort(bucket, kind="stable")
+            rank = held.order()[order]
+            cuts = np.searchsorted(bucket[order], np.arange(buckets + 1))
+            full = np.flatnonzero(np.diff(cuts))
+            order = order.tolist()
+            yield pa.RecordBatch.from_pydict({
+                "bucket": pa.array(full.astype(np.int32)),
+                "block": pa.array([held.mark()] * len(full), pa.int64()),
+                "numbers": pa.array([_pack(rank[cuts[i] : cuts[i + 1]]) for i in full], pa.binary()),
+                "words": pa.array(
+                    [_pack_bytes([each[k] for k in order[cuts[i] : cuts[i + 1]]]) for i in full],
+                    pa.binary(),
+                ),
+            })
 
     def rows_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for held in _numbered(batches, text):
@@ -206,36 +229,43 @@ def encode(docs: DataFrame, path: str | None = None, text: str = "text") -> Data
                     bpe_numbers=pa.array(packed, pa.binary()),
                 )
 
-    def encode_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def encode_words(bucket: pa.Table) -> pa.Table:
         coder = word_encoder(path)
-        for batch in batches:
-            found = [np.array(coder(w), dtype="<i4").tobytes() for w in batch.column("word").to_pylist()]
-            yield output(batch, ("seen_in",), word_ids=pa.array(found, pa.binary()))
-
-    # One exchange by word serves both the distinct words and the join back. Spark shares it because
-    # both ask for the same rows and columns: the distinct words come with one block that holds them.
-    words = docs.select(text).mapInArrow(words_of, "block bigint, number int, word string")
-    words = words.filter("word IS NOT NULL").repartition("word")  # the join would ask for this filter
-    known = words.groupBy("word").agg(F.max(F.struct("block", "number")).alias("seen_in"))
-    known = known.mapInArrow(encode_words, "word string, word_ids binary")
-    told = words.join(known, "word").select("block", "number", "word_ids")
-    extra = [T.StructField("bpe_block", T.LongType()), T.StructField("bpe_numbers", T.BinaryType())]
+        known: dict[bytes, bytes] = {}  # the bucket's distinct words
+        packed = []
+        for words in bucket.column("words").to_pylist():
+            each = _unpack_bytes(words)
+            for word in each:
+                if word not in known:
+                    ids = coder(word.decode("utf-8", "surrogatepass"))
+                    known[word] = np.array(ids, dtype="<i4").tobytes()
+            packed.append(_pack_bytes([known[w] for w in each]))
+        return pa.table({
+            "block": bucket.column("block"), "numbers": bucket.column("numbers"),
+            "word_ids": pa.chunked_array([pa.array(packed, pa.binary())]),
+        })
+
+    words = docs.select(text).mapInArrow(words_of, "bucket int, block bigint, numbers binary, words binary")
+    told = words.groupBy("bucket").applyInArrow(encode_words, "block bigint, numbers binary, word_ids binary")
     kept_fields = [f for f in docs.schema.fields if f.name != text]
+    extra = [T.StructField("bpe_block", T.LongType()), T.StructField("bpe_numbers", T.BinaryType())]
     rows = docs.mapInArrow(rows_of, T.StructType([*kept_fields, *extra]))
 
-    def put_together(key, left: pa.Table, right: pa.Table) -> pa.Table:
-        # Blocks of equal texts share a name, and give each word as often as there are such blocks.
-        number, order = np.unique(left.column("number").to_numpy(), return_index=True)
+    def put_together(left: pa.Table, right: pa.Table) -> pa.Table:
         wanted = [_unpack(data) for data in right.column("bpe_numbers").to_pylist()]
         most = max((int(w.max(initial=-1)) for w in wanted), default=-1)
+        numbers, pieces = [np.zeros(0, np.int64)], []
+        for some, ids in zip(left.column("numbers").to_pylist(), left.column("word_ids").to_pylist()):
+            numbers.append(_unpack(some))
+            pieces += _unpack_bytes(ids)
+        # Blocks of equal texts share a name, and give each word as often as there are such blocks.
+        number, order = np.unique(np.concatenate(numbers), return_index=True)
         if len(number) != most + 1 or right.num_rows == 0:
             raise RuntimeError("the input changed between two reads: write it to a table first")
-        packed = left.column("word_ids").combine_chunks().take(pa.array(order))
-        packed = packed.combine_chunks() if isinstance(packed, pa.ChunkedArray) else packed
-        size = np.frombuffer(packed.buffers()[1], np.int32)[packed.offset : packed.offset + len(packed) + 1]
-        size = size.astype(np.int64) // 4
-        flat = np.frombuffer(packed.buffers()[2] or b"", np.int32)
-        first, count = size[:-1], np.diff(size)
+        pieces = [pieces[i] for i in order.tolist()]
+        count = np.fromiter(map(len, pieces), np.int64, len(pieces)) // 4
+        first = np.cumsum(count) - count
+        flat = np.frombuffer(b"".join(pieces), dtype="<i4")
         values, ends = [], [0]
         for which in wanted:
             many = count[which]
@@ -245,57 +275,70 @@ def encode(docs: DataFrame, path: str | None = None, text: str = "text") -> Data
                 place = np.arange(total) + np.repeat(first[which] - (upto - many), many)
                 values.append(flat[place])
             ends.append(ends[-1] + total)
-        ids = pa.LargeListArray.from_arrays(
-            pa.array(ends, pa.int64()), pa.array(np.concatenate(values or [flat[:0]]), pa.int32())
-        ).cast(pa.list_(pa.int32()))
-        kept = right.drop_columns(["bpe_block", "bpe_numbers"])
-        return kept.append_column("ids", ids)
+        if ends[-1] >= 2**31:
+            raise RuntimeError("a text has more tokens than a list can hold")
+        ids = pa.ListArray.from_arrays(
+            pa.array(ends, pa.int32()), pa.array(np.concatenate(values or [flat[:0]]), pa.int32())
+        )
+        return right.drop_columns(["bpe_block", "bpe_numbers"]).append_column("ids", ids)
 
     schema = T.StructType([*kept_fields, T.StructField("ids", T.ArrayType(T.IntegerType()))])
     return told.groupBy("block").cogroup(rows.groupBy("bpe_block")).applyInArrow(put_together, schema)
 
 
+def _rows_of(batch: pa.RecordBatch, ids: str) -> Iterator[list[int] | None]:
+    for row in batch.column(ids):
+        yield row.values.to_numpy().tolist() if row.is_valid else None
+
+
 def decode(encoded: DataFrame, path: str | None = None, ids: str = "ids") -> DataFrame:
     """Adds ``decoded`` (binary): the bytes of the row's tokens in order; no ids give no bytes.
 
     An id the vocabulary lacks is an error. Null ids give null; a column ``decoded`` is replaced.
     """
-    path = path or public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
-    encoded = encoded.select(*[c for c in encoded.columns if c != "decoded"])
-    table = encoded.sparkSession.sparkContext.broadcast({i: t for t, i in ranks(path).items()})
+    return _decoded(encoded, path, ids, digest=False)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        token = table.value.__getitem__
-        for batch in batches:
-            rows = []
-            for row in batch.column(ids):
-                found = row.values.to_numpy().tolist() if row.is_valid else None
-                rows.append(None if found is None else b"".join(map(token, found)))
-            yield output(batch, decoded=pa.array(rows, pa.binary()))
-
-    fields = [*encoded.schema.fields, T.StructField("decoded", T.BinaryType())]
-    return encoded.mapInArrow(run, T.StructType(fields))
+
+def decode_digest(encoded: DataFrame, path: str | None = None, ids: str = "ids") -> DataFrame:
+    """``n_tokens``, ``ids_sha256`` and ``decoded_sha256`` in place of the ids.
+
+    The digests are those of the decimal ids, joined by commas, and of the decoded bytes. Null ids count
+    as none; columns of the three names are replaced.
+    """
+    return _decoded(encoded, path, ids, digest=True)
 
 
-def digest(decoded: DataFrame, ids: str = "ids") -> DataFrame:
-    """``n_tokens``, ``ids_sha256`` and ``decoded_sha256`` in place of ids and decoded bytes."""
-    kept = [c for c in decoded.columns if c not in (ids, "decoded")]
+def _decoded(encoded: DataFrame, path: str | None, ids: str, digest: bool) -> DataFrame:
+    path = path or public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    new = ["n_tokens", "ids_sha256", "decoded_sha256"] if digest else ["decoded"]
+    encoded = encoded.select(*[c for c in encoded.columns if c not in new])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            count, marks = [], []
-            for row in batch.column(ids):
-                found = row.values.to_numpy().tolist()
-                count.append(len(found))
-                marks.append(hashlib.sha256(",".join(map(str, found)).encode()).hexdigest())
-            yield output(
-                batch, (ids, "decoded"), n_tokens=pa.array(count, pa.int64()),
-                ids_sha256=pa.array(marks, pa.string()),
-                decoded_sha256=pa.array(
-                    [hashlib.sha256(d).hexdigest() for d in batch.column("decoded").to_pylist()], pa.string()
-                ),
-            )
+        # The token-byte table: one entry per token of the vocabulary, whatever the corpus.
+        token = {i: t for t, i in ranks(path).items()}.__getitem__
+        for whole in batches:
+            for a in range(0, whole.num_rows, 1024):
+                batch = whole.slice(a, 1024)
+                if not digest:
+                    rows = [None if r is None else b"".join(map(token, r)) for r in _rows_of(batch, ids)]
+                    yield output(batch, decoded=pa.array(rows, pa.binary()))
+                    continue
+                count, marks, texts_ = [], [], []
+                for row in _rows_of(batch, ids):
+                    row = row or []
+                    count.append(len(row))
+                    marks.append(hashlib.sha256(",".join(map(str, row)).encode()).hexdigest())
+                    texts_.append(hashlib.sha256(b"".join(map(token, row))).hexdigest())
+                yield output(
+                    batch, (ids,), n_tokens=pa.array(count, pa.int64()),
+                    ids_sha256=pa.array(marks, pa.string()),
+                    decoded_sha256=pa.array(texts_, pa.string()),
+                )
 
-    fields = [decoded.schema[c] for c in kept] + [T.StructField("n_tokens", T.LongType())]
-    fields += [T.StructField(c, T.StringType()) for c in ("ids_sha256", "decoded_sha256")]
-    return decoded.mapInArrow(run, T.StructType(fields))
+    fields = [f for f in encoded.schema.fields if not digest or f.name != ids]
+    if digest:
+        fields += [T.StructField("n_tokens", T.LongType())]
+        fields += [T.StructField(c, T.StringType()) for c in new[1:]]
+    else:
+        fields += [T.StructField("decoded", T.BinaryType())]
+    return encoded.mapInArrow(run, T.StructType(fields))

@@ -91,7 +91,7 @@ def op2_quality(spark: SparkSession, folder: str) -> DataFrame:
 
 def op3_spans(spark: SparkSession, folder: str) -> DataFrame:
     docs = _table(spark, folder, "documents").select("doc_id", "text")
-    return spans.remove_repeated(docs).select("doc_id", "n_sentences", "n_removed", "text")
+    return spans.remove_repeated(docs).select("doc_id", "n_removed", "text")
 
 
 def op4_simhash(spark: SparkSession, folder: str) -> DataFrame:
@@ -106,7 +106,7 @@ def op4_simhash(spark: SparkSession, folder: str) -> DataFrame:
 
 def op5_bpe(spark: SparkSession, folder: str) -> DataFrame:
     docs = _table(spark, folder, "documents").select("doc_id", "text")
-    return bpe.digest(bpe.decode(bpe.encode(docs)))
+    return bpe.decode_digest(bpe.encode(docs))
 
 
 def op6_top_k(spark: SparkSession, folder: str) -> DataFrame:

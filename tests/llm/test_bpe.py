@@ -53,7 +53,7 @@ def test_ids_and_round_trip(spark, docs, coder, tmp_path, monkeypatch, block):
     for r in got:
         assert r.ids == coder.encode_ordinary(r.whole or "")
         assert bytes(r.decoded) == (r.whole or "").encode()
-    told = {r.doc_id: r for r in bpe.digest(bpe.decode(bpe.encode(read.filter("doc_id = 25")))).collect()}
+    told = {r.doc_id: r for r in bpe.decode_digest(bpe.encode(read.filter("doc_id = 25"))).collect()}
     want = coder.encode_ordinary(rows()[25][1])
     assert told[25].n_tokens == len(want)
     assert told[25].ids_sha256 == hashlib.sha256(",".join(map(str, want)).encode()).hexdigest()
@@ -72,11 +72,25 @@ def test_no_documents(spark, no_docs):
     assert table.count() == len(bpe.ranks(PATH))
 
 
-def test_words_are_cut_and_shuffled_once_for_both_uses(spark, tmp_path):
-    texts = [(i, "same words here") for i in range(50)]
-    found = bpe.encode(_written(spark, spark.createDataFrame(texts, "doc_id int, text string"), tmp_path))
-    assert len(found.collect()) == 50
-    assert "ReusedExchange" in found._jdf.queryExecution().executedPlan().toString()
+def test_each_distinct_word_is_encoded_once(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(bpe, "BLOCK", 1)  # every text is a block
+    texts = [(i, f"same words here {i}") for i in range(50)]
+    read = _written(spark, spark.createDataFrame(texts, "doc_id int, text string"), tmp_path)
+    seen = spark.sparkContext.accumulator(0)
+    coder = bpe.word_encoder
+
+    def counting(path):
+        inner = coder(path)
+
+        def one(word):
+            seen.add(1)
+            return inner(word)
+
+        return one
+
+    monkeypatch.setattr(bpe, "word_encoder", counting)
+    assert len(bpe.encode(read).collect()) == 50
+    assert seen.value == 3 + 50
 
 
 def test_changed_input_is_found_out(spark):
