@@ -24,14 +24,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from rollcall.llm.common import KEY, blocks, output, row_key, texts
+from rollcall.llm.common import blocks, output, row_key, texts
+from rollcall.session import stage
 
 MIN_SENTENCES, MIN_WORDS = 2, 12
 LONG, CUT_EVERY = 24, 8
 
 _BREAK = re.compile(r"(?<=[.!?])\s+|\n\s*")
 _GAP = re.compile(r"\s+")
-_SCHEMA = "h1 bigint, h2 bigint, row_id bigint, row_hash bigint, row_check bigint, first int, last int"
+# A run's hash is 96 bits wide. A row is told by its identifier and one hash of its text.
+HASH, ROW = ["mark", "check"], ["row_id", "row_hash"]
+_SCHEMA = "mark bigint, check int, row_id bigint, row_hash bigint, first int, last int"
 
 
 def sentences(text: str) -> list[tuple[int, int, int]]:
@@ -68,6 +71,8 @@ def _cut_long(text: str, a: int, b: int) -> list[tuple[int, int, int]]:
 
 def runs(text: str, parts: list[tuple[int, int, int]], min_sentences: int, min_words: int):
     """(hash, first, last) of the run that starts at each sentence; numbers of sentences."""
+    if len(parts) < min_sentences:
+        return
     clean = [" ".join(text[a:b].lower().split()).encode("utf-8", "surrogatepass") for a, b, _ in parts]
     count = np.cumsum([0, *[n for _, _, n in parts]])
     # The sentence with which a run from each one first has enough words.
@@ -95,9 +100,9 @@ def _spans(docs: DataFrame, min_sentences: int, min_words: int) -> DataFrame:
             halves = np.frombuffer(b"".join(marks), dtype="<i8").reshape(-1, 2)
             which = pa.array(rows, pa.int64())
             yield pa.RecordBatch.from_pydict({
-                "h1": pa.array(np.ascontiguousarray(halves[:, 0])),
-                "h2": pa.array(np.ascontiguousarray(halves[:, 1])),
-                **{c: batch.column(c).take(which) for c in KEY},
+                "mark": pa.array(np.ascontiguousarray(halves[:, 0])),
+                "check": pa.array(halves[:, 1].astype(np.int32)),
+                **{c: batch.column(c).take(which) for c in ROW},
                 "first": pa.array(first, pa.int32()), "last": pa.array(last, pa.int32()),
             })
 
@@ -110,59 +115,61 @@ def repeated(docs: DataFrame, min_sentences: int = MIN_SENTENCES, min_words: int
     Rows without one do not appear; the copies of a row share one line.
     """
     keyed = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
-    spans = _spans(keyed.select(*row_key(), F.col("text")), min_sentences, min_words)
-    place = F.struct(F.col("row_id").isNull().alias("none"), *KEY, "first")
-    firsts = spans.groupBy("h1", "h2").agg(F.count(F.lit(1)).alias("n"), F.min(place).alias("lead"))
-    firsts = firsts.filter("n > 1").select("h1", "h2", "lead")
-    later = spans.join(firsts, ["h1", "h2"]).filter(F.col("lead") != place)
-    return later.groupBy(*KEY).agg(F.collect_set(F.struct("first", "last")).alias("cover"))
+    spans = _spans(keyed.select(*row_key()[:2], F.col("text")), min_sentences, min_words)
+    place = F.struct(F.col("row_id").isNull().alias("none"), *ROW, "first")
+    firsts = spans.groupBy(*HASH).agg(F.count(F.lit(1)).alias("n"), F.min(place).alias("lead"))
+    # Only repeated spans, written: a join of two plain exchanges lets Spark split a frequent span.
+    firsts = stage(firsts.filter("n > 1").select(*HASH, "lead"), "repeated-spans")
+    later = spans.join(firsts, HASH).filter(F.col("lead") != place)
+    return later.groupBy(*ROW).agg(F.collect_set(F.struct("first", "last")).alias("cover"))
 
 
 def remove_repeated(
     docs: DataFrame, min_sentences: int = MIN_SENTENCES, min_words: int = MIN_WORDS
 ) -> DataFrame:
-    """Every row with the sentences of its non-first spans cut out of ``text``.
+    """Every row with the sentences of its non-first spans cut out of ``text``; adds ``n_removed``.
 
-    Adds ``n_sentences`` and ``n_removed``. What follows a sentence up to the next one goes with it;
-    all else stays as it is. Null texts stay null, empty and blank ones as they are. The first copy of a
-    row keeps its spans and so do rows equal to it in identifier and text. Columns of the two names are
-    replaced.
+    What follows a sentence up to the next one goes with it; all else stays as it is. Null texts stay
+    null, empty and blank ones as they are. The first copy of a row keeps its spans and so do rows equal
+    to it in identifier and text. A column ``n_removed`` is replaced.
     """
-    names = [c for c in docs.columns if c not in ("n_sentences", "n_removed")]
+    names = [c for c in docs.columns if c != "n_removed"]
     docs = docs.select(*names)
     cover = repeated(docs, min_sentences, min_words)
-    rows = docs.select(F.struct(*names).alias("row"), *row_key())
+    rows = docs.select(F.struct(*names).alias("row"), *row_key()[:2])
     rows = rows.withColumn("row_id", F.col("row_id").cast("bigint"))
-    same = [rows[c].eqNullSafe(cover[c]) if c == "row_id" else rows[c] == cover[c] for c in KEY]
-    met = rows.join(cover, same[0] & same[1] & same[2], "left").select(
+    same = rows["row_id"].eqNullSafe(cover["row_id"]) & (rows["row_hash"] == cover["row_hash"])
+    met = rows.join(cover, same, "left").select(
         "row", F.col("row.text").alias("text"), "cover.first", "cover.last"
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in blocks(batches, "text"):
-            kept, sizes, gone = [], [], []
+            kept, gone = [], []
             for text, first, last in zip(*[batch.column(i).to_pylist() for i in (1, 2, 3)]):
-                parts = sentences(text or "")
-                sizes.append(len(parts))
+                if not first:
+                    kept.append(text)
+                    gone.append(0)
+                    continue
+                parts = sentences(text)
                 mark = np.zeros(len(parts) + 1, dtype=np.int64)
-                np.add.at(mark, np.array(first or [], dtype=np.int64), 1)
-                np.add.at(mark, np.array(last or [], dtype=np.int64) + 1, -1)
+                np.add.at(mark, np.array(first, dtype=np.int64), 1)
+                np.add.at(mark, np.array(last, dtype=np.int64) + 1, -1)
                 covered = np.cumsum(mark)[:-1] > 0
                 gone.append(int(covered.sum()))
-                kept.append(_without(text, parts, covered) if gone[-1] else text)
+                kept.append(_without(text, parts, covered))
             yield output(
                 batch, ("first", "last"), text=pa.array(kept, pa.string()),
-                n_sentences=pa.array(sizes, pa.int64()), n_removed=pa.array(gone, pa.int64()),
+                n_removed=pa.array(gone, pa.int64()),
             )
 
     row = met.schema["row"]
     schema = T.StructType([
-        row, T.StructField("text", T.StringType()),
-        T.StructField("n_sentences", T.LongType()), T.StructField("n_removed", T.LongType()),
+        row, T.StructField("text", T.StringType()), T.StructField("n_removed", T.LongType()),
     ])
     cut = met.mapInArrow(run, schema)
     columns = [F.col("text") if c == "text" else F.col("row")[c].alias(c) for c in names]
-    return cut.select(*columns, "n_sentences", "n_removed")
+    return cut.select(*columns, "n_removed")
 
 
 def _without(text: str, parts: list[tuple[int, int, int]], covered: np.ndarray) -> str:

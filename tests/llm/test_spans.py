@@ -58,7 +58,7 @@ def test_long_stretch_without_full_stops(spark):
 
 def test_dirt(spark, docs, no_docs):
     got = spans.remove_repeated(docs.withColumnRenamed("lang", "row").withColumnRenamed("source", "first"))
-    assert got.columns == ["doc_id", "text", "row", "first", "n_chars", "n_sentences", "n_removed"]
+    assert got.columns == ["doc_id", "text", "row", "first", "n_chars", "n_removed"]
     assert got.count() == len(rows())
     kept = {(r.doc_id, r.text) for r in got.collect()}
     assert (0, None) in kept and (1, "") in kept and (2, " \t\r\n") in kept
