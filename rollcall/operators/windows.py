@@ -29,8 +29,3 @@ def top_row(df: DataFrame, group: str, by: str, key: str) -> DataFrame:
         .agg(best.alias("__best"))
         .select(group, F.col(f"__best.{by}").alias(by), (-F.col("__best.k")).alias(key))
     )
-
-
-def rank_groups(total: Column, *ties: Column) -> Column:
-    """Dense rank by descending total, for a result already grouped to few rows."""
-    return F.dense_rank().over(Window.orderBy(total.desc(), *ties))

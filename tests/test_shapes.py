@@ -81,6 +81,31 @@ def test_filters_reach_the_scan(reg, star):
     assert "In(uf, [ASIA,EUROPE])" in text
 
 
+def test_region_prefixes_and_dates_reach_the_scan(spark, reg, star):
+    spark.conf.set("spark.sql.maxMetadataStringLength", "100000")
+    try:
+        text = plan(compare.compare_kpis(reg, "prefix", ["11", "21"]))
+    finally:
+        spark.conf.unset("spark.sql.maxMetadataStringLength")
+    pushed = re.search(r"PushedFilters: (.*)", text)[1]
+    assert "GreaterThanOrEqual(muni_code,110)" in pushed and "LessThanOrEqual(muni_code,219)" in pushed
+    text = plan(compare.growth_by_state(reg, ["ASIA", "EUROPE"], 1997))
+    assert "GreaterThanOrEqual(opened,1997-01-01)" in text and "In(uf, [ASIA,EUROPE])" in text
+
+
+def test_all_marts_come_from_two_readings_of_the_facts(reg, star, monkeypatch):
+    made = []
+    stage = marts.stage
+    monkeypatch.setattr(marts, "stage", lambda df, stem: made.append(stem) or stage(df, stem))
+    builders = marts.mart_builders(reg, star.sec, star.mun, closed="F", active="O", min_sector=3)
+    facts = {"capital", "opened", "status_date"}
+    for build in builders.values():
+        mart = build()
+        mart.collect()
+        assert not [c for c in scans(mart) if c & (facts - {"capital"})]
+    assert sorted(made) == ["place-sums", "sector-sums"]
+
+
 def test_ranking_is_a_topk_with_its_floor_pushed(reg, star):
     text = plan(strategic.rank_capital(reg, star.sec, star.mun))
     assert "TakeOrderedAndProject(limit=25" in text
@@ -129,7 +154,7 @@ def test_no_broadcast_above_the_threshold(spark, reg, star):
         spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
 
 
-def test_hot_identifier_is_split_and_whole(spark, star):
+def test_hot_identifier_keeps_every_pair(spark, star):
     """A third of all establishments share one identifier; the join must keep every pair."""
     est = star.est.withColumn(
         "cnpj_basico",
