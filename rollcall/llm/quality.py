@@ -24,6 +24,7 @@ from rollcall.llm.common import SPACE, blocks, code_points, output, texts
 MAX_DOCS, MAX_CHARS = 2_000, 4_000_000
 BUCKETS = 1 << 18
 CHAR_SIZES = (1, 2, 3, 4)
+MIN_SEEN = 5
 THRESHOLD = 0.5
 MIN_WORDS, MAX_REPEAT_PERCENT = 50, 50
 SYMBOLS = "#*$%&|<>"
@@ -147,8 +148,12 @@ def _features(sample: DataFrame) -> list[tuple[int, int, np.ndarray, np.ndarray]
     ]
 
 
-def train(docs: DataFrame, labels: DataFrame, rounds: int = 150, penalty: float = 1e-5) -> Classifier:
-    """Fit on the bounded sample; rows of one label only (or none) give a model that keeps all."""
+def train(docs: DataFrame, labels: DataFrame, rounds: int = 200, penalty: float = 1e-3) -> Classifier:
+    """Fit on the bounded sample; rows of one label only (or none) give a model that keeps all.
+
+    Buckets seen in fewer than ``MIN_SEEN`` texts of the sample take no part, and both labels weigh
+    alike while the weights are fitted; the calibration then sees labels as frequent as they are.
+    """
     docs = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
     labels = labels.select(F.col("doc_id").cast("bigint").alias("doc_id"),
                            F.col("quality").cast("int").alias("quality"))
@@ -156,20 +161,25 @@ def train(docs: DataFrame, labels: DataFrame, rounds: int = 150, penalty: float
     if len({r[1] > 0 for r in rows}) < 2:
         return Classifier(None)
     label = np.array([r[1] > 0 for r in rows], dtype=np.float64)
-    used = np.unique(np.concatenate([r[2] for r in rows]))
+    every, many = np.unique(np.concatenate([r[2] for r in rows]), return_counts=True)
+    used = every[many >= min(MIN_SEEN, len(rows) // 20 + 1)]
+    rows = [(i, q, n[kept], v[kept]) for i, q, n, v in rows for kept in [np.isin(n, used, kind="sort")]]
     number = np.searchsorted(used, np.concatenate([r[2] for r in rows])).astype(np.int32)
-    # Frequencies are tiny; roots of a bucket's usual frequency bring all features to one scale.
+    # Frequencies are tiny; dividing by a bucket's root mean square brings all features to one scale.
     share = np.concatenate([r[3] for r in rows])
     row = np.repeat(np.arange(len(rows), dtype=np.int32), [len(r[2]) for r in rows])
     scale = 1 / np.sqrt(np.bincount(number, share * share, len(used)) / len(rows) + 1e-8)
-    value = share * np.minimum(scale, 300).astype(np.float32)[number]
+    scale = np.minimum(scale, 300) / np.sqrt(len(rows[0][2]) + 1)
+    value = share * scale.astype(np.float32)[number]
     aside = np.arange(len(rows)) % 5 == 4
     fit = ~aside if len({*label[~aside]}) == 2 else np.ones(len(rows), dtype=bool)
-    weight, bias = np.zeros(len(used)), float(np.log(label.mean() / (1 - label.mean())))
+    weight, bias = np.zeros(len(used)), 0.0
     seen, seen_bias = np.zeros(len(used)), 0.0
+    good = label[fit].mean()
+    matter = np.where(fit, np.where(label > 0, 0.5 / good, 0.5 / (1 - good)), 0) / fit.sum()
     for _ in range(rounds):  # AdaGrad on the whole sample
         score = np.bincount(row, value * weight[number], len(rows)) + bias
-        error = np.where(fit, _sigmoid(score) - label, 0) / fit.sum()
+        error = (_sigmoid(score) - label) * matter
         slope = np.bincount(number, value * error[row], len(used)) + penalty * weight
         seen += slope**2
         weight -= 0.1 * slope / np.sqrt(seen + 1e-16)
@@ -179,7 +189,7 @@ def train(docs: DataFrame, labels: DataFrame, rounds: int = 150, penalty: float
     held = aside if fit.sum() < len(rows) and len({*label[aside]}) == 2 else fit
     slope, offset = _calibrate(score[held], label[held])
     whole = np.zeros((len(CHAR_SIZES) + 2) * BUCKETS, dtype=np.float32)
-    whole[used] = weight * np.minimum(scale, 300)
+    whole[used] = weight * scale
     return Classifier(whole.reshape(-1, BUCKETS), bias, slope, offset)
 
 
@@ -188,13 +198,16 @@ def _calibrate(score: np.ndarray, label: np.ndarray) -> tuple[float, float]:
     good, bad = label.sum(), len(label) - label.sum()
     target = np.where(label > 0, (good + 1) / (good + 2), 1 / (bad + 2))
     x = np.c_[score, np.ones(len(score))]
-    w = np.array([1.0, 0.0])
-    for _ in range(50):
+    x[:, 0] /= np.abs(score).mean() + 1e-9
+    w, rest = np.array([1.0, 0.0]), np.array([1.0, 0.0])
+    for _ in range(200):  # a weak pull to the raw scores keeps clean cuts from running away
         p = _sigmoid(x @ w)
-        hess = (x * (p * (1 - p))[:, None]).T @ x + 1e-6 * np.eye(2)
-        w = w - np.linalg.solve(hess, x.T @ (p - target))
+        slope = x.T @ (p - target) + 0.1 * (w - rest)
+        hess = (x * (p * (1 - p))[:, None]).T @ x + 0.1 * np.eye(2)
+        step = np.linalg.solve(hess, slope)
+        w = w - step / max(1.0, np.abs(step).max())
         w[0] = max(w[0], 1e-3)
-    return float(w[0]), float(w[1])
+    return float(w[0] / (np.abs(score).mean() + 1e-9)), float(w[1])
 
 
 def base_counts(text: str) -> tuple[int, int, int, int, int]:
