@@ -8,7 +8,7 @@ other occurrence go. From each sentence starts one run: the shortest that has ``
 
 Sentences end at a line break, and at ``. ! ?`` before white space. A sentence of more than
 ``LONG`` words is cut after words picked by their hash, so that the same long stretch is cut alike
-wherever it stands. Words are compared lower-cased, white space does not count.
+wherever it stands, and after ``LONGEST`` words at the latest. Words are compared lower-cased, white space does not count.
 """
 
 from __future__ import annotations
@@ -28,7 +28,7 @@ from rollcall.llm.common import blocks, output, row_key, texts
 from rollcall.session import stage
 
 MIN_SENTENCES, MIN_WORDS = 2, 12
-LONG, CUT_EVERY = 24, 8
+LONG, CUT_EVERY, LONGEST = 24, 8, 48
 
 _BREAK = re.compile(r"(?<=[.!?])\s+|\n\s*")
 _GAP = re.compile(r"\s+")
@@ -60,7 +60,8 @@ def _cut_long(text: str, a: int, b: int) -> list[tuple[int, int, int]]:
         word = text[word_at : gap.start()]
         word_at = gap.end()
         words += bool(word)
-        if word and zlib.crc32(word.lower().encode("utf-8", "surrogatepass")) % CUT_EVERY == 0:
+        mark = zlib.crc32(word.lower().encode("utf-8", "surrogatepass"))
+        if word and (mark % CUT_EVERY == 0 or words >= LONGEST):
             found.append((start, gap.start(), words))
             start, words = gap.end(), 0
     words += word_at < b

@@ -56,6 +56,12 @@ def test_long_stretch_without_full_stops(spark):
     assert got[0] == texts[0] and len(got[1].split()) < 60
 
 
+def test_one_word_over_and_over(spark):
+    texts = ["Oure " * 500, "own words first " + "Oure " * 400, "Oure " * 500]
+    got = {r.doc_id: len(r.text.split()) for r in spans.remove_repeated(_frame(spark, texts)).collect()}
+    assert got[0] <= 96 and got[1] < 100 and got[2] < 50
+
+
 def test_dirt(spark, docs, no_docs):
     got = spans.remove_repeated(docs.withColumnRenamed("lang", "row").withColumnRenamed("source", "first"))
     assert got.columns == ["doc_id", "text", "row", "first", "n_chars", "n_removed"]
