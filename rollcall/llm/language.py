@@ -222,20 +222,20 @@ def train(docs: DataFrame, lang: str = "lang") -> Model:
     (languages x buckets) at most.
     """
     known = docs.filter(F.col("text").isNotNull() & F.col(lang).isNotNull())
-    known = known.select(F.col(lang).cast("string").alias("lang"), "text")
-    rank = Window.partitionBy("lang").orderBy("order", "check")
-    picked = known.select(
-        "lang", F.xxhash64("text").alias("order"), F.xxhash64(F.lit(1), "text").alias("check")
-    ).distinct()
+    known = known.select(F.col(lang).cast("string").alias("lang"), "text", F.xxhash64("text").alias("order"))
+    rank = Window.partitionBy("lang").orderBy("order")
+    picked = known.select("lang", "order").distinct()
     picked = picked.withColumn("n", F.row_number().over(rank)).filter(F.col("n") <= MAX_DOCS)
-    sample = known.withColumns({
-        "order": F.xxhash64("text"), "check": F.xxhash64(F.lit(1), F.col("text")),
-    }).join(picked.drop("n"), ["lang", "order", "check"], "left_semi")
+    # One number per language: texts up to it are the sample, found without a join.
+    edges = picked.groupBy("lang").agg(F.max("order").alias("edge")).collect()
+    edge = F.create_map(*[F.lit(x) for r in edges for x in (r.lang, r.edge)]) if edges else None
+    sample = known.filter(F.col("order") <= edge[F.col("lang")]) if edges else known.limit(0)
+    sample = sample.dropDuplicates(["lang", "order"])
     sizes = {r.lang: r["count"] for r in known.groupBy("lang").count().collect()}
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[str, np.ndarray] = {}
-        for batch in blocks(batches, "text", 1 << 20):
+        for batch in blocks(batches, "text", 1 << 18):
             parts, tags = texts(batch, "text"), batch.column("lang").to_pylist()
             for tag in set(tags):
                 mine = split_words([p for p, t in zip(parts, tags) if t == tag])
@@ -291,7 +291,7 @@ def identify(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = shared.value
         n_langs = len(held.languages)
-        for batch in blocks(batches, "text", 1 << 20):
+        for batch in blocks(batches, "text", 1 << 18):
             parts = texts(batch, "text")
             n = len(parts)
             words = split_words(parts)
