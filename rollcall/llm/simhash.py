@@ -193,6 +193,9 @@ def links(marks: DataFrame, budget: int = BUDGET, node_size: int = NODE_SIZE) ->
     ]))
     sent = marks.select("fingerprint", ways.alias("w")).select("fingerprint", "w.*")
     sent = sent.join(table, ["depth", "prefix"]).drop("depth", "prefix")
+    # Groups are small in bytes and long in work: a number of tasks that is not merged by size.
+    tasks = max(1, min(len(pairs), 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))))
+    sent = sent.repartition(tasks, "pair")
 
     def walk(group: pa.Table) -> pa.Table:
         side = group.column("side").to_numpy()
