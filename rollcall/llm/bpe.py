@@ -35,7 +35,7 @@ from pyspark.sql import types as T
 from rollcall.llm.common import blocks, code_points, output, texts
 
 # Bytes of text whose distinct words are numbered together, and those cut up at a time.
-BLOCK, PIECE = 12 << 20, 1 << 20
+BLOCK, PIECE = 6 << 20, 1 << 19
 # What follows an apostrophe in a pre-token of its own, as in the published pattern.
 SUFFIXES = ("s", "t", "re", "ve", "m", "ll", "d")
 
@@ -299,16 +299,20 @@ def decode(encoded: DataFrame, path: str | None = None, ids: str = "ids") -> Dat
     return _decoded(encoded, path, ids, digest=False)
 
 
-def decode_digest(encoded: DataFrame, path: str | None = None, ids: str = "ids") -> DataFrame:
-    """``n_tokens``, ``ids_sha256`` and ``decoded_sha256`` in place of the ids.
+def decode_digest(
+    encoded: DataFrame, path: str | None = None, ids: str = "ids", keep_ids: bool = False
+) -> DataFrame:
+    """``n_tokens``, ``ids_sha256`` and ``decoded_sha256`` in place of the ids, or beside them.
 
     The digests are those of the decimal ids, joined by commas, and of the decoded bytes. Null ids count
     as none; columns of the three names are replaced.
     """
-    return _decoded(encoded, path, ids, digest=True)
+    return _decoded(encoded, path, ids, digest=True, keep_ids=keep_ids)
 
 
-def _decoded(encoded: DataFrame, path: str | None, ids: str, digest: bool) -> DataFrame:
+def _decoded(
+    encoded: DataFrame, path: str | None, ids: str, digest: bool, keep_ids: bool = True
+) -> DataFrame:
     path = path or public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
     new = ["n_tokens", "ids_sha256", "decoded_sha256"] if digest else ["decoded"]
     encoded = encoded.select(*[c for c in encoded.columns if c not in new])
@@ -317,8 +321,8 @@ def _decoded(encoded: DataFrame, path: str | None, ids: str, digest: bool) -> Da
         # The token-byte table: one entry per token of the vocabulary, whatever the corpus.
         token = {i: t for t, i in ranks(path).items()}.__getitem__
         for whole in batches:
-            for a in range(0, whole.num_rows, 1024):
-                batch = whole.slice(a, 1024)
+            for a in range(0, whole.num_rows, 256):
+                batch = whole.slice(a, 256)
                 if not digest:
                     rows = [None if r is None else b"".join(map(token, r)) for r in _rows_of(batch, ids)]
                     yield output(batch, decoded=pa.array(rows, pa.binary()))
@@ -330,12 +334,12 @@ def _decoded(encoded: DataFrame, path: str | None, ids: str, digest: bool) -> Da
                     marks.append(hashlib.sha256(",".join(map(str, row)).encode()).hexdigest())
                     texts_.append(hashlib.sha256(b"".join(map(token, row))).hexdigest())
                 yield output(
-                    batch, (ids,), n_tokens=pa.array(count, pa.int64()),
+                    batch, () if keep_ids else (ids,), n_tokens=pa.array(count, pa.int64()),
                     ids_sha256=pa.array(marks, pa.string()),
                     decoded_sha256=pa.array(texts_, pa.string()),
                 )
 
-    fields = [f for f in encoded.schema.fields if not digest or f.name != ids]
+    fields = [f for f in encoded.schema.fields if keep_ids or f.name != ids]
     if digest:
         fields += [T.StructField("n_tokens", T.LongType())]
         fields += [T.StructField(c, T.StringType()) for c in new[1:]]
