@@ -43,12 +43,11 @@ def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Byte-level BPE: token ids in place of texts, checked by decoding them again."""
     rows = docs.withColumn("text_sha256", F.sha2(F.coalesce("text", F.lit("")), 256))
-    back = bpe.decode(bpe.encode(rows))
+    back = bpe.decode_digest(bpe.encode(rows), keep_ids=True)
     wrong = F.raise_error(F.lit("decoded text differs from the document"))
-    same = F.sha2("decoded", 256) == F.col("text_sha256")
-    ids = F.when(same, F.col("ids")).otherwise(wrong)
+    same = F.col("decoded_sha256") == F.col("text_sha256")
     kept = [c for c in docs.columns if c != "text"]
-    return back.select(*kept, ids.alias("ids"), F.size("ids").cast("bigint").alias("n_tokens"))
+    return back.select(*kept, "ids", F.when(same, F.col("n_tokens")).otherwise(wrong).alias("n_tokens"))
 
 
 def _counted(docs: DataFrame) -> DataFrame:
