@@ -1,0 +1,162 @@
+"""Pairs of texts with at least a given share of word shingles in common.
+
+Candidates share a band of MinHash values: ``BANDS`` bands of ``ROWS`` values each meet at a similarity
+of 0.8 but for a chance of 5 in 100,000. Each candidate is then compared exactly, by its whole set of
+shingles. Only bands that several texts share go on, and only the sets of those texts are built.
+
+A crowd of near copies yields no pairs: in a band every text is compared with the band's first one.
+Then only bands go on whose texts do not all hang together yet, and in them the texts that do not hang
+on the first one are compared with all that they do not hang together with.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import xxhash
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from rollcall.llm.common import LOWER, UPPER, blocks, texts
+from rollcall.llm.components import components
+from rollcall.session import stage
+
+WORDS, SIMILAR, SEED = 5, 0.8, 42
+BANDS, ROWS = 25, 5
+
+_LOWER = bytes.maketrans(UPPER.encode(), LOWER.encode())
+_RANDOM = np.random.default_rng(SEED)
+_TIMES = _RANDOM.integers(0, 2**64, (BANDS * ROWS, 1), dtype=np.uint64) | np.uint64(1)
+_PLACE = _RANDOM.integers(0, 2**64, ROWS, dtype=np.uint64) | np.uint64(1)
+_BAND = _RANDOM.integers(0, 2**64, BANDS, dtype=np.uint64)
+
+NODE = ["row_hash", "row_check"]
+
+
+def shingles(text: str, words: int = WORDS) -> np.ndarray:
+    """Sorted hashes of the distinct shingles of a text; none without words."""
+    found = text.encode("utf-8", "surrogatepass").translate(_LOWER).split()
+    if not found:
+        return np.zeros(0, dtype=np.uint64)
+    joined = b" ".join(found)
+    ends = np.cumsum(np.fromiter(map(len, found), np.int64, len(found)) + 1) - 1
+    starts = np.r_[0, ends[:-1] + 1]
+    width = min(words, len(found))
+    digest = xxhash.xxh64_intdigest
+    places = zip(starts[: len(found) - width + 1].tolist(), ends[width - 1 :].tolist())
+    return np.unique(np.array([digest(joined[a:b], SEED) for a, b in places], dtype=np.uint64))
+
+
+def bands(held: np.ndarray) -> np.ndarray:
+    """A number for each band of a set of shingles; none for an empty set."""
+    if len(held) == 0:
+        return np.zeros(0, dtype=np.int64)
+    least = np.full(BANDS * ROWS, 2**64 - 1, dtype=np.uint64)
+    for a in range(0, len(held), 1 << 12):
+        np.minimum(least, (held[None, a : a + (1 << 12)] * _TIMES).min(axis=1), out=least)
+    mixed = (least ^ (least >> np.uint64(32))).reshape(BANDS, ROWS) * _PLACE
+    mixed = (mixed ^ (mixed >> np.uint64(29))).sum(axis=1, dtype=np.uint64) ^ _BAND
+    return mixed.view(np.int64)
+
+
+def similar(a: np.ndarray, b: np.ndarray, least: float) -> bool:
+    """Whether two sets have at least that Jaccard similarity."""
+    short, long = sorted((len(a), len(b)))
+    if short < least * long:
+        return False
+    both = len(np.intersect1d(a, b, assume_unique=True))
+    return both >= least * (len(a) + len(b) - both) - 1e-9
+
+
+def _banded(docs: DataFrame) -> DataFrame:
+    """(node, band) of every text; copies of a text are one node."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in blocks(batches, "text"):
+            found = [bands(shingles(t)) for t in texts(batch, "text")]
+            ends = np.cumsum([0, *map(len, found)]).astype(np.int32)
+            flat = pa.array(np.concatenate([np.zeros(0, dtype=np.int64), *found]))
+            yield pa.RecordBatch.from_pydict({
+                **{c: batch.column(c) for c in NODE},
+                "bands": pa.ListArray.from_arrays(pa.array(ends), flat),
+            })
+
+    made = docs.mapInArrow(run, "row_hash bigint, row_check bigint, bands array<bigint>")
+    once = made.groupBy(*NODE).agg(F.first("bands").alias("bands"))
+    return once.select(*NODE, F.explode("bands").alias("band"))
+
+
+def _sets(docs: DataFrame) -> DataFrame:
+    """(node, held): the shingles of every text as bytes."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in blocks(batches, "text"):
+            held = pa.array([shingles(t).tobytes() for t in texts(batch, "text")], pa.binary())
+            yield pa.RecordBatch.from_pydict({**{c: batch.column(c) for c in NODE}, "held": held})
+
+    made = docs.mapInArrow(run, "row_hash bigint, row_check bigint, held binary")
+    return made.groupBy(*NODE).agg(F.first("held").alias("held"))
+
+
+def _verified(pairs: DataFrame, sets: DataFrame, least: float) -> DataFrame:
+    """Links ``a``, ``b`` of those pairs (a, b: nodes with their mark) that are similar enough."""
+    one = sets.select(F.struct(*NODE).alias("a_node"), F.col("held").alias("a_held"))
+    two = sets.select(F.struct(*NODE).alias("b_node"), F.col("held").alias("b_held"))
+    met = pairs.join(one, "a_node").join(two, "b_node").select("a", "b", "a_held", "b_held")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sides = [batch.column(c).to_pylist() for c in ("a_held", "b_held")]
+            good = pa.array([
+                similar(np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64), least)
+                for x, y in zip(*sides)
+            ], pa.bool_())
+            yield batch.select(["a", "b"]).filter(good)
+
+    return met.mapInArrow(run, "a bigint, b bigint").distinct()
+
+
+def links(docs: DataFrame, marks: DataFrame, near: DataFrame, least: float = SIMILAR) -> DataFrame:
+    """``near`` and more links, so that the marks of similar texts hang together.
+
+    ``docs`` has the columns of a row key and ``text``, ``marks`` one mark of every text (``row_hash``,
+    ``row_check``, ``fingerprint``), ``near`` links ``a``, ``b`` of marks known already. Texts without
+    words get no link here.
+    """
+    docs = docs.select(*NODE, "text")
+    named = marks.groupBy(*NODE).agg(F.min("fingerprint").alias("mark"))
+    banded = stage(_banded(docs), "bands")
+    node = F.struct(*NODE)
+    shared = banded.groupBy("band").agg(F.count(F.lit(1)).alias("n"), F.min(node).alias("lead"))
+    shared = stage(shared.filter("n > 1").select("band", "lead"), "shared-bands")
+    met = stage(banded.join(shared, "band").join(named, NODE), "band-members")
+    sets = stage(_sets(docs.join(met.select(*NODE).distinct(), NODE, "left_semi")), "shingle-sets")
+    heads = met.filter(node == F.col("lead")).select(
+        F.col("lead").alias("a_node"), F.col("mark").alias("a")
+    ).distinct()
+    follow = met.filter(node != F.col("lead")).select(
+        F.col("lead").alias("a_node"), node.alias("b_node"), F.col("mark").alias("b")
+    ).distinct()
+    first = _verified(follow.join(heads, "a_node").filter("a <> b"), sets, least)
+    known = stage(near.select("a", "b").unionByName(first), "first-links")
+
+    roots = components(known, "first-roots").withColumnRenamed("node", "mark")
+    placed = met.join(roots, "mark", "left").withColumn("root", F.coalesce("root", "mark"))
+    placed = stage(placed, "placed-members")
+    home = F.max(F.when(node == F.col("lead"), F.col("root"))).alias("home")
+    apart = placed.groupBy("band").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), home)
+    apart = stage(apart.filter("lo <> hi").select("band", "home"), "open-bands")
+    rest = placed.join(apart, "band")
+    away = rest.filter("root <> home").select(
+        "band", node.alias("a_node"), F.col("mark").alias("a"), F.col("root").alias("a_root")
+    )
+    others = rest.filter(node != F.col("lead")).select(
+        "band", node.alias("b_node"), F.col("mark").alias("b"), F.col("root").alias("b_root")
+    )
+    # Pairs of two texts that are both away come up twice: once is enough.
+    once = (F.col("b_root") == F.col("home")) | (F.col("a_node") < F.col("b_node"))
+    pairs = away.join(others.join(apart, "band"), "band").filter("a_root <> b_root").filter(once)
+    second = _verified(pairs.select("a_node", "a", "b_node", "b").distinct(), sets, least)
+    return stage(known.unionByName(second), "similar-links")

@@ -1,0 +1,81 @@
+import random
+
+import corpus_pipeline
+import numpy as np
+from helpers import ASCII_LOWER, rows, words
+
+from rollcall.llm import shingles, simhash
+
+
+def held(text):
+    w = words((text or "").translate(ASCII_LOWER))
+    return {" ".join(w[i : i + 5]) for i in range(max(1, len(w) - 4))} if w else set()
+
+
+def share(a, b):
+    return len(a & b) / len(a | b) if a | b else 0
+
+
+def _copies():
+    """Texts, each with a copy in which words are changed here and there, from hardly to mostly."""
+    rng = random.Random(5)
+    texts = []
+    for i in range(60):
+        w = [f"w{rng.randrange(10**6)}" for _ in range(rng.randrange(40, 300))]
+        texts.append(" ".join(w))
+        for k in rng.sample(range(len(w)), max(1, len(w) * (i % 8) // 120)):
+            w[k] = f"x{k}"
+        texts.append(" ".join(w))
+    return texts
+
+
+def _roots(texts, marks):
+    """Smallest member of each component of near marks and similar texts, all pairs compared."""
+    sets, root = [held(t) for t in texts], list(range(len(texts)))
+
+    def find(a):
+        while root[a] != a:
+            a = root[a]
+        return a
+
+    for i in range(len(texts)):
+        for j in range(i):
+            if (marks[i] ^ marks[j]).bit_count() <= 4 or share(sets[i], sets[j]) >= 0.8:
+                a, b = sorted((find(i), find(j)))
+                root[b] = a
+    return [find(i) for i in range(len(texts))]
+
+
+def test_sets_and_exact_comparison():
+    for text in [r[1] or "" for r in rows()]:
+        assert len(shingles.shingles(text)) == len(held(text))
+    a, b = np.arange(10, dtype=np.uint64), np.arange(1, 11, dtype=np.uint64)
+    assert shingles.similar(a, b, 9 / 11) and not shingles.similar(a, b, 0.83)
+
+
+def test_stage_links_every_similar_pair(spark):
+    texts = _copies()
+    marks = [simhash.fingerprint(t) % 2**64 for t in texts]
+    root = _roots(texts, marks)
+    far = [i for i in range(0, 120, 2) if root[i + 1] == i and (marks[i] ^ marks[i + 1]).bit_count() > 4]
+    assert len(far) >= 10  # which fingerprints alone would not link
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    kept = {r.doc_id for r in corpus_pipeline.near_once(spark, frame, "").collect()}
+    assert kept == set(root)
+
+
+def test_similar_to_another_than_the_first(spark):
+    # A chain: each text is similar to the next one, the ends are not, and all share bands.
+    rng = random.Random(3)
+    w = [f"w{rng.randrange(10**6)}" for _ in range(200)]
+    chain = [" ".join(w[4 * k : 4 * k + 150]) for k in range(10)]
+    assert share(held(chain[0]), held(chain[9])) < 0.8 <= share(held(chain[0]), held(chain[1]))
+    frame = spark.createDataFrame(list(enumerate(chain)), "doc_id bigint, text string")
+    assert [r.doc_id for r in corpus_pipeline.near_once(spark, frame, "").collect()] == [0]
+
+
+def test_stage_on_dirt(spark, docs, no_docs):
+    kept = corpus_pipeline.near_once(spark, docs, "").collect()
+    texts = [r.text or "" for r in kept]
+    assert len(set(_roots(texts, [simhash.fingerprint(t) % 2**64 for t in texts]))) == len(texts)
+    assert corpus_pipeline.near_once(spark, no_docs, "").count() == 0
