@@ -1,14 +1,18 @@
 """Substring dedup by sliding sentence spans.
 
-Every run of a few consecutive sentences is hashed. Runs with the same hash, anywhere in the corpus, are
-occurrences of one span; the first (by identifier, then by place) stays, and sentences covered by any
-other occurrence go. From each sentence starts one run: the shortest that has ``min_sentences`` and
-``min_words``. A repeated passage of whole sentences is then covered but for a tail of fewer than
-``min_words`` words.
-
-Sentences end at a line break, and at ``. ! ?`` before white space. A sentence of more than
-``LONG`` words is cut after words picked by their hash, so that the same long stretch is cut alike
-wherever it stands, and after ``LONGEST`` words at the latest. Words are compared lower-cased, white space does not count.
+Every run of a few consecutive pieces is hashed. Runs with the same hash, anywhere in the corpus, are
+occurrences of one span; the first (by identifier, then by place) stays, and pieces covered by any
+other occurrence go. From each piece starts one run, the shortest that has ``min_sentences`` pieces and
+``min_words``, and at each piece ends one. A repeated passage is then covered from the first end of a
+piece in it to the last one.
+
+Sentences end at a line break, and at ``. ! ?`` before white space. Pieces end there too, and after one
+word in ``PIECE`` picked by its hash alone: whether a passage is cut at some place depends on no word
+outside it, wherever it starts and ends. Only where no word is picked is it cut after ``LONGEST`` words.
+Of a
+sentence that is not covered whole, stretches of fewer than ``FRAGMENT`` words stay. A sentence of more
+than ``LONG`` words counts as several. Words are compared lower-cased, white space
+does not count.
 """
 
 from __future__ import annotations
@@ -29,6 +33,10 @@ from rollcall.session import stage
 
 MIN_SENTENCES, MIN_WORDS = 2, 12
 LONG, CUT_EVERY, LONGEST = 24, 8, 48
+# A divisor of CUT_EVERY, so that pieces end wherever parts of long sentences do.
+PIECE = 4
+# Fewer words of a sentence than this, next to a repeated passage, are the same by chance.
+FRAGMENT = 4
 
 _BREAK = re.compile(r"(?<=[.!?])\s+|\n\s*")
 _GAP = re.compile(r"\s+")
@@ -39,50 +47,68 @@ _SCHEMA = "mark bigint, check int, row_id bigint, row_hash bigint, first int, la
 
 def sentences(text: str) -> list[tuple[int, int, int]]:
     """(start, end, words) of every sentence with a word; what lies between is white space."""
+    return _parts(text, LONG, CUT_EVERY)
+
+
+def pieces(text: str) -> list[tuple[int, int, int]]:
+    """(start, end, words) of every piece; each lies in one of the ``sentences``."""
+    return _parts(text, 0, PIECE)
+
+
+def _parts(text: str, long: int, every: int) -> list[tuple[int, int, int]]:
     found = []
     at = 0
     breaks = [(m.start(), m.end()) for m in _BREAK.finditer(text)]
     for a, b in [*breaks, (len(text), len(text))]:
         piece = text[at:a]
         words = len(piece.split())
-        if words > LONG:
-            found += _cut_long(text, at, a)
+        if words > long:
+            found += _cut_long(text, at, a, every)
         elif words:
             found.append((at, a, words))
         at = b
     return found
 
 
-def _cut_long(text: str, a: int, b: int) -> list[tuple[int, int, int]]:
-    """A long sentence in pieces that end after words whose hash says so."""
-    found, start, words, word_at = [], a, 0, a
+def _cut_long(text: str, a: int, b: int, every: int) -> list[tuple[int, int, int]]:
+    """A sentence in pieces that end after words whose hash says so, and where ``LONGEST`` bids it."""
+    found, start, words, since, word_at = [], a, 0, 0, a
     for gap in _GAP.finditer(text, a, b):
         word = text[word_at : gap.start()]
         word_at = gap.end()
-        words += bool(word)
+        words, since = words + bool(word), since + bool(word)
         mark = zlib.crc32(word.lower().encode("utf-8", "surrogatepass"))
-        if word and (mark % CUT_EVERY == 0 or words >= LONGEST):
+        # Words after the last one that any ``every`` picks: pieces are cut where longer parts are.
+        picked = word and mark % CUT_EVERY == 0
+        if word and (mark % every == 0 or since >= LONGEST):
             found.append((start, gap.start(), words))
             start, words = gap.end(), 0
+        since = 0 if picked or since >= LONGEST else since
     words += word_at < b
     if words:
         found.append((start, b, words))
     return found
 
 
-def runs(text: str, parts: list[tuple[int, int, int]], min_sentences: int, min_words: int):
-    """(hash, first, last) of the run that starts at each sentence; numbers of sentences."""
+def runs(
+    text: str, parts: list[tuple[int, int, int]], min_sentences: int, min_words: int, back: bool = False
+):
+    """(hash, first, last) of the run that starts at each part; with ``back`` also where one ends."""
     if len(parts) < min_sentences:
         return
     clean = [" ".join(text[a:b].lower().split()).encode("utf-8", "surrogatepass") for a, b, _ in parts]
     count = np.cumsum([0, *[n for _, _, n in parts]])
-    # The sentence with which a run from each one first has enough words.
+    # The part with which a run from each one first has enough words.
     end = np.searchsorted(count, count[:-1] + min_words)
     end = np.maximum(end, np.arange(len(parts)) + min_sentences)
+    found = [(first, last) for first, last in enumerate(end.tolist()) if last <= len(parts)]
+    if back:
+        # The last part from which a run to each one has enough words.
+        start = np.searchsorted(count, count[1:] - min_words, side="right") - 1
+        start = np.minimum(start, np.arange(1, len(parts) + 1) - min_sentences)
+        found = sorted({*found, *((a, b + 1) for b, a in enumerate(start.tolist()) if a >= 0)})
     digest = xxhash.xxh3_128_digest
-    for first, last in enumerate(end.tolist()):
-        if last > len(parts):
-            return
+    for first, last in found:
         yield digest(b" ".join(clean[first:last])), first, last - 1
 
 
@@ -93,7 +119,7 @@ def _spans(docs: DataFrame, min_sentences: int, min_words: int) -> DataFrame:
         for batch in blocks(batches, "text"):
             marks, rows, first, last = [], [], [], []
             for row, text in enumerate(texts(batch, "text")):
-                for mark, a, b in runs(text, sentences(text), min_sentences, min_words):
+                for mark, a, b in runs(text, pieces(text), min_sentences, min_words, back=True):
                     marks.append(mark)
                     rows.append(row)
                     first.append(a)
@@ -111,12 +137,13 @@ def _spans(docs: DataFrame, min_sentences: int, min_words: int) -> DataFrame:
 
 
 def repeated(docs: DataFrame, min_sentences: int = MIN_SENTENCES, min_words: int = MIN_WORDS) -> DataFrame:
-    """Row key and ``cover``: array of (first, last) sentences of each row's non-first spans.
+    """Row key and ``cover``: array of (first, last) pieces of each row's non-first spans.
 
     Rows without one do not appear; the copies of a row share one line.
     """
     keyed = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
     spans = _spans(keyed.select(*row_key()[:2], F.col("text")), min_sentences, min_words)
+    # Of two runs that start at one piece only one has a given hash.
     place = F.struct(F.col("row_id").isNull().alias("none"), *ROW, "first")
     firsts = spans.groupBy(*HASH).agg(F.count(F.lit(1)).alias("n"), F.min(place).alias("lead"))
     # Only repeated spans, written: a join of two plain exchanges lets Spark split a frequent span.
@@ -128,9 +155,10 @@ def repeated(docs: DataFrame, min_sentences: int = MIN_SENTENCES, min_words: int
 def remove_repeated(
     docs: DataFrame, min_sentences: int = MIN_SENTENCES, min_words: int = MIN_WORDS
 ) -> DataFrame:
-    """Every row with the sentences of its non-first spans cut out of ``text``; adds ``n_removed``.
+    """Every row with the pieces of its non-first spans cut out of ``text``; adds ``n_removed``.
 
-    What follows a sentence up to the next one goes with it; all else stays as it is. Null texts stay
+    ``n_removed`` counts the sentences that are gone whole. What follows a piece up to the next one goes
+    with it; all else stays as it is. Null texts stay
     null, empty and blank ones as they are. The first copy of a row keeps its spans and so do rows equal
     to it in identifier and text. A column ``n_removed`` is replaced.
     """
@@ -152,12 +180,12 @@ def remove_repeated(
                     kept.append(text)
                     gone.append(0)
                     continue
-                parts = sentences(text)
+                parts = pieces(text)
                 mark = np.zeros(len(parts) + 1, dtype=np.int64)
                 np.add.at(mark, np.array(first, dtype=np.int64), 1)
                 np.add.at(mark, np.array(last, dtype=np.int64) + 1, -1)
-                covered = np.cumsum(mark)[:-1] > 0
-                gone.append(int(covered.sum()))
+                covered = _without_fragments(text, parts, np.cumsum(mark)[:-1] > 0)
+                gone.append(_whole_gone(text, parts, covered))
                 kept.append(_without(text, parts, covered))
             yield output(
                 batch, ("first", "last"), text=pa.array(kept, pa.string()),
@@ -173,11 +201,35 @@ def remove_repeated(
     return cut.select(*columns, "n_removed")
 
 
+def _owners(parts: list[tuple[int, int, int]], wholes: list[tuple[int, int, int]]) -> np.ndarray:
+    """The number of the sentence each piece lies in."""
+    starts = [a for a, _, _ in wholes]
+    return np.searchsorted(starts, [a for a, _, _ in parts], side="right") - 1
+
+
+def _without_fragments(text: str, parts: list[tuple[int, int, int]], covered: np.ndarray) -> np.ndarray:
+    """``covered`` but for stretches of a few words in a sentence of which others stay."""
+    wholes = _parts(text, len(text), 1)
+    owner, words = _owners(parts, wholes), np.array([n for _, _, n in parts])
+    change = (np.diff(owner) != 0) | np.diff(covered)
+    stretch = np.r_[0, np.cumsum(change)]
+    size = np.bincount(stretch, words)[stretch]
+    whole = size == np.array([n for _, _, n in wholes])[owner]
+    return covered & (whole | (size >= FRAGMENT))
+
+
+def _whole_gone(text: str, parts: list[tuple[int, int, int]], covered: np.ndarray) -> int:
+    """How many sentences have all their pieces covered."""
+    wholes = sentences(text)
+    left = np.bincount(_owners(parts, wholes), ~covered, len(wholes))
+    return int((left == 0).sum())
+
+
 def _without(text: str, parts: list[tuple[int, int, int]], covered: np.ndarray) -> str:
-    """The text without covered sentences, each with what follows it up to the next one."""
-    pieces = [text[: parts[0][0]]]
+    """The text without covered pieces, each with what follows it up to the next one."""
+    kept = [text[: parts[0][0]]]
     bounds = [a for a, _, _ in parts] + [len(text)]
     for n, gone in enumerate(covered.tolist()):
         if not gone:
-            pieces.append(text[bounds[n] : bounds[n + 1]])
-    return "".join(pieces)
+            kept.append(text[bounds[n] : bounds[n + 1]])
+    return "".join(kept)

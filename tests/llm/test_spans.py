@@ -1,3 +1,5 @@
+import random
+
 from helpers import rows
 
 from rollcall.llm import spans
@@ -69,3 +71,35 @@ def test_dirt(spark, docs, no_docs):
     kept = {(r.doc_id, r.text) for r in got.collect()}
     assert (0, None) in kept and (1, "") in kept and (2, " \t\r\n") in kept
     assert spans.remove_repeated(no_docs).count() == 0
+
+
+def test_pieces_lie_in_sentences():
+    for text in [r[1] or "" for r in rows()] + [PASSAGE, "x " * 500, "Oure " * 300, " ".join(f"p{k}" for k in range(999))]:
+        parts = spans.pieces(text)
+        assert " ".join(text[a:b] for a, b, _ in parts).split() == text.split()
+        assert {a for a, _, _ in spans.sentences(text)} <= {a for a, _, _ in parts}
+
+
+def test_passages_planted_mid_sentence(spark):
+    rng = random.Random(8)
+    vocabulary = [f"{rng.choice('abcdefgh')}{k}" for k in range(3000)]
+
+    def prose(n):
+        out = []
+        while len(out) < n:
+            out += [rng.choice(vocabulary) for _ in range(rng.randrange(6, 22))]
+            out[-1] += "."
+        return out[:n]
+
+    texts, passages = [], []
+    for i in range(150):
+        passage = [f"{w[:-1]}q{i}." if w[-1] == "." else f"{w}q{i}" for w in prose(rng.randrange(51, 61))]
+        passages.append({w.strip(".") for w in passage})
+        for host in (prose(150), prose(150)):
+            at = rng.randrange(1, 149)
+            texts.append(" ".join([*host[:at], *passage, *host[at:]]))
+    got = {r.doc_id: r.text for r in spans.remove_repeated(_frame(spark, texts)).collect()}
+    assert all(got[i] == texts[i] for i in range(0, 300, 2))
+    left = [len({w.strip(".") for w in got[2 * i + 1].split()} & p) / len(p) for i, p in enumerate(passages)]
+    print("missed", sum(x == 1 for x in left), "left on average", sum(left) / len(left))
+    assert max(left) < 1 and sum(left) / len(left) < 0.2
