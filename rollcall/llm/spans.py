@@ -38,6 +38,10 @@ PIECE = 4
 # Fewer words of a sentence than this, next to a repeated passage, are the same by chance.
 FRAGMENT = 4
 
+# Remainders of words met, up to a bound.
+_MARKS: dict[str, int] = {}
+MOST_MARKS = 1 << 18
+
 _BREAK = re.compile(r"(?<=[.!?])\s+|\n\s*")
 _GAP = re.compile(r"\s+")
 # A run's hash is 96 bits wide. A row is told by its identifier and one hash of its text.
@@ -74,16 +78,24 @@ def _cut_long(text: str, a: int, b: int, every: int) -> list[tuple[int, int, int
     """A sentence in pieces that end after words whose hash says so, and where ``LONGEST`` bids it."""
     found, start, words, since, word_at = [], a, 0, 0, a
     for gap in _GAP.finditer(text, a, b):
-        word = text[word_at : gap.start()]
-        word_at = gap.end()
-        words, since = words + bool(word), since + bool(word)
-        mark = zlib.crc32(word.lower().encode("utf-8", "surrogatepass"))
+        end, after = gap.span()
+        word = text[word_at:end]
+        word_at = after
+        if not word:
+            continue
+        words, since = words + 1, since + 1
+        mark = _MARKS.get(word)
+        if mark is None:
+            if len(_MARKS) >= MOST_MARKS:
+                _MARKS.clear()
+            mark = zlib.crc32(word.lower().encode("utf-8", "surrogatepass")) % CUT_EVERY
+            _MARKS[word] = mark
+        if mark % every == 0 or since >= LONGEST:
+            found.append((start, end, words))
+            start, words = after, 0
         # Words after the last one that any ``every`` picks: pieces are cut where longer parts are.
-        picked = word and mark % CUT_EVERY == 0
-        if word and (mark % every == 0 or since >= LONGEST):
-            found.append((start, gap.start(), words))
-            start, words = gap.end(), 0
-        since = 0 if picked or since >= LONGEST else since
+        if mark == 0 or since >= LONGEST:
+            since = 0
     words += word_at < b
     if words:
         found.append((start, b, words))
@@ -96,7 +108,8 @@ def runs(
     """(hash, first, last) of the run that starts at each part; with ``back`` also where one ends."""
     if len(parts) < min_sentences:
         return
-    clean = [" ".join(text[a:b].lower().split()).encode("utf-8", "surrogatepass") for a, b, _ in parts]
+    clean = " ".join(text.lower().split()).encode("utf-8", "surrogatepass")
+    space = np.flatnonzero(np.frombuffer(clean, dtype=np.uint8) == 32)
     count = np.cumsum([0, *[n for _, _, n in parts]])
     # The part with which a run from each one first has enough words.
     end = np.searchsorted(count, count[:-1] + min_words)
@@ -107,9 +120,11 @@ def runs(
         start = np.searchsorted(count, count[1:] - min_words, side="right") - 1
         start = np.minimum(start, np.arange(1, len(parts) + 1) - min_sentences)
         found = sorted({*found, *((a, b + 1) for b, a in enumerate(start.tolist()) if a >= 0)})
+    # Where each part starts, and where the next one would.
+    bounds = np.r_[0, space + 1, len(clean) + 1][count].tolist()
     digest = xxhash.xxh3_128_digest
     for first, last in found:
-        yield digest(b" ".join(clean[first:last])), first, last - 1
+        yield digest(clean[bounds[first] : bounds[last] - 1]), first, last - 1
 
 
 def _spans(docs: DataFrame, min_sentences: int, min_words: int) -> DataFrame:
