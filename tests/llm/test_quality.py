@@ -2,6 +2,7 @@ import re
 from collections import Counter
 
 import numpy as np
+import pytest
 from helpers import rows, words
 
 from rollcall.llm import quality
@@ -61,3 +62,18 @@ def test_without_labels(spark, docs):
     assert quality.train(docs, none).weights is None
     one = spark.createDataFrame([(3, 1), (5, 1)], "doc_id bigint, quality int")
     assert quality.train(docs, one).probability(["x"])[0] == 1.0
+
+
+def test_one_long_text_does_not_end_the_sample(spark):
+    docs, labels, _ = _corpus(spark)
+    count = quality.sample_labelled(docs, labels).count()
+    long = docs.selectExpr("doc_id", "if(doc_id % 9 = 0, repeat('long ', 900000), text) AS text")
+    assert count > 150 and quality.sample_labelled(long, labels).count() >= count * 8 // 9 - 1
+    assert quality.train(long, labels, rounds=5).weights is not None
+
+
+def test_a_label_lost_to_the_bound_is_told(spark):
+    docs, labels, _ = _corpus(spark)
+    long = docs.selectExpr("doc_id", "if(doc_id % 4 = 0, repeat('junk ', 9000), text) AS text")
+    with pytest.raises(ValueError, match="labelled bad"):
+        quality.train(long, labels, rounds=5)
