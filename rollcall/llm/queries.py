@@ -9,11 +9,14 @@ from pyspark.sql import functions as F
 
 from rollcall.llm import (
     bpe,
+    collocations,
     language,
     license_scan,
     line_dedup,
     mixing,
+    ngram_join,
     quality,
+    ranked_search,
     simhash,
     spans,
     top_k,
@@ -179,6 +182,130 @@ def op10_license(spark: SparkSession, folder: str) -> DataFrame:
     return license_scan.scan(docs).drop("spans")
 
 
+def op11_ngram_join(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _table(spark, folder, "documents").select("doc_id", "text")
+    return ngram_join.similar_groups(docs)
+
+
+OP11_SQL = r"""
+    WITH RECURSIVE split AS (
+        SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+            'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents
+    ), grams AS (
+        SELECT doc_id, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
+            ELSE list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])
+            END) AS gram FROM split
+    ), held AS (
+        SELECT DISTINCT doc_id, gram FROM grams
+    ), sizes AS (
+        SELECT doc_id, count(*) AS n FROM held GROUP BY doc_id
+    ), common AS (
+        SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c
+        FROM held a JOIN held b ON a.gram = b.gram AND a.doc_id <> b.doc_id GROUP BY a.doc_id, b.doc_id
+    ), linked AS (
+        SELECT c.a, c.b FROM common c JOIN sizes s ON c.a = s.doc_id JOIN sizes t ON c.b = t.doc_id
+        WHERE 100 * c.c >= 90 * (s.n + t.n - c.c)
+    ), reach(doc_id, other) AS (
+        SELECT doc_id, doc_id FROM documents
+        UNION SELECT r.doc_id, l.b FROM reach r JOIN linked l ON r.other = l.a
+    ), least AS (
+        SELECT doc_id, min(other) AS component_id FROM reach GROUP BY doc_id
+    )
+    SELECT d.doc_id, coalesce(s.n, 0) AS n_shingles, least.component_id
+    FROM documents d JOIN least ON d.doc_id = least.doc_id LEFT JOIN sizes s ON d.doc_id = s.doc_id"""
+
+
+def op12_ranked_search(spark: SparkSession, folder: str) -> DataFrame:
+    return ranked_search.search(_table(spark, folder, "documents"), _table(spark, folder, "benchmark"))
+
+
+OP12_SQL = r"""
+    WITH held AS (
+        SELECT doc_id, row_number() OVER () AS place,
+               regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                   'abcdefghijklmnopqrstuvwxyz'), '[0-9A-Za-z\x{80}-\x{10FFFF}]+') AS terms FROM documents
+    ), total AS (
+        SELECT count(*) AS docs, CAST(sum(len(terms)) AS BIGINT) AS all_terms FROM held WHERE len(terms) > 0
+    ), asked AS (
+        SELECT DISTINCT item_id, unnest(regexp_extract_all(translate(coalesce(text, ''),
+            'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+            '[0-9A-Za-z\x{80}-\x{10FFFF}]+')) AS term FROM benchmark
+    ), listed AS (
+        SELECT place, len(terms) AS n, unnest(terms) AS term FROM held
+    ), counted AS (
+        SELECT place, n, term, count(*) AS tf FROM listed
+        WHERE term IN (SELECT term FROM asked) GROUP BY place, n, term
+    ), weights AS (
+        SELECT term, CAST(floor(1000 * ln(CAST(2 * docs + 2 AS DOUBLE) / (2 * count(*) + 1))) AS BIGINT) AS w
+        FROM counted, total GROUP BY term, docs
+    ), impacts AS (
+        SELECT c.place, c.term,
+               w.w * ((1000000000 * tf) // (1000 * tf + 20 * (50 + (50 * n * docs) // all_terms))) AS impact
+        FROM counted c JOIN weights w ON c.term = w.term, total
+    ), scored AS (
+        SELECT a.item_id, i.place, CAST(sum(impact) AS BIGINT) AS score
+        FROM asked a JOIN impacts i ON a.term = i.term GROUP BY a.item_id, i.place
+    ), ranked AS (
+        SELECT s.item_id, h.doc_id, score,
+               row_number() OVER (PARTITION BY s.item_id ORDER BY score DESC, h.doc_id) AS rank
+        FROM scored s JOIN held h ON s.place = h.place WHERE score > 0
+    )
+    SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM ranked WHERE rank <= 50"""
+
+
+def op13_collocations(spark: SparkSession, folder: str) -> DataFrame:
+    return collocations.mine(_table(spark, folder, "documents"))
+
+
+OP13_SQL = r"""
+    WITH pieces AS (
+        SELECT lang, row_number() OVER () AS piece, regexp_extract_all(part, '[^\x20\x09]+') AS w FROM (
+            SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(translate(coalesce(text, ''),
+                'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS part
+            FROM documents)
+    ), runs AS (
+        SELECT lang, unnest(w) AS one, unnest(list_concat(w[2:], [NULL])) AS two,
+               unnest(list_concat(w[3:], [NULL, NULL])[1:len(w)]) AS three FROM pieces WHERE len(w) > 0
+    ), ones AS (
+        SELECT lang, one, count(*) AS f FROM runs GROUP BY lang, one
+    ), totals AS (
+        SELECT lang, CAST(sum(f) AS BIGINT) AS n FROM ones GROUP BY lang
+    ), twos AS (
+        SELECT lang, one, two, count(*) AS f FROM runs WHERE two IS NOT NULL GROUP BY lang, one, two
+    ), threes AS (
+        SELECT lang, one, two, three, count(*) AS f FROM runs WHERE three IS NOT NULL
+        GROUP BY lang, one, two, three HAVING count(*) >= 10
+    ), longer AS (
+        SELECT lang, one, two, max(f) AS f FROM (
+            SELECT lang, one, two, f FROM threes UNION ALL SELECT lang, two, three, f FROM threes)
+        GROUP BY lang, one, two
+    ), found AS (
+        SELECT t.lang, t.one || ' ' || t.two AS phrase, t.f AS a, x.f AS l, y.f AS r
+        FROM twos t JOIN ones x ON t.lang = x.lang AND t.one = x.one
+        JOIN ones y ON t.lang = y.lang AND t.two = y.one
+        LEFT JOIN longer g ON t.lang = g.lang AND t.one = g.one AND t.two = g.two
+        WHERE t.f >= 10 AND (g.f IS NULL OR 100 * g.f < 50 * t.f)
+        UNION ALL
+        SELECT lang, phrase, a, CASE WHEN s1 <= s2 THEN l1 ELSE l2 END, CASE WHEN s1 <= s2 THEN r1 ELSE r2 END
+        FROM (
+            SELECT t.lang, t.one || ' ' || t.two || ' ' || t.three AS phrase, t.f AS a,
+                   x.f AS l1, v.f AS r1, u.f AS l2, z.f AS r2,
+                   (1000000 * CAST(t.f AS HUGEINT) * t.f) // (CAST(x.f AS HUGEINT) * v.f) AS s1,
+                   (1000000 * CAST(t.f AS HUGEINT) * t.f) // (CAST(u.f AS HUGEINT) * z.f) AS s2
+            FROM threes t JOIN ones x ON t.lang = x.lang AND t.one = x.one
+            JOIN ones z ON t.lang = z.lang AND t.three = z.one
+            JOIN twos u ON t.lang = u.lang AND t.one = u.one AND t.two = u.two
+            JOIN twos v ON t.lang = v.lang AND t.two = v.one AND t.three = v.two)
+    ), scored AS (
+        SELECT *, CAST((1000000 * CAST(a AS HUGEINT) * a) // (CAST(l AS HUGEINT) * r) AS BIGINT) AS score
+        FROM found
+    ), ranked AS (
+        SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM scored
+    )
+    SELECT r.lang, CAST(rank AS BIGINT) AS rank, phrase, a, l, r.r, n, score
+    FROM ranked r JOIN totals t ON r.lang = t.lang WHERE rank <= 2000"""
+
+
 QUERIES: dict[str, Query] = {
     "op1_url_filter": op1_url_filter,
     "op2_quality": op2_quality,
@@ -190,8 +317,18 @@ QUERIES: dict[str, Query] = {
     "op8_language": op8_language,
     "op9_lines": op9_lines,
     "op10_license": op10_license,
+    "op11_ngram_join": op11_ngram_join,
+    "op12_ranked_search": op12_ranked_search,
+    "op13_collocations": op13_collocations,
+}
+SQL: dict[str, str] = {
+    "op1_url_filter": OP1_SQL,
+    "op6_top_k": OP6_SQL,
+    "op9_lines": OP9_SQL,
+    "op11_ngram_join": OP11_SQL,
+    "op12_ranked_search": OP12_SQL,
+    "op13_collocations": OP13_SQL,
 }
-SQL: dict[str, str] = {"op1_url_filter": OP1_SQL, "op6_top_k": OP6_SQL, "op9_lines": OP9_SQL}
 
 
 def _shipped(query: Query) -> Query:

@@ -12,7 +12,7 @@ SMALL = "/root/testdata/sf0.001"
 
 def test_all_are_registered():
     names = bound.queries()
-    assert all(any(n.startswith(f"op{i}_") for n in names) for i in range(1, 11)) and "pipeline" in names
+    assert all(any(n.startswith(f"op{i}_") for n in names) for i in range(1, 14)) and "pipeline" in names
     assert set(queries.oracle_sql()) <= set(names)
 
 
