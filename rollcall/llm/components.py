@@ -6,6 +6,7 @@ lineage and survives lost executors. Rounds grow with the logarithm of a compone
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -55,3 +56,20 @@ def components(links: DataFrame, stem: str = "components") -> DataFrame:
             break
         seen = found
     return now
+
+
+def labels(n: int, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """The smallest member of the component of each of ``n`` items that links ``i`` - ``j`` join."""
+    label = np.arange(n)
+    while True:
+        p, q = label[i], label[j]
+        differ = p != q
+        if not differ.any():
+            return label
+        i, j, p, q = i[differ], j[differ], p[differ], q[differ]
+        np.minimum.at(label, np.maximum(p, q), np.minimum(p, q))
+        while True:
+            up = label[label]
+            if (up == label).all():
+                break
+            label = up

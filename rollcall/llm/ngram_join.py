@@ -9,9 +9,10 @@ Which pairs are counted follows from finer cuts of the same order, the *cells*.
 at most D n-grams, where D hangs on their sizes alone; cut into more than D cells they agree on a whole cell.
 Texts therefore meet on equal cells only (``cells_of``), and no pair that links is missed.
 
-A crowd of near copies yields no pairs of its own. Where many sets meet, each is counted with the smallest
-one (the pivot); sets that hang together by then are not compared, and those apart from it go on with new
-pivots, more of them every round. So the pairs of a crowd grow with its members.
+A crowd of near copies yields no pairs of its own. Where many sets meet, each is counted with one of them,
+the pivot: the set that meets most others, hence the middle of its crowd. What is still apart after that is
+compared by what it has more or less than the pivot, a few n-grams of each set: two sets differ just where
+these differences do. They meet in tiles of bounded size, and a tile returns a spanning forest of its links.
 """
 
 from __future__ import annotations
@@ -21,12 +22,13 @@ from functools import cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rollcall.llm.common import LOWER, UPPER, blocks, row_key, texts
-from rollcall.llm.components import components
+from rollcall.llm.components import components, labels
 from rollcall.session import stage
 
 WORDS, PERCENT = 3, 90
@@ -35,8 +37,8 @@ FRAGMENTS = 8
 # Sizes of a band differ by this factor; up to this D texts meet on two cells at once, beyond on one of
 # so many n-grams at least.
 BAND, PAIRED, STRONG = 1.2, 4, 3
-# Pivots of a group of sets in the first round, and how many times more in each round that follows.
-MORE_PIVOTS = 16
+# Sets of a tile, n-grams that they have more or less than their pivot, and those compared at a time.
+TILE, TILE_GRAMS, COLUMNS = 1024, 1 << 19, 2048
 
 _LOWER = bytes.maketrans(UPPER.encode(), LOWER.encode())
 _MIX = np.random.default_rng(11).integers(0, 2**64, 64, dtype=np.uint64) | np.uint64(1)
@@ -167,62 +169,118 @@ def _segments(docs: DataFrame, words: int) -> DataFrame:
     return docs.mapInArrow(run, "node binary, fragment int, held array<bigint>")
 
 
-def _linked(pairs: DataFrame, docs: DataFrame, seen: DataFrame, words: int, percent: int) -> DataFrame:
-    """Links ``a``, ``b`` of those pairs (a, b, a_n, b_n: sets and their sizes) that hold enough in common."""
+def _read_again(pairs: DataFrame, docs: DataFrame, seen: DataFrame, words: int) -> DataFrame:
+    """The segments of the sets in pairs, written; one text of each set is read again for it."""
     nodes = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
-    # One text of each set that occurs, read again: sets are not kept.
     once = seen.join(nodes, "node", "left_semi").groupBy("node").agg(
         F.min(F.struct("row_hash", "row_check")).alias("lead")
     ).select("lead.*")
     text = docs.join(once, ["row_hash", "row_check"], "left_semi")
     text = text.groupBy("row_hash", "row_check").agg(F.first("text").alias("text"))
-    segments = stage(_segments(text.select("text"), words), "segments")
+    return stage(_segments(text.select("text"), words), "segments")
+
+
+def _met(pairs: DataFrame, segments: DataFrame) -> DataFrame:
+    """The segments of both sets of every pair, by fragment."""
     one = segments.select(F.col("node").alias("a"), "fragment", F.col("held").alias("a_held"))
     two = segments.select(F.col("node").alias("b"), "fragment", F.col("held").alias("b_held"))
-    met = pairs.join(two, "b").join(one, ["a", "fragment"])
-    partial = met.select("a", "b", "a_n", "b_n", F.size(F.array_intersect("a_held", "b_held")).alias("c"))
+    return pairs.join(two, "b").join(one, ["a", "fragment"])
+
+
+def _linked(pairs: DataFrame, segments: DataFrame, percent: int) -> DataFrame:
+    """Links ``a``, ``b`` of those pairs (a, b, a_n, b_n: sets and their sizes) that hold enough in common."""
+    common = F.size(F.array_intersect("a_held", "b_held")).alias("c")
+    partial = _met(pairs, segments).select("a", "b", "a_n", "b_n", common)
     told = partial.groupBy("a", "b", "a_n", "b_n").agg(F.sum("c").alias("c"))
     return told.filter(100 * F.col("c") >= percent * (F.col("a_n") + F.col("b_n") - F.col("c"))).select("a", "b")
 
 
+def _crowd(group: pa.Table, percent: int) -> pa.Table:
+    """A spanning forest of the links between the sets of a tile, or of two tiles, of a pivot's followers."""
+    names, who = np.unique(np.array(group.column("b").to_pylist(), dtype=object), return_inverse=True)
+    size, root, tile = np.zeros(len(names), np.int64), np.zeros(len(names), object), np.zeros(len(names), int)
+    size[who], tile[who] = group.column("b_n").to_numpy(), group.column("tile").to_numpy()
+    root[who] = group.column("root").to_pylist()
+    kin = np.unique(root, return_inverse=True)[1]
+    held = group.column("apart").combine_chunks()
+    owner = np.repeat(who, pc.list_value_length(held).to_numpy(zero_copy_only=False))
+    gram, column, often = np.unique(held.values.to_numpy(), return_inverse=True, return_counts=True)
+    mine = np.bincount(owner, minlength=len(names))
+    # Only n-grams of two sets or more can be common to two.
+    shared = often[column] > 1
+    column, owner = np.unique(column[shared], return_inverse=True)[1], owner[shared]
+    order = np.argsort(column, kind="stable")
+    column, owner = column[order], owner[order]
+    low = tile == tile.min()
+    left, right = np.flatnonzero(low), np.flatnonzero(~low if not low.all() else low)
+    both = np.zeros((len(left), len(right)), dtype=np.float32)
+    for start in range(0, int(column[-1]) + 1 if len(column) else 0, COLUMNS):
+        a, b = np.searchsorted(column, (start, start + COLUMNS))
+        grid = np.zeros((len(names), COLUMNS), dtype=np.float32)
+        grid[owner[a:b], column[a:b] - start] = 1
+        both += grid[left] @ grid[right].T
+    total = size[left, None] + size[None, right]
+    common = (total - (mine[left, None] + mine[None, right] - 2 * both.astype(np.int64))) // 2
+    good = (100 * common >= percent * (total - common)) & (kin[left, None] != kin[None, right])
+    i, j = np.nonzero(good)
+    label = labels(len(names), left[i], right[j])
+    far = np.flatnonzero(label != np.arange(len(names)))
+    return pa.table({
+        "a": pa.array(names[label[far]].tolist(), pa.binary()), "b": pa.array(names[far].tolist(), pa.binary()),
+    })
+
+
+def _links_of_crowds(crowds: DataFrame, segments: DataFrame, percent: int) -> DataFrame:
+    """Links between followers of one pivot (a, b, a_n, b_n, root: pivot, follower, sizes, its component)."""
+    less, more = F.array_except("a_held", "b_held"), F.array_except("b_held", "a_held")
+    apart = _met(crowds, segments).select("a", "b", "b_n", "root", F.concat(less, more).alias("apart"))
+    apart = stage(apart, "differences")
+    sizes = apart.groupBy("a").agg(F.count_distinct("b").alias("m"), F.sum(F.size("apart")).alias("grams"))
+    tiles = F.greatest(F.ceil(F.col("m") / TILE), F.ceil(F.col("grams") / TILE_GRAMS)).cast("int")
+    dealt = apart.join(sizes.filter("m > 1").select("a", tiles.alias("tiles")), "a")
+    dealt = dealt.withColumn("tile", F.pmod(F.xxhash64("b"), F.col("tiles")).cast("int"))
+    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
+    dealt = dealt.select(
+        "a", F.least("tile", "other").alias("lo"), F.greatest("tile", "other").alias("hi"),
+        "b", "b_n", "root", "tile", "apart",
+    )
+    return dealt.groupBy("a", "lo", "hi").applyInArrow(
+        lambda group: _crowd(group, percent), "a binary, b binary"
+    )
+
+
 def links(docs: DataFrame, seen: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
     """(node, root): the sets that hang together with a smaller one, by links of ``percent`` or more.
 
     ``docs`` has the columns of a row key and ``text``, ``seen`` its sets (``_sets``), written.
     """
     cells = seen.select(F.explode("cells").alias("cell"), "node", "n")
-    shared = cells.groupBy("cell").agg(F.min("node").alias("lo"), F.max("node").alias("hi"))
+    short = F.xxhash64("node")
+    shared = cells.groupBy("cell").agg(F.min(short).alias("lo"), F.max(short).alias("hi"))
     shared = stage(shared.filter("lo <> hi").select("cell"), "shared-cells")
-    members = cells.join(shared, "cell").distinct().withColumn("root", F.col("node"))
-    members = stage(members, "cell-members")
-    known, roots, pivots = None, None, 1
-    while members.take(1):
-        if pivots == 1:
-            first = members.groupBy("cell").agg(F.min(F.struct("node", "n", "root")).alias("p"))
-        else:
-            order = Window.partitionBy("cell").orderBy("node")
-            ranked = members.withColumn("place", F.row_number().over(order)).filter(F.col("place") <= pivots)
-            first = ranked.select("cell", F.struct("node", "n", "root").alias("p"))
-        first = stage(first, "pivots")
-        both = members.join(first, "cell").filter(
-            (F.col("p.node") < F.col("node")) & (F.col("p.root") != F.col("root"))
-            & (100 * F.least("n", "p.n") >= percent * F.greatest("n", "p.n"))
-        )
-        pairs = both.select(
-            F.col("p.node").alias("a"), F.col("node").alias("b"), F.col("p.n").alias("a_n"), F.col("n").alias("b_n")
-        ).distinct()
-        found = _linked(stage(pairs, "set-pairs"), docs, seen, words, percent)
-        known = stage(found if known is None else known.unionByName(found), "set-links")
-        roots = components(known, "set-roots")
-        # A pivot has met all others of its cell. Only cells whose other members are still apart go on.
-        done = first.select("cell", F.col("p.node").alias("node"))
-        rest = members.drop("root").join(done, ["cell", "node"], "left_anti")
-        rest = rest.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-        rest = stage(rest, "placed-members")
-        apart = rest.groupBy("cell").agg(F.min("root").alias("lo"), F.max("root").alias("hi"))
-        members = stage(rest.join(apart.filter("lo <> hi").select("cell"), "cell"), "cell-members")
-        pivots *= MORE_PIVOTS
-    return roots
+    members = stage(cells.join(shared, "cell").distinct(), "cell-members")
+    # The middle of a crowd meets most others; it is the pivot of all cells that it shares with them.
+    many = members.groupBy("cell").agg(F.count(F.lit(1)).alias("many"))
+    degree = members.join(many, "cell").groupBy("node").agg(F.sum("many").alias("degree"))
+    ranked = members.join(stage(degree, "degrees"), "node")
+    pivots = ranked.groupBy("cell").agg(F.max(F.struct("degree", "node", "n")).alias("p"))
+    pivots = pivots.select("cell", F.col("p.node").alias("a"), F.col("p.n").alias("a_n"))
+    follow = members.select("cell", F.col("node").alias("b"), F.col("n").alias("b_n")).join(pivots, "cell")
+    follow = stage(follow.filter("a <> b"), "followers")
+    pairs = stage(follow.select("a", "b", "a_n", "b_n").distinct(), "set-pairs")
+    segments = _read_again(pairs, docs, seen, words)
+    fit = 100 * F.least("a_n", "b_n") >= percent * F.greatest("a_n", "b_n")
+    known = stage(_linked(pairs.filter(fit), segments, percent), "set-links")
+    roots = components(known, "set-roots").withColumnRenamed("node", "b")
+    # All have met the pivot of their cells. Only followers of a cell that are still apart go on.
+    placed = follow.join(roots, "b", "left").withColumn("root", F.coalesce("root", "b"))
+    placed = stage(placed, "placed-followers")
+    apart = placed.groupBy("cell").agg(F.min("root").alias("lo"), F.max("root").alias("hi"))
+    crowds = placed.join(apart.filter("lo <> hi").select("cell"), "cell")
+    crowds = stage(crowds.select("a", "b", "a_n", "b_n", "root").distinct(), "crowds")
+    more = _links_of_crowds(crowds, segments, percent)
+    known = stage(known.unionByName(more), "all-set-links")
+    return components(known, "set-roots")
 
 
 def similar_groups(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
@@ -235,19 +293,16 @@ def similar_groups(docs: DataFrame, words: int = WORDS, percent: int = PERCENT)
     identifier. Null identifiers count last: a component has one only if it has no other. Repeated rows and
     rows that share an identifier stay rows of their own. Other columns are left out.
 
-    N-grams are told apart by 64-bit hashes, sets by 128 bits. ``docs`` is read twice or more often.
+    N-grams are told apart by 64-bit hashes, sets by 128 bits. ``docs`` is read twice.
     """
     keyed = docs.select(*row_key(), F.col("text"))
     seen = stage(_sets(keyed, words, percent), "ngram-sets")
     roots = links(keyed, seen, words, percent)
     placed = seen.filter("n > 0").groupBy("node").agg(F.min("row_id").alias("least"))
-    if roots is None:
-        named = placed.withColumnRenamed("least", "component_id")
-    else:
-        placed = placed.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-        placed = stage(placed, "set-places")
-        least = placed.groupBy("root").agg(F.min("least").alias("component_id"))
-        named = placed.select("node", "root").join(least, "root")
+    placed = placed.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    placed = stage(placed, "set-places")
+    least = placed.groupBy("root").agg(F.min("least").alias("component_id"))
+    named = placed.select("node", "root").join(least, "root")
     told = seen.select("row_id", "n", "node").join(named.select("node", "component_id"), "node", "left")
     return told.select(
         F.col("row_id").alias("doc_id"), F.col("n").alias("n_shingles"),

@@ -79,14 +79,33 @@ def test_a_crowd_apart_from_its_pivot(spark):
 
 
 def test_crowd_yields_few_pairs(spark, monkeypatch):
+    """150 near copies, some too far from all others: pairs and links grow with the crowd."""
     rng = random.Random(6)
     base = [f"w{i}" for i in range(200)]
-    made = [(i, edited(rng, base, 1)) for i in range(150)]
+    made = [(i, edited(rng, base, rng.choice([1, 1, 2, 6]))) for i in range(150)]
     seen = []
-    linked = ngram_join._linked
+    linked, crowds = ngram_join._linked, ngram_join._links_of_crowds
     monkeypatch.setattr(ngram_join, "_linked", lambda p, *a: seen.append(p.count()) or linked(p, *a))
-    assert len({c for _, _, c in run(spark, made)}) == 1
-    assert sum(seen) < 6 * len(made)
+
+    def count(*a):
+        found = crowds(*a)
+        seen.append(found.count())
+        return found
+
+    monkeypatch.setattr(ngram_join, "_links_of_crowds", count)
+    assert run(spark, made) == brute(made)
+    assert len(seen) == 2 and sum(seen) < 6 * len(made)
+
+
+@pytest.mark.parametrize("sizes", [{"TILE": 7, "COLUMNS": 16}, {"TILE_GRAMS": 300}])
+def test_crowds_in_tiles(spark, monkeypatch, sizes):
+    for name, value in sizes.items():
+        monkeypatch.setattr(ngram_join, name, value)
+    rng = random.Random(8)
+    base = [f"w{i}" for i in range(150)]
+    made = [(i, edited(rng, base, rng.choice([1, 3, 5, 6]))) for i in range(60)]
+    made += [(100 + i, edited(rng, made[i][1].split(), 1)) for i in range(30)]
+    assert run(spark, made) == brute(made)
 
 
 def test_empty_table_and_clashing_columns(spark, no_docs, docs):
