@@ -10,12 +10,14 @@ corpus that counts only phrases with a prefix (or, for what can drop a pair, a s
 A language is settled once its ``top``-th surviving score reaches the threshold: nothing unopened can score
 as much. Else its threshold falls, at last to nothing.
 
-Words are counted first. Phrases are counted where their parts can be frequent enough, by bitmaps of a fixed
-size: a bit set by chance costs a count, and loses nothing.
+Words are counted first. Pairs are counted twice: all of them as packed hashes, which tells what can be frequent
+enough, and then those alone, exactly. What can be frequent is held in bitmaps of a fixed size: a bit set by
+chance costs a count, and loses nothing.
 """
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -32,8 +34,9 @@ LEAST, TOP, SHARE, UNKNOWN = 10, 2000, 50, "und"
 SCALE = 1_000_000
 # Pairs of words opened in a language at first, as times ``top``, and how many times more in each round.
 OPEN, WIDER = 4, 16
-# Bits of a bitmap, as a power of two; words counted together in a task before they are handed on.
-BITS, HELD = 25, 1 << 21
+# Bits of a bitmap, as a power of two; words counted together in a task before they are handed on; words of
+# the corpus for each group of packed hashes.
+BITS, HELD, GROUP = 25, 1 << 20, 1 << 20
 
 # Characters that end a piece, A-Z lower-cased, tabs as spaces.
 _CLEAN = bytes(
@@ -126,13 +129,7 @@ def _counted(docs: DataFrame, width: int, wanted) -> DataFrame:
         counts = _Counts(width)
         for batch in blocks(batches, "text"):
             for lang, parts in _by_language(batch):
-                each = np.concatenate([x for t in parts for x in (_hashes(t), [np.uint64(_BREAK)])])
-                ends = len(each) - width + 1
-                if ends <= 0:
-                    continue
-                cut = [each[k : ends + k] for k in range(width)]
-                good = np.flatnonzero(np.logical_and.reduce([x != _BREAK for x in cut]))
-                cut = [x[good] for x in cut]
+                cut = _cut(lang, parts, width)
                 keep = np.flatnonzero(wanted(lang, cut))
                 counts.add(lang, np.stack([x[keep] for x in cut], axis=1))
             if counts.size >= most:
@@ -144,11 +141,69 @@ def _counted(docs: DataFrame, width: int, wanted) -> DataFrame:
     return found.groupBy("lang", *[f"w{k}" for k in range(width)]).agg(F.sum("c").alias("c"))
 
 
+def _cut(lang: str, parts: list[str], width: int) -> list[np.ndarray]:
+    """Every phrase of ``width`` words within a piece: its first words, its second ones, and so on."""
+    each = np.concatenate([x for t in parts for x in (_hashes(t), [np.uint64(_BREAK)])])
+    ends = max(0, len(each) - width + 1)
+    cut = [each[k : ends + k] for k in range(width)]
+    good = np.flatnonzero(np.logical_and.reduce([x != _BREAK for x in cut]))
+    return [x[good] for x in cut]
+
+
+def _frequent_codes(docs: DataFrame, words: int, wanted, least: int) -> DataFrame:
+    """(at): hashes of pairs of words that are ``least`` in number, as far as hashes can tell.
+
+    A task sends its distinct hashes, packed by range and with counts up to ``least``, so a pair takes
+    about nine bytes; the hashes of one range meet in one group. ``words`` are those of the corpus.
+    """
+    most = HELD
+    tasks = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranges = max(tasks, -(-words // GROUP))
+    edges = np.array([(k << 64) // ranges for k in range(1, ranges)], dtype=np.uint64)
+
+    def packed(held: list[np.ndarray]) -> pa.RecordBatch:
+        code, count = np.unique(np.concatenate(held), return_counts=True)
+        count = np.minimum(count, least).astype(np.int32)
+        cuts = [0, *np.searchsorted(code, edges).tolist(), len(code)]
+        full = [k for k in range(ranges) if cuts[k + 1] > cuts[k]]
+        return pa.RecordBatch.from_pydict({
+            "range": pa.array(full, pa.int32()),
+            "codes": pa.array([code[cuts[k] : cuts[k + 1]].tobytes() for k in full], pa.binary()),
+            "counts": pa.array([count[cuts[k] : cuts[k + 1]].tobytes() for k in full], pa.binary()),
+        })
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
+        for batch in blocks(batches, "text"):
+            for lang, parts in _by_language(batch):
+                cut = _cut(lang, parts, 2)
+                keep = np.flatnonzero(wanted(lang, cut))
+                held.append(_place(*[x[keep] for x in cut], lang=lang, bits=64))
+                size += len(keep)
+            if size >= most:
+                yield packed(held)
+                held, size = [], 0
+        if size:
+            yield packed(held)
+
+    def summed(group: pa.Table) -> pa.Table:
+        code = np.frombuffer(b"".join(group.column("codes").to_pylist()), dtype=np.uint64)
+        count = np.frombuffer(b"".join(group.column("counts").to_pylist()), dtype=np.int32)
+        order = np.argsort(code)
+        code, count = code[order], count[order]
+        first = np.flatnonzero(np.r_[True, code[1:] != code[:-1]])
+        often = np.add.reduceat(count.astype(np.int64), first) >= least
+        return pa.table({"at": pa.array(code[first[often]].view(np.int64))})
+
+    sent = docs.mapInArrow(run, "range int, codes binary, counts binary")
+    return sent.groupBy("range").applyInArrow(summed, "at bigint")
+
+
 def _word_counts(docs: DataFrame) -> DataFrame:
     """(lang, word, c) of all words."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[str, dict[bytes, int]] = {}
+        held: dict[str, Counter] = {}
         size = 0
 
         def hand_on() -> Iterator[pa.RecordBatch]:
@@ -161,11 +216,10 @@ def _word_counts(docs: DataFrame) -> DataFrame:
 
         for batch in blocks(batches, "text"):
             for lang, parts in _by_language(batch):
-                counts = held.setdefault(lang, {})
+                counts = held.setdefault(lang, Counter())
                 before = len(counts)
                 for text in parts:
-                    for word in words_of(text):
-                        counts[word] = counts.get(word, 0) + 1
+                    counts.update(words_of(text))
                 counts.pop(b"", None)
                 counts.pop(b"\n", None)
                 size += len(counts) - before
@@ -192,13 +246,17 @@ def _bitmap(phrases: DataFrame, names: list[str]) -> Broadcast:
                 at = np.unique(_place(*parts, lang=lang, bits=size).astype(np.int64))
                 yield pa.RecordBatch.from_pydict({"at": pa.array(at)})
 
-    at = phrases.select("lang", *names).mapInArrow(run, "at bigint")
+    return _bits(phrases.select("lang", *names).mapInArrow(run, "at bigint"), size)
+
+
+def _bits(at: DataFrame, size: int) -> Broadcast:
+    """A bitmap with the bits ``at`` set."""
     word = F.expr("shiftleft(1L, cast(at & 63 as int))")
     found = at.groupBy(F.shiftright("at", 6).alias("k")).agg(F.bit_or(word).alias("bits"))
     told = found.toArrow()
     bits = np.zeros(1 << (size - 6), dtype=np.int64)
     bits[told.column("k").to_numpy()] = told.column("bits").to_numpy()
-    return phrases.sparkSession.sparkContext.broadcast(bits)
+    return at.sparkSession.sparkContext.broadcast(bits)
 
 
 def _held(bitmap: Broadcast, lang: str, *parts: np.ndarray) -> np.ndarray:
@@ -262,7 +320,14 @@ def mine(
             good &= _held(single, lang, part)
         return good
 
-    pairs = _counted(docs, 2, frequent).filter(F.col("c") >= least)
+    n_words = total.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    codes = _frequent_codes(docs, n_words, frequent, least)
+    likely = _bits(codes.select(F.shiftrightunsigned("at", 64 - BITS).alias("at")), BITS)
+
+    def promising(lang: str, cut: list[np.ndarray]) -> np.ndarray:
+        return _held(likely, lang, *cut) & frequent(lang, cut)
+
+    pairs = _counted(docs, 2, promising).filter(F.col("c") >= least)
     for k in (0, 1):
         word = often.select("lang", F.col("w").alias(f"w{k}"), F.col("c").alias(f"f{k}"))
         pairs = pairs.join(word, ["lang", f"w{k}"])
