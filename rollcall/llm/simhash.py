@@ -21,7 +21,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from rollcall.llm import shingles
 from rollcall.llm.common import KEY, LOWER, UPPER, blocks, output, row_key, texts
 from rollcall.llm.components import components
 from rollcall.session import stage
@@ -217,8 +216,7 @@ def links(marks: DataFrame, budget: int = BUDGET, node_size: int = NODE_SIZE) ->
 
 
 def near_duplicates(
-    docs: DataFrame, words: int = WORDS, budget: int = BUDGET, node_size: int = NODE_SIZE,
-    similar: float | None = None,
+    docs: DataFrame, words: int = WORDS, budget: int = BUDGET, node_size: int = NODE_SIZE
 ) -> DataFrame:
     """A row per row of ``docs``: its row key, ``fingerprint`` (bigint), ``component_id``, ``first``.
 
@@ -226,9 +224,6 @@ def near_duplicates(
     smallest identifier reachable. ``first`` marks one row key of each component: the smallest
     identifier, null last, then the smallest hashes. Texts without words share fingerprint zero and are
     linked like any others; null texts count as empty. Copies of a row share all values.
-
-    With ``similar``, texts are linked too if they have at least that share of five-word shingles in
-    common (``shingles.links``), however far apart their fingerprints are.
     """
     keyed = docs.select(*row_key(), F.col("text"))
     seen = stage(with_fingerprint(keyed, words), "fingerprints")
@@ -238,8 +233,6 @@ def near_duplicates(
         "marks",
     )
     near = links(marks.select("fingerprint"), budget, node_size)
-    if similar is not None:
-        near = shingles.links(keyed, seen, near, similar)
     roots = components(near, "simhash-links")
     placed = marks.join(roots.withColumnRenamed("node", "fingerprint"), "fingerprint", "left")
     placed = stage(placed.withColumn("root", F.coalesce("root", "fingerprint")), "simhash-roots")
@@ -253,11 +246,9 @@ def near_duplicates(
     )
 
 
-def keep_one(
-    docs: DataFrame, words: int = WORDS, budget: int = BUDGET, similar: float | None = None
-) -> DataFrame:
+def keep_one(docs: DataFrame, words: int = WORDS, budget: int = BUDGET) -> DataFrame:
     """The rows of ``docs`` without near-duplicates: one row of each component stays."""
-    told = near_duplicates(docs, words, budget, similar=similar)
+    told = near_duplicates(docs, words, budget)
     first = told.filter("first").select(*KEY).distinct()
     first = first.withColumnRenamed("row_id", "kept_id")
     names = docs.columns
