@@ -14,8 +14,8 @@ from rollcall.session import ship_package, stage
 
 # A document is rejected if the spans of its language hold less than this share of its letters.
 MIN_LANGUAGE = 0.5
-# Documents are near-duplicates from this Jaccard similarity of their five-word shingles on.
-MIN_SIMILAR = 0.8
+# Near-duplicates have fingerprints of that many words a shingle, and differ in that many bits at most.
+SHINGLE_WORDS, MAX_BITS = 4, 4
 
 
 def identified(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -33,11 +33,8 @@ def lines_once(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_once(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """SimHash near-dedup: one document of each group stays.
-
-    Linked are near fingerprints, and texts of which ``MIN_SIMILAR`` of the five-word shingles agree.
-    """
-    return simhash.keep_one(docs, similar=MIN_SIMILAR)
+    """SimHash near-dedup: one document of each group of near fingerprints stays."""
+    return simhash.keep_one(docs, words=SHINGLE_WORDS, budget=MAX_BITS)
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
