@@ -8,7 +8,9 @@
 
 What moves is packed: the words of a block that share a bucket of the hash are one row, as are their ids,
 and a text's numbers. So a corpus is shuffled for about its own size, and not a row for each position.
-Decoding joins ids with the table of token bytes, which has one row per token of the vocabulary file.
+Decoding joins ids with the table of token bytes, a row per token of the vocabulary file: its rows are
+broadcast, their number is the vocabulary's whatever the corpus, and each task looks up the ids of a block of
+texts at once and cuts the bytes at the ends of the texts.
 
 A block is named by a hash of its texts, so both passes over the input agree on it. An input that gives
 other rows or another order when it is read again is found out and stops the job: write it first.
@@ -25,17 +27,21 @@ from functools import cache
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 import tiktoken
 import xxhash
 import zstandard
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from rollcall.llm.common import blocks, code_points, output, texts
 
 # Bytes of text whose distinct words are numbered together, and those cut up at a time.
 BLOCK, PIECE = 6 << 20, 1 << 19
+# Bytes of text of the corpus for each group of words, rows of a group handed on together, ids decoded at a time.
+GROUP, ROWS, IDS = 64 << 20, 16, 1 << 20
 # What follows an apostrophe in a pre-token of its own, as in the published pattern.
 SUFFIXES = ("s", "t", "re", "ve", "m", "ll", "d")
 
@@ -96,14 +102,19 @@ def pre_tokens(parts: list[str]) -> tuple[list[str], np.ndarray]:
     return words, np.searchsorted(start, at)
 
 
+@cache
+def _zstd() -> tuple[zstandard.ZstdCompressor, zstandard.ZstdDecompressor]:
+    return zstandard.ZstdCompressor(level=1), zstandard.ZstdDecompressor()
+
+
 def _pack(numbers: np.ndarray) -> bytes:
     """Numbers as compressed bytes, low bytes first and together."""
     planes = numbers.astype("<u4").view(np.uint8).reshape(-1, 4).T
-    return zstandard.ZstdCompressor(level=1).compress(planes.tobytes())
+    return _zstd()[0].compress(planes.tobytes())
 
 
 def _unpack(data: bytes) -> np.ndarray:
-    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(data), np.uint8).reshape(4, -1)
+    planes = np.frombuffer(_zstd()[1].decompress(data), np.uint8).reshape(4, -1)
     return np.ascontiguousarray(planes.T).reshape(-1).view("<u4").astype(np.int64)
 
 
@@ -111,14 +122,14 @@ def _pack_bytes(parts: list[bytes]) -> bytes:
     """Byte strings with their lengths, compressed."""
     sizes = np.fromiter(map(len, parts), np.int64, len(parts))
     head = _pack(sizes)
-    body = zstandard.ZstdCompressor(level=1).compress(b"".join(parts))
+    body = _zstd()[0].compress(b"".join(parts))
     return len(head).to_bytes(4, "little") + head + body
 
 
 def _unpack_bytes(data: bytes) -> list[bytes]:
     size = int.from_bytes(data[:4], "little")
     ends = np.cumsum(_unpack(data[4 : 4 + size])).tolist()
-    flat = zstandard.ZstdDecompressor().decompress(data[4 + size :])
+    flat = _zstd()[1].decompress(data[4 + size :])
     return [flat[a:b] for a, b in zip([0, *ends], ends)]
 
 
@@ -175,18 +186,20 @@ def ranks(path: str) -> dict[bytes, int]:
         return {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
 
 
-def token_table(spark: SparkSession, path: str) -> DataFrame:
-    """(id, token) of a vocabulary file: as many rows as the vocabulary has tokens."""
-    rows = [(i, bytearray(t)) for t, i in ranks(path).items()]
-    return spark.createDataFrame(rows, "id int, token binary")
+def token_table(path: str) -> pa.LargeBinaryArray:
+    """The bytes of every token of a vocabulary file, in the place of its id; null where there is none."""
+    tokens = {i: t for t, i in ranks(path).items()}
+    return pa.array([tokens.get(i) for i in range(max(tokens, default=-1) + 1)], pa.large_binary())
+
+
+@cache
+def _encoding(path: str) -> tiktoken.Encoding:
+    return tiktoken.Encoding("words", pat_str=r"(?s:.+)", mergeable_ranks=ranks(path), special_tokens={})
 
 
 def word_encoder(path: str) -> Callable[[str], list[int]]:
     """Merges within one pre-token; the pattern here takes whatever it is given as one."""
-    coder = tiktoken.Encoding(
-        "words", pat_str=r"(?s:.+)", mergeable_ranks=ranks(path), special_tokens={}
-    )
-    return coder.encode_ordinary
+    return _encoding(path).encode_ordinary
 
 
 def encode(docs: DataFrame, path: str | None = None, text: str = "text") -> DataFrame:
@@ -198,7 +211,9 @@ def encode(docs: DataFrame, path: str | None = None, text: str = "text") -> Data
     path = path or public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
     docs = docs.select(*[c for c in docs.columns if c != "ids"])
 
-    buckets = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    # A group holds the words of about GROUP bytes of text, however large the corpus is.
+    total = docs.agg(F.coalesce(F.sum(F.octet_length(text)), F.lit(0))).first()[0]
+    buckets = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-total // GROUP))
 
     def words_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for held in _numbered(batches, text):
@@ -229,21 +244,23 @@ def encode(docs: DataFrame, path: str | None = None, text: str = "text") -> Data
                     bpe_numbers=pa.array(packed, pa.binary()),
                 )
 
-    def encode_words(bucket: pa.Table) -> pa.Table:
+    def encode_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = word_encoder(path)
         known: dict[bytes, bytes] = {}  # the bucket's distinct words
-        packed = []
-        for words in bucket.column("words").to_pylist():
-            each = _unpack_bytes(words)
-            for word in each:
-                if word not in known:
-                    ids = coder(word.decode("utf-8", "surrogatepass"))
-                    known[word] = np.array(ids, dtype="<i4").tobytes()
-            packed.append(_pack_bytes([known[w] for w in each]))
-        return pa.table({
-            "block": bucket.column("block"), "numbers": bucket.column("numbers"),
-            "word_ids": pa.chunked_array([pa.array(packed, pa.binary())]),
-        })
+        for whole in batches:
+            for a in range(0, whole.num_rows, ROWS):
+                batch, packed = whole.slice(a, ROWS), []
+                for words in batch.column("words"):
+                    each = _unpack_bytes(words.as_py())
+                    for word in each:
+                        if word not in known:
+                            ids = coder(word.decode("utf-8", "surrogatepass"))
+                            known[word] = np.array(ids, dtype="<i4").tobytes()
+                    packed.append(_pack_bytes([known[w] for w in each]))
+                yield pa.RecordBatch.from_pydict({
+                    "block": batch.column("block"), "numbers": batch.column("numbers"),
+                    "word_ids": pa.array(packed, pa.binary()),
+                })
 
     words = docs.select(text).mapInArrow(words_of, "bucket int, block bigint, numbers binary, words binary")
     told = words.groupBy("bucket").applyInArrow(encode_words, "block bigint, numbers binary, word_ids binary")
@@ -286,9 +303,15 @@ def encode(docs: DataFrame, path: str | None = None, text: str = "text") -> Data
     return told.groupBy("block").cogroup(rows.groupBy("bpe_block")).applyInArrow(put_together, schema)
 
 
-def _rows_of(batch: pa.RecordBatch, ids: str) -> Iterator[list[int] | None]:
-    for row in batch.column(ids):
-        yield row.values.to_numpy().tolist() if row.is_valid else None
+def _id_blocks(batches: Iterator[pa.RecordBatch], ids: str) -> Iterator[tuple[pa.RecordBatch, np.ndarray]]:
+    """Rows with about ``IDS`` ids together, or one longer row, and how many ids each has."""
+    for batch in batches:
+        size = pc.fill_null(pc.list_value_length(batch.column(ids)), 0).to_numpy(zero_copy_only=False)
+        part = np.cumsum(size.astype(np.int64)) // IDS
+        cuts = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), batch.num_rows]
+        for a, b in zip(cuts, cuts[1:]):
+            if b > a:
+                yield batch.slice(a, b - a), size[a:b]
 
 
 def decode(encoded: DataFrame, path: str | None = None, ids: str = "ids") -> DataFrame:
@@ -317,27 +340,34 @@ def _decoded(
     new = ["n_tokens", "ids_sha256", "decoded_sha256"] if digest else ["decoded"]
     encoded = encoded.select(*[c for c in encoded.columns if c not in new])
 
+    # As large as the vocabulary, whatever the corpus.
+    shared = encoded.sparkSession.sparkContext.broadcast(token_table(path))
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        # The token-byte table: one entry per token of the vocabulary, whatever the corpus.
-        token = {i: t for t, i in ranks(path).items()}.__getitem__
-        for whole in batches:
-            for a in range(0, whole.num_rows, 256):
-                batch = whole.slice(a, 256)
-                if not digest:
-                    rows = [None if r is None else b"".join(map(token, r)) for r in _rows_of(batch, ids)]
-                    yield output(batch, decoded=pa.array(rows, pa.binary()))
-                    continue
-                count, marks, texts_ = [], [], []
-                for row in _rows_of(batch, ids):
-                    row = row or []
-                    count.append(len(row))
-                    marks.append(hashlib.sha256(",".join(map(str, row)).encode()).hexdigest())
-                    texts_.append(hashlib.sha256(b"".join(map(token, row))).hexdigest())
-                yield output(
-                    batch, () if keep_ids else (ids,), n_tokens=pa.array(count, pa.int64()),
-                    ids_sha256=pa.array(marks, pa.string()),
-                    decoded_sha256=pa.array(texts_, pa.string()),
-                )
+        table = shared.value
+        for batch, size in _id_blocks(batches, ids):
+            flat = batch.column(ids).flatten()
+            joined = table.take(flat)
+            if joined.null_count:
+                raise ValueError("an id is not in the vocabulary")
+            edge = np.r_[0, np.cumsum(size)].tolist()
+            at = np.frombuffer(joined.buffers()[1], np.int64)[joined.offset :][edge].tolist()
+            data = memoryview(joined.buffers()[2] or b"")
+            rows = [data[a:b] for a, b in zip(at, at[1:])]
+            if not digest:
+                null = pc.is_null(batch.column(ids)).to_pylist()
+                rows = [None if gone else bytes(r) for r, gone in zip(rows, null)]
+                yield output(batch, decoded=pa.array(rows, pa.binary()))
+                continue
+            told = flat.to_numpy().tolist()
+            marks = [
+                hashlib.sha256(",".join(map(str, told[a:b])).encode()).hexdigest() for a, b in zip(edge, edge[1:])
+            ]
+            yield output(
+                batch, () if keep_ids else (ids,), n_tokens=pa.array(size.astype(np.int64)),
+                ids_sha256=pa.array(marks, pa.string()),
+                decoded_sha256=pa.array([hashlib.sha256(r).hexdigest() for r in rows], pa.string()),
+            )
 
     fields = [f for f in encoded.schema.fields if keep_ids or f.name != ids]
     if digest:

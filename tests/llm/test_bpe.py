@@ -68,8 +68,43 @@ def test_very_long_word(spark, coder, tmp_path):
 
 def test_no_documents(spark, no_docs):
     assert bpe.decode(bpe.encode(no_docs)).count() == 0
-    table = bpe.token_table(spark, PATH)
-    assert table.count() == len(bpe.ranks(PATH))
+    table = bpe.token_table(PATH)
+    assert all(table[i].as_py() == t for t, i in bpe.ranks(PATH).items())
+
+
+def test_decoding_joins_the_table(spark):
+    rows = [(1, [0, 5, 49_000]), (2, None), (3, []), (4, [256, 256])]
+    encoded = spark.createDataFrame(rows, "doc_id int, ids array<int>")
+    token = {i: t for t, i in bpe.ranks(PATH).items()}
+    for r in bpe.decode(encoded).collect():
+        assert r.decoded == (None if r.ids is None else b"".join(token[i] for i in r.ids))
+    told = {r.doc_id: r for r in bpe.decode_digest(encoded).collect()}
+    assert told[2].n_tokens == 0 and told[2].decoded_sha256 == hashlib.sha256(b"").hexdigest()
+    for wrong in (10**6, -1):
+        with pytest.raises(Exception, match="vocabulary|bounds"):
+            bpe.decode(spark.createDataFrame([(1, [wrong])], "doc_id int, ids array<int>")).collect()
+
+
+def test_groups_of_words_stay_small(spark, tmp_path, monkeypatch):
+    """With one shuffle partition too, words are dealt into groups by the size of the corpus."""
+    monkeypatch.setattr(bpe, "GROUP", 2_000)
+    monkeypatch.setattr(bpe, "BLOCK", 1)
+    texts = [(i, " ".join(f"w{i * k}" for k in range(40))) for i in range(60)]
+    read = _written(spark, spark.createDataFrame(texts, "doc_id int, text string"), tmp_path)
+    most = spark.sparkContext.accumulator(0)
+    coder, before = bpe.word_encoder, spark.conf.get("spark.sql.shuffle.partitions")
+
+    def counting(path):  # called once for each group
+        most.add(1)
+        return coder(path)
+
+    monkeypatch.setattr(bpe, "word_encoder", counting)
+    spark.conf.set("spark.sql.shuffle.partitions", "1")
+    try:
+        assert len(bpe.encode(read).collect()) == 60
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert most.value >= 4
 
 
 def test_each_distinct_word_is_encoded_once(spark, tmp_path, monkeypatch):
