@@ -67,6 +67,33 @@ def test_viterbi_finds_the_best_labelling():
             assert b == a or abs(value - brute(scores[a:b], penalty)) < 1e-9
 
 
+def test_more_languages_than_a_byte_holds():
+    rng = np.random.default_rng(8)
+    scores = rng.normal(size=(40, 300))
+    scores[:20, 299] += 9
+    scores[20:, 270] += 9
+    label = language.viterbi(scores, np.array([0, 40]), 4.0)
+    assert label.tolist() == [299] * 20 + [270] * 20
+
+
+def test_three_hundred_languages(spark):
+    tags = [f"l{i:03d}" for i in range(300)]
+    words = {t: [f"{chr(97 + i % 26)}{chr(97 + i // 26)}{chr(97 + k)}ou" for k in range(8)] for i, t in enumerate(tags)}
+    made = [(_text(words[t], i * 7 + k), t) for i, t in enumerate(tags) for k in range(2)]
+    model = language.train(spark.createDataFrame(made, "text string, lang string"))
+    assert len(model.languages) == 300
+    mixed = [(f"{_text(words[a], 1, 30)} {_text(words[b], 2, 25)}", a) for a, b in zip(tags[200:], tags[:100])]
+    got = language.identify(spark.createDataFrame(mixed, "text string, lang string"), model).collect()
+    assert sum(r.lang == r.lang_pred for r in got) >= 98
+
+
+def test_unseen_rows_of_the_given_table(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    held = (docs["doc_id"] % 4) == 2
+    got = language.identify(docs.filter(held), language.train(docs.filter(~held))).collect()
+    assert len(got) > 200 and sum(r.lang == r.lang_pred for r in got) >= 0.98 * len(got)
+
+
 def test_words_and_grams():
     found = language.split_words(["", "Ab1c", None or "", "é́x  --"])
     assert found.doc.tolist() == [1, 1, 3] and found.letters.tolist() == [2, 1, 2]
