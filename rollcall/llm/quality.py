@@ -2,13 +2,12 @@
 
 The classifier is a logistic regression on the relative frequencies of hashed character n-grams and
 of hashed words and word pairs. It learns from labelled rows of at most ``MAX_TEXT`` code
-points each, at most ``MAX_DOCS`` of them and ``MAX_CHARS`` code points in all, picked by hash; a fifth
-of these is set aside to calibrate its scores to probabilities (Platt). Scoring covers every text whole, in Arrow batches.
+points each, at most ``MAX_DOCS`` of them and ``MAX_CHARS`` code points in all, picked by hash, and from the
+first rows of each label, however rare it is; a fifth of these is set aside to calibrate its scores to probabilities (Platt). Scoring covers every text whole, in Arrow batches.
 """
 
 from __future__ import annotations
 
-import warnings
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -26,8 +25,9 @@ MAX_DOCS, MAX_CHARS = 2_000, 4_000_000
 # A labelled text of more code points than this, 20 times its share of MAX_CHARS, is not learnt from:
 # MAX_CHARS then holds at least 100 rows, whatever the lengths. It is scored whole like any other.
 MAX_TEXT = 20 * MAX_CHARS // MAX_DOCS
-# Fewer rows of a label than this in the sample, though the table has more, give a warning; none stops.
-LEAST_OF_LABEL = 5
+# Of each label this part of MAX_DOCS rows is in the sample by right, with this part of MAX_CHARS code points:
+# longer texts only where there are no shorter ones, and one text at least.
+ROWS_PART, CHARS_PART = 20, 4
 BUCKETS = 1 << 18
 CHAR_SIZES = (1, 2, 3, 4)
 MIN_SEEN = 5
@@ -111,39 +111,31 @@ def _labelled(docs: DataFrame, labels: DataFrame) -> DataFrame:
     return docs.join(known.groupBy("doc_id").agg(F.min("quality").alias("label")), "doc_id")
 
 
-def _look_at_labels(rows: list, docs: DataFrame, labels: DataFrame) -> None:
-    """Stop if the sample has no row of a label the table has; warn if it has only a few of many."""
-    have = {good: sum((r[1] > 0) == good for r in rows) for good in (False, True)}
-    if min(have.values()) >= LEAST_OF_LABEL:
-        return
-    every = _labelled(docs.filter("text IS NOT NULL").select("doc_id"), labels)
-    there = dict(every.groupBy(F.col("label") > 0).count().collect())
-    for good, n in have.items():
-        if n < min(LEAST_OF_LABEL, there.get(good, 0)):
-            say = f"{n} of {there[good]} rows labelled {'good' if good else 'bad'} are in the sample"
-            if n == 0:
-                raise ValueError(f"{say}: the others are over {MAX_TEXT} code points or not picked")
-            warnings.warn(say, stacklevel=3)
-
-
 def sample_labelled(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """Text and label of at most ``MAX_DOCS`` labelled rows and ``MAX_CHARS`` code points, by hash.
 
     Texts of over ``MAX_TEXT`` code points are left out before rows are ranked, so that none ends the
-    sample for the rows behind it.
+    sample for the rows behind it. To these come the first rows of each label (good: over 0), a
+    ``ROWS_PART``-th of ``MAX_DOCS``, texts of over ``MAX_TEXT`` last, up to a ``CHARS_PART``-th of ``MAX_CHARS``;
+    the first text has no such bound.
 
     Labels are one per identifier (the lowest, if several) and not null. Identifiers, hashes and lengths
     decide which rows belong to the sample; no text moves but theirs.
     """
     docs = docs.filter("text IS NOT NULL").withColumn("mark", F.xxhash64("text"))
     found = _labelled(docs.select("doc_id", "mark", F.char_length("text").alias("n")), labels)
-    found = found.filter(F.col("n") <= MAX_TEXT)
     order = F.struct(F.xxhash64(F.col("doc_id").cast("string"), F.lit(7)), "doc_id", "mark")
-    picked = found.withColumn("order", order).orderBy("order").limit(MAX_DOCS)
+    found = found.withColumns({"order": order, "long": F.col("n") > MAX_TEXT, "good": F.col("label") > 0})
+    picked = found.filter("NOT long").orderBy("order").limit(MAX_DOCS)
     upto = Window.orderBy("order").rowsBetween(Window.unboundedPreceding, 0)
     picked = picked.withColumn("upto", F.sum("n").over(upto)).filter(F.col("upto") <= MAX_CHARS)
-    # At most MAX_DOCS rows of three numbers.
-    chosen = F.broadcast(picked.select("doc_id", "mark", "label").distinct())
+    first = Window.partitionBy("good").orderBy("long", "order")
+    assured = found.withColumn("place", F.row_number().over(first)).filter(F.col("place") <= max(1, MAX_DOCS // ROWS_PART))
+    assured = assured.withColumn("upto", F.sum("n").over(first.rowsBetween(Window.unboundedPreceding, 0)))
+    assured = assured.filter((F.col("place") == 1) | (F.col("upto") <= MAX_CHARS // CHARS_PART))
+    names = ["doc_id", "mark", "label"]
+    # At most MAX_DOCS and two of its parts: rows of three numbers.
+    chosen = F.broadcast(picked.select(*names).union(assured.select(*names)).distinct())
     return docs.join(chosen, ["doc_id", "mark"]).select("doc_id", "text", "label")
 
 
@@ -180,8 +172,6 @@ def _features(sample: DataFrame) -> list[tuple[int, int, np.ndarray, np.ndarray]
 def train(docs: DataFrame, labels: DataFrame, rounds: int = 200, penalty: float = 1e-3) -> Classifier:
     """Fit on the bounded sample; a table of one label only (or none) gives a model that keeps all.
 
-    Stops if the table has rows of both labels and the sample has not.
-
     Buckets seen in fewer than ``MIN_SEEN`` texts of the sample take no part, and both labels weigh
     alike while the weights are fitted; the calibration then sees labels as frequent as they are.
     """
@@ -189,7 +179,6 @@ def train(docs: DataFrame, labels: DataFrame, rounds: int = 200, penalty: float
     labels = labels.select(F.col("doc_id").cast("bigint").alias("doc_id"),
                            F.col("quality").cast("int").alias("quality"))
     rows = _features(sample_labelled(docs, labels))
-    _look_at_labels(rows, docs, labels)
     if len({r[1] > 0 for r in rows}) < 2:
         return Classifier(None)
     label = np.array([r[1] > 0 for r in rows], dtype=np.float64)

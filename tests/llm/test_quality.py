@@ -72,8 +72,37 @@ def test_one_long_text_does_not_end_the_sample(spark):
     assert quality.train(long, labels, rounds=5).weights is not None
 
 
-def test_a_label_lost_to_the_bound_is_told(spark):
+def test_a_label_of_long_texts_alone_is_learnt(spark):
     docs, labels, _ = _corpus(spark)
     long = docs.selectExpr("doc_id", "if(doc_id % 4 = 0, repeat('junk ', 9000), text) AS text")
-    with pytest.raises(ValueError, match="labelled bad"):
-        quality.train(long, labels, rounds=5)
+    taken = {r.label: r["count"] for r in quality.sample_labelled(long, labels).groupBy("label").count().collect()}
+    assert 0 < taken[0] <= 1_000_000 // 45_000 and taken[1] > 100
+    model = quality.train(long, labels, rounds=60)
+    assert model.probability(["junk " * 100])[0] < 0.5 < model.probability(["good1 good2 good3 " * 30])[0]
+    endless = docs.selectExpr("doc_id", "if(doc_id % 4 = 0, repeat('junk ', 900000), text) AS text")
+    assert quality.sample_labelled(endless, labels).filter("label = 0").count() == 1
+
+
+def test_a_rare_label_is_learnt(spark):
+    docs = spark.range(60_000).selectExpr(
+        "id AS doc_id", "concat_ws(' ', transform(sequence(1, 30), i -> concat(if(id % 20000 = 7, 'junk##', 'good'), "
+        "cast(pmod(xxhash64(id, i), 30) AS string)))) AS text")
+    labels = docs.selectExpr("doc_id", "if(doc_id % 20000 = 7, 0, 1) AS quality")
+    sample = quality.sample_labelled(docs, labels)
+    assert sample.filter("label = 0").count() == 3
+    assert quality.MAX_DOCS <= sample.count() <= quality.MAX_DOCS + 200
+    model = quality.train(docs, labels, rounds=40)
+    assert model.probability([" ".join(f"junk##{i}" for i in range(30))])[0] < model.probability(
+        [" ".join(f"good{i}" for i in range(30))])[0]
+
+
+def test_rows_of_the_given_table_it_has_not_seen(spark, monkeypatch):
+    """Labelled rows that pass the base rules and are not in a sample of 300."""
+    monkeypatch.setattr(quality, "MAX_DOCS", 200)
+    folder = "/root/testdata/sf0.01"
+    docs = spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "text")
+    labels = spark.read.parquet(f"{folder}/labels.parquet")
+    seen = {r.doc_id for r in quality.sample_labelled(docs, labels).select("doc_id").collect()}
+    judged = quality.judge_quality(docs, quality.train(docs, labels)).filter("NOT base_failed").join(labels, "doc_id")
+    rest = [r for r in judged.select("doc_id", "kept", "quality").collect() if r.doc_id not in seen]
+    assert len(rest) > 80 and sum(r.kept == (r.quality > 0) for r in rest) >= 0.95 * len(rest)
