@@ -122,12 +122,15 @@ OP6_SQL = """
         SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS q
         FROM embeddings WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
           AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    ), asked AS (
+        SELECT DISTINCT vec_id, q FROM good WHERE vec_id % 50 = 0
     ), scored AS (
-        SELECT a.vec_id AS query_id, b.vec_id,
+        SELECT a.vec_id AS query_id, a.q AS query, b.vec_id,
                list_sum(list_transform(range(1, len(a.q) + 1), lambda i: a.q[i] * b.q[i])) AS score
-        FROM good a JOIN good b ON a.vec_id % 50 = 0 AND a.vec_id <> b.vec_id
+        FROM asked a JOIN good b ON a.vec_id <> b.vec_id
     ), ranked AS (
-        SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM scored
+        SELECT *, row_number() OVER (PARTITION BY query_id, query ORDER BY score DESC, vec_id) AS rank
+        FROM scored
     )
     SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, CAST(score AS BIGINT) AS score
     FROM ranked WHERE rank <= 5"""

@@ -91,8 +91,9 @@ def top_k(
     """(query_id, rank, vec_id, score) of the ``k`` highest inner products for every query.
 
     Both sides are (vec_id, q). A vector with the query's identifier is the query's own and no
-    candidate; ties go to the smaller identifier. Vectors of different lengths are compared as if the
-    shorter ended in zeros. A query whose row is repeated counts once. Scores beyond 64 bits are clipped
+    candidate; ties go to the smaller identifier. A query whose row is repeated counts once; rows of queries
+    that share an identifier but not a vector are queries of their own, each with its ranks. Vectors of different lengths are compared as if the
+    shorter ended in zeros. Scores beyond 64 bits are clipped
     before they are ranked; numbers that large are scored without bounds.
     """
     queries = queries.dropDuplicates(["vec_id", "q"])
@@ -100,9 +101,9 @@ def top_k(
     n_blocks = max(1, -(-queries.count() // block))
     deal = lambda n, salt: F.pmod(F.xxhash64(F.lit(salt), "vec_id"), F.lit(n)).cast("int")
     every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
-    left = vectors.select("vec_id", "q", F.lit(0).alias("side"), deal(n_tiles, 0).alias("tile"),
+    left = vectors.select("vec_id", "q", F.lit(0).cast("bigint").alias("mark"), F.lit(0).alias("side"), deal(n_tiles, 0).alias("tile"),
                           every(n_blocks).alias("block"))
-    right = queries.select("vec_id", "q", F.lit(1).alias("side"), every(n_tiles).alias("tile"),
+    right = queries.select("vec_id", "q", F.xxhash64("q").alias("mark"), F.lit(1).alias("side"), every(n_tiles).alias("tile"),
                            deal(n_blocks, 1).alias("block"))
 
     def run(group: pa.Table) -> pa.Table:
@@ -110,23 +111,24 @@ def top_k(
         size = np.array([len(q) for q in group.column("q")])
         width = int(size.max(initial=0))
         rows, ids = _matrix(group.column("q"), width), group.column("vec_id").to_numpy()
-        wanted, wanted_ids = rows[side == 1], ids[side == 1]
+        wanted, wanted_ids, marks = rows[side == 1], ids[side == 1], group.column("mark").to_numpy()[side == 1]
         rows, ids = rows[side == 0], ids[side == 0]
         columns = np.ascontiguousarray(_exact(rows, wanted).T)
         wanted = wanted.astype(columns.dtype)
         power = rows.astype(np.float64).T ** 2
         mass = [power[at:].sum(axis=0) for at in range(0, width, DIMENSIONS)] + [np.zeros(len(ids))]
-        out: dict[str, list] = {"query_id": [], "vec_id": [], "score": []}
-        for query, own in zip(wanted, wanted_ids.tolist()):
+        out: dict[str, list] = {"query_id": [], "mark": [], "vec_id": [], "score": []}
+        for query, own, mark in zip(wanted, wanted_ids.tolist(), marks.tolist()):
             found, score = search(query, own, columns, ids, mass, k)
             out["query_id"] += [own] * len(found)
+            out["mark"] += [mark] * len(found)
             out["vec_id"] += ids[found].tolist()
             out["score"] += [int(s) for s in score]
         return pa.table({c: pa.array(v, pa.int64()) for c, v in out.items()})
 
     part = left.unionByName(right).groupBy("tile", "block").applyInArrow(
-        run, "query_id bigint, vec_id bigint, score bigint"
+        run, "query_id bigint, mark bigint, vec_id bigint, score bigint"
     )
-    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    order = Window.partitionBy("query_id", "mark").orderBy(F.desc("score"), "vec_id")
     ranked = part.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
     return ranked.select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")

@@ -44,6 +44,17 @@ def test_few_and_none(spark):
     assert run(spark, [(0, [1.0])], 10, 10) == [] and run(spark, [], 10, 10) == []
 
 
+def test_one_identifier_with_two_vectors(spark):
+    """Two queries, each with its own ranks."""
+    rng = np.random.default_rng(4)
+    rows = [(i, rng.normal(size=12).tolist()) for i in range(20)]
+    rows += [(4, rng.normal(size=12).tolist()), rows[6]]
+    got = run(spark, rows, 7, 3)
+    assert got == brute(rows)
+    assert [r[1] for r in got if r[0] == 4] == [1, 1, 2, 2, 3, 3, 4, 4, 5, 5]
+    assert [r[1] for r in got if r[0] == 6] == [1, 2, 3, 4, 5]
+
+
 def test_large_numbers(spark):
     rows = [(0, [1e9, 3.0]), (1, [1e9, 4.0]), (3, [1e9 + 1, -2.0])]
     assert run(spark, rows, 10, 10) == brute(rows)
