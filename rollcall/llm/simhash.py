@@ -4,9 +4,9 @@ Distinct fingerprints form a binary trie, one bit per level. Two of its nodes ca
 if the bits on the way to them differ at most ``budget`` times, so the join walks pairs of nodes: it
 starts at the root with itself, adds up differing bits and drops a pair once the budget is spent.
 
-The upper trie is cut into a frontier of nodes of bounded size, deeper where fingerprints are dense.
-Pairs of frontier nodes within the budget are Spark's groups; inside a group the walk goes on over
-sorted arrays, and small nodes are compared at once. A group returns a spanning forest of its links,
+The upper trie is cut into leaves of bounded size, deeper where fingerprints are dense; its nodes and the
+pairs of nodes are tables, and the walk goes down by joins. Pairs of leaves within the budget are Spark's
+groups; inside a group the walk goes on over sorted arrays, and small nodes are compared at once. A group returns a spanning forest of its links,
 never all pairs, so a crowd of near copies yields as many rows as it has members.
 """
 
@@ -26,7 +26,7 @@ from rollcall.llm.components import components
 from rollcall.session import stage
 
 WORDS, BUDGET, SEED = 4, 4, 42
-# Distinct fingerprints a frontier node holds at most, and how many levels one step goes down.
+# Distinct fingerprints a leaf of the upper trie holds at most, and how many levels one step goes down.
 NODE_SIZE, STEP = 1 << 16, 4
 # Comparisons at which two nodes are compared outright.
 LEAF = 1 << 16
@@ -69,44 +69,72 @@ def with_fingerprint(docs: DataFrame, words: int = WORDS) -> DataFrame:
     return docs.mapInArrow(run, T.StructType([*fields, T.StructField("fingerprint", T.LongType())]))
 
 
-def frontier(marks: DataFrame, limit: int) -> list[tuple[int, int]]:
-    """(depth, prefix) of trie nodes that hold at most ``limit`` marks each, and all marks together.
+def levels(marks: DataFrame, limit: int) -> list[DataFrame]:
+    """The nodes (parent, prefix, leaf) of the upper trie, level by level, ``STEP`` bits apart, written.
 
-    Only counts by prefix reach the driver, ``2 ** STEP`` for each node that is still too large.
+    A node of ``limit`` marks or fewer is a leaf of it; only the others have nodes below.
     """
-    found: list[tuple[int, int]] = []
-    open_nodes: list[int] | None = None
-    depth = 0
-    while open_nodes is None or open_nodes:
-        above, depth = depth, depth + STEP
-        rows = marks.select(F.shiftrightunsigned("fingerprint", 64 - depth).alias("p"))
-        if open_nodes is not None:
-            kept = marks.sparkSession.createDataFrame([(p,) for p in open_nodes], "q bigint")
-            parent = F.shiftright("p", depth - above)
-            rows = rows.withColumn("q", parent).join(kept, "q", "left_semi")
-        counts = rows.groupBy("p").count().collect()
-        small = [r.p for r in counts if r["count"] <= limit or depth >= 60]
-        found += [(depth, p) for p in small]
-        open_nodes = [r.p for r in counts if not (r["count"] <= limit or depth >= 60)]
-    return sorted(found)
-
-
-def _node_pairs(nodes: list[tuple[int, int]], budget: int) -> Iterator[tuple[int, int, int, int]]:
-    """(a, b, depth, errors) of frontier nodes whose common levels differ in ``budget`` bits at most."""
-    if not nodes:
-        return
-    depth = np.array([d for d, _ in nodes], dtype=np.uint64)
-    prefix = np.array([p for _, p in nodes], dtype=np.uint64)
-    for a in range(len(nodes)):
-        level = np.minimum(depth[a], depth[a:])
-        mine, theirs = prefix[a] >> (depth[a] - level), prefix[a:] >> (depth[a:] - level)
-        errors = np.bitwise_count(mine ^ theirs)
-        for i in np.flatnonzero(errors <= budget).tolist():
-            yield a, a + i, int(level[i]), int(errors[i])
+    found: list[DataFrame] = []
+    while not found or found[-1].filter("NOT leaf").take(1):
+        depth = STEP * (len(found) + 1)
+        rows = marks.select(F.shiftrightunsigned("fingerprint", 64 - depth).alias("prefix"))
+        rows = rows.select(F.shiftright("prefix", STEP).alias("parent"), "prefix")
+        if found:
+            above = found[-1].filter("NOT leaf").select(F.col("prefix").alias("parent"))
+            rows = rows.join(above, "parent", "left_semi")
+        leaf = (F.count(F.lit(1)) <= limit) | F.lit(depth >= 60)
+        found.append(stage(rows.groupBy("parent", "prefix").agg(leaf.alias("leaf")), "trie-nodes"))
+    return found
+
+
+def _below(pairs: DataFrame, side: str, nodes: DataFrame, depth: int) -> DataFrame:
+    """The pairs with the nodes below in place of one side's node, where it is no leaf."""
+    leaf = f"{side}_leaf"
+    kids = nodes.select("parent", F.col("prefix").alias("kid"), F.col("leaf").alias("kid_leaf"))
+    down = pairs.filter(~F.col(leaf)).join(kids, F.col(side) == F.col("parent"))
+    down = down.withColumns({side: F.col("kid"), leaf: F.col("kid_leaf"), f"{side}_depth": F.lit(depth)})
+    return pairs.filter(leaf).unionByName(down.drop("parent", "kid", "kid_leaf"))
+
+
+def node_pairs(tree: list[DataFrame], budget: int) -> DataFrame:
+    """Pairs of leaves of the upper trie whose common bits differ ``budget`` times at most.
+
+    The walk begins with the root and itself and goes down both sides level by level, by joins on the
+    parent; a side that is a leaf stays, and then no more bits are common. ``pair`` names each.
+    """
+    spark = tree[0].sparkSession
+    pairs = spark.range(1).select(
+        *[F.lit(x).cast(t).alias(f"{s}{n}") for s in "ab" for n, x, t in (
+            ("", 0, "bigint"), ("_leaf", False, "boolean"), ("_depth", 0, "int"))],
+        F.lit(0).alias("level"), F.lit(0).alias("errors"),
+    )
+    done = []
+    for n, nodes in enumerate(tree, 1):
+        depth = STEP * n
+        met = pairs.withColumns({
+            "met": ~F.col("a_leaf") & ~F.col("b_leaf"),
+            "same": (F.col("a") == F.col("b")) & (F.col("a_depth") == F.col("b_depth")),
+        })
+        moved = _below(_below(met, "a", nodes, depth), "b", nodes, depth)
+        more = F.bit_count(F.col("a").bitwiseXOR(F.col("b")).bitwiseAND((1 << STEP) - 1))
+        moved = moved.withColumns({
+            "errors": F.when(F.col("met"), F.col("errors") + more).otherwise(F.col("errors")).cast("int"),
+            "level": F.when(F.col("met"), F.lit(depth)).otherwise(F.col("level")),
+        })
+        # Below one node both orders of a pair come up: one is enough.
+        moved = moved.filter(f"errors <= {budget} AND (NOT same OR a <= b)").drop("met", "same")
+        moved = stage(moved, "node-pairs")
+        done.append(moved.filter("a_leaf AND b_leaf"))
+        pairs = moved.filter("NOT (a_leaf AND b_leaf)")
+    every = done[0]
+    for part in done[1:]:
+        every = every.unionByName(part)
+    kept = every.drop("a_leaf", "b_leaf").withColumn("pair", F.monotonically_increasing_id())
+    return stage(kept, "leaf-pairs")
 
 
 class _Walk:
-    """The walk below one pair of frontier nodes; ``label`` holds the forest."""
+    """The walk below one pair of leaves; ``label`` holds the forest."""
 
     def __init__(self, left: np.ndarray, right: np.ndarray | None, budget: int) -> None:
         self.budget = budget
@@ -170,31 +198,30 @@ def links(marks: DataFrame, budget: int = BUDGET, node_size: int = NODE_SIZE) ->
     """Links ``a``, ``b`` that connect all marks within ``budget`` bits of each other.
 
     ``marks`` holds distinct values in ``fingerprint``. The links are a forest for every pair of
-    frontier nodes: two marks hang together by them exactly if a chain of near pairs joins them.
+    leaves: two marks hang together by them exactly if a chain of near pairs joins them.
     """
     spark = marks.sparkSession
-    nodes = frontier(marks, node_size)
-    pairs = list(_node_pairs(nodes, budget))
-    routes = [
-        (nodes[node][0], nodes[node][1], n, side, depth, errors)
-        for n, (a, b, depth, errors) in enumerate(pairs)
-        for side, node in ((0, a), (1, b))[: 1 if a == b else 2]
+    tree = levels(marks, node_size)
+    pairs = node_pairs(tree, budget)
+    same = (F.col("a") == F.col("b")) & (F.col("a_depth") == F.col("b_depth"))
+    sides = [
+        side.select(
+            F.col(f"{s}_depth").alias("depth"), F.col(s).alias("prefix"), "pair", F.lit(n).alias("side"),
+            "level", "errors",
+        )
+        for n, (s, side) in enumerate((("a", pairs), ("b", pairs.filter(~same))))
     ]
-    table = spark.createDataFrame(
-        routes, "depth int, prefix bigint, pair bigint, side int, level int, errors int"
-    )
-    depths = sorted({d for d, _ in nodes}) or [STEP]
     ways = F.explode(F.array(*[
         F.struct(
             F.lit(d).alias("depth"),
             F.shiftrightunsigned("fingerprint", 64 - d).alias("prefix"),
         )
-        for d in depths
+        for d in range(STEP, STEP * len(tree) + 1, STEP)
     ]))
     sent = marks.select("fingerprint", ways.alias("w")).select("fingerprint", "w.*")
-    sent = sent.join(table, ["depth", "prefix"]).drop("depth", "prefix")
+    sent = sent.join(sides[0].unionByName(sides[1]), ["depth", "prefix"]).drop("depth", "prefix")
     # Groups are small in bytes and long in work: a number of tasks that is not merged by size.
-    tasks = max(1, min(len(pairs), 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))))
+    tasks = max(1, min(pairs.count(), 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))))
     sent = sent.repartition(tasks, "pair")
 
     def walk(group: pa.Table) -> pa.Table:

@@ -70,6 +70,27 @@ def test_trie_join_links_what_all_pairs_link(spark, node_size, monkeypatch):
     assert [find(i) for i in range(len(marks))] == want
 
 
+def test_leaf_pairs_are_all_within_the_budget(spark):
+    """Leaves at several depths, against all pairs of leaves."""
+    rng = random.Random(12)
+    marks = {rng.getrandbits(64) for _ in range(40)} | {(7 << 60) | rng.getrandbits(52) for _ in range(60)}
+    signed = [(m - 2**64 if m >= 2**63 else m,) for m in marks]
+    tree = simhash.levels(spark.createDataFrame(signed, "fingerprint bigint"), 6)
+    leaves = [(4 * n, r.prefix) for n, t in enumerate(tree, 1) for r in t.filter("leaf").collect()]
+    assert len({d for d, _ in leaves}) > 2
+    assert all(sum(m >> (64 - d) == p for d, p in leaves) == 1 for m in marks)
+    want = set()
+    for i, (d, p) in enumerate(leaves):
+        for e, q in leaves[i:]:
+            level = min(d, e)
+            errors = ((p >> (d - level)) ^ (q >> (e - level))).bit_count()
+            if errors <= 4:
+                want.add((frozenset([(d, p), (e, q)]), level, errors))
+    found = simhash.node_pairs(tree, 4).collect()
+    got = {(frozenset([(r.a_depth, r.a), (r.b_depth, r.b)]), r.level, r.errors) for r in found}
+    assert got == want and len(found) == len(want) == len({r.pair for r in found})
+
+
 def test_crowd_yields_no_pairs(spark):
     crowd = [0b1111 << 20 ^ (1 << a) ^ (1 << b) for a in range(40) for b in range(a)]
     assert len(_links(spark, crowd, 1 << 16)) < 2 * len(crowd)
