@@ -152,10 +152,12 @@ def dropped_places(
     schema = "row_id bigint, row_hash bigint, row_check bigint, place int, h1 bigint, h2 bigint, batch int"
     lines = spark.read.schema(schema).parquet(path)
     runs = Runs(spark)
-    for n in range(batches):
-        runs.add(lines.filter(F.col("batch") == n))
-    common = stage(runs.totals(min_docs).select(*HASH, "last_doc"), "common-lines")
-    runs.forget()
+    try:
+        for n in range(batches):
+            runs.add(lines.filter(F.col("batch") == n))
+        common = stage(runs.totals(min_docs).select(*HASH, "last_doc"), "common-lines")
+    finally:
+        runs.forget()
     gone = lines.join(common, HASH).filter("row_id <> last_doc")
     return gone.groupBy(*KEY).agg(F.collect_set("place").alias("gone"))
 

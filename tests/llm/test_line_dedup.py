@@ -82,5 +82,15 @@ def test_merge_anti_join_does_not_shuffle_a_run(spark):
     runs.forget()
 
 
+def test_a_failed_job_leaves_no_runs(spark, docs, monkeypatch):
+    def fail(*_):
+        raise RuntimeError("lost")
+
+    monkeypatch.setattr(line_dedup.Runs, "totals", fail)
+    with pytest.raises(RuntimeError, match="lost"):
+        line_dedup.dropped_places(docs)
+    assert not [t for t in spark.catalog.listTables() if t.name.startswith("line_run_")]
+
+
 def test_digest_of_nothing():
     assert hashlib.sha256(b"").hexdigest().startswith("e3b0c442")
