@@ -27,7 +27,7 @@ from pyspark.broadcast import Broadcast
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from rollcall.llm.common import LOWER, UPPER, blocks, texts
+from rollcall.llm.common import LOWER, UPPER, bitmap_of, blocks, texts
 from rollcall.session import stage
 
 LEAST, TOP, SHARE, UNKNOWN = 10, 2000, 50, "und"
@@ -246,17 +246,7 @@ def _bitmap(phrases: DataFrame, names: list[str]) -> Broadcast:
                 at = np.unique(_place(*parts, lang=lang, bits=size).astype(np.int64))
                 yield pa.RecordBatch.from_pydict({"at": pa.array(at)})
 
-    return _bits(phrases.select("lang", *names).mapInArrow(run, "at bigint"), size)
-
-
-def _bits(at: DataFrame, size: int) -> Broadcast:
-    """A bitmap with the bits ``at`` set."""
-    word = F.expr("shiftleft(1L, cast(at & 63 as int))")
-    found = at.groupBy(F.shiftright("at", 6).alias("k")).agg(F.bit_or(word).alias("bits"))
-    told = found.toArrow()
-    bits = np.zeros(1 << (size - 6), dtype=np.int64)
-    bits[told.column("k").to_numpy()] = told.column("bits").to_numpy()
-    return at.sparkSession.sparkContext.broadcast(bits)
+    return bitmap_of(phrases.select("lang", *names).mapInArrow(run, "at bigint"), size)
 
 
 def _held(bitmap: Broadcast, lang: str, *parts: np.ndarray) -> np.ndarray:
@@ -322,7 +312,7 @@ def mine(
 
     n_words = total.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     codes = _frequent_codes(docs, n_words, frequent, least)
-    likely = _bits(codes.select(F.shiftrightunsigned("at", 64 - BITS).alias("at")), BITS)
+    likely = bitmap_of(codes.select(F.shiftrightunsigned("at", 64 - BITS).alias("at")), BITS)
 
     def promising(lang: str, cut: list[np.ndarray]) -> np.ndarray:
         return _held(likely, lang, *cut) & frequent(lang, cut)

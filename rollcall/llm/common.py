@@ -11,6 +11,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark.broadcast import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -78,6 +79,16 @@ def code_points(parts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(joined, dtype=np.uint32), ends
 
 
+def bitmap_of(at: DataFrame, size: int) -> Broadcast:
+    """A bitmap of ``2 ** size`` bits, broadcast, with the bits named in the column ``at`` set."""
+    word = F.expr("shiftleft(1L, cast(at & 63 as int))")
+    found = at.groupBy(F.shiftright("at", 6).alias("k")).agg(F.bit_or(word).alias("bits"))
+    told = found.toArrow()
+    bits = np.zeros(1 << (size - 6), dtype=np.int64)
+    bits[told.column("k").to_numpy()] = told.column("bits").to_numpy()
+    return at.sparkSession.sparkContext.broadcast(bits)
+
+
 def output(batch: pa.RecordBatch, drop: tuple[str, ...] = (), **columns: pa.Array) -> pa.RecordBatch:
     """The batch without some columns and with new ones."""
     named = {n: batch.column(n) for n in batch.schema.names if n not in drop and n not in columns}

@@ -1,18 +1,20 @@
 """Substring dedup by sliding sentence spans.
 
-Every run of a few consecutive pieces is hashed. Runs with the same hash, anywhere in the corpus, are
-occurrences of one span; the first (by identifier, then by place) stays, and pieces covered by any
-other occurrence go. From each piece starts one run, the shortest that has ``min_sentences`` pieces and
-``min_words``, and at each piece ends one. A repeated passage is then covered from the first end of a
+Every run of a few consecutive pieces of sentences is hashed. Runs with the same hash, anywhere in the
+corpus, are occurrences of one span; the first (by identifier, then by place) stays, and pieces covered by
+any other occurrence go. From each piece starts one run, the shortest that has ``MIN_PIECES`` pieces and
+``MIN_WORDS`` words, and at each piece ends one. A repeated passage is then covered from the first end of a
 piece in it to the last one.
 
-Sentences end at a line break, and at ``. ! ?`` before white space. Pieces end there too, and after one
-word in ``PIECE`` picked by its hash alone: whether a passage is cut at some place depends on no word
-outside it, wherever it starts and ends. Only where no word is picked is it cut after ``LONGEST`` words.
-Of a
-sentence that is not covered whole, stretches of fewer than ``FRAGMENT`` words stay. A sentence of more
-than ``LONG`` words counts as several. Words are compared lower-cased, white space
-does not count.
+Sentences end at a line break and after a word that ends in one of ``STOPS``. Pieces end there too, and after
+one word in ``PIECE`` picked by its hash alone: whether a passage is cut at some place depends on no word
+outside it, wherever it starts and ends. Only where no word is picked is it cut after ``LONGEST`` words. In
+scripts without spaces every code point is a word that counts half. Words are compared lower-cased, white
+space does not count. Of a sentence that is not covered whole, stretches of fewer than ``FRAGMENT`` words stay.
+
+The corpus is read in two passes. The first sends nothing but packed hashes of runs and tells which can be
+repeated, as a bitmap of a fixed size. The second makes rows of those runs alone and compares 128 bits; a bit
+set by chance costs a row, and loses nothing.
 """
 
 from __future__ import annotations
@@ -20,6 +22,7 @@ from __future__ import annotations
 import re
 import zlib
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -28,158 +31,225 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from rollcall.llm.common import blocks, output, row_key, texts
+from rollcall.llm.common import bitmap_of, blocks, output, row_key, texts
 from rollcall.session import stage
 
-MIN_SENTENCES, MIN_WORDS = 2, 12
-LONG, CUT_EVERY, LONGEST = 24, 8, 48
-# A divisor of CUT_EVERY, so that pieces end wherever parts of long sentences do.
-PIECE = 4
-# Fewer words of a sentence than this, next to a repeated passage, are the same by chance.
-FRAGMENT = 4
-
-# Remainders of words met, up to a bound.
-_MARKS: dict[str, int] = {}
-MOST_MARKS = 1 << 18
-
-_BREAK = re.compile(r"(?<=[.!?])\s+|\n\s*")
-_GAP = re.compile(r"\s+")
-# A run's hash is 96 bits wide. A row is told by its identifier and one hash of its text.
-HASH, ROW = ["mark", "check"], ["row_id", "row_hash"]
-_SCHEMA = "mark bigint, check int, row_id bigint, row_hash bigint, first int, last int"
-
-
-def sentences(text: str) -> list[tuple[int, int, int]]:
-    """(start, end, words) of every sentence with a word; what lies between is white space."""
-    return _parts(text, LONG, CUT_EVERY)
-
-
-def pieces(text: str) -> list[tuple[int, int, int]]:
-    """(start, end, words) of every piece; each lies in one of the ``sentences``."""
-    return _parts(text, 0, PIECE)
-
-
-def _parts(text: str, long: int, every: int) -> list[tuple[int, int, int]]:
-    found = []
-    at = 0
-    breaks = [(m.start(), m.end()) for m in _BREAK.finditer(text)]
-    for a, b in [*breaks, (len(text), len(text))]:
-        piece = text[at:a]
-        words = len(piece.split())
-        if words > long:
-            found += _cut_long(text, at, a, every)
-        elif words:
-            found.append((at, a, words))
-        at = b
-    return found
-
-
-def _cut_long(text: str, a: int, b: int, every: int) -> list[tuple[int, int, int]]:
-    """A sentence in pieces that end after words whose hash says so, and where ``LONGEST`` bids it."""
-    found, start, words, since, word_at = [], a, 0, 0, a
-    for gap in _GAP.finditer(text, a, b):
-        end, after = gap.span()
-        word = text[word_at:end]
-        word_at = after
-        if not word:
-            continue
-        words, since = words + 1, since + 1
-        mark = _MARKS.get(word)
-        if mark is None:
-            if len(_MARKS) >= MOST_MARKS:
-                _MARKS.clear()
-            mark = zlib.crc32(word.lower().encode("utf-8", "surrogatepass")) % CUT_EVERY
-            _MARKS[word] = mark
-        if mark % every == 0 or since >= LONGEST:
-            found.append((start, end, words))
-            start, words = after, 0
-        # Words after the last one that any ``every`` picks: pieces are cut where longer parts are.
-        if mark == 0 or since >= LONGEST:
-            since = 0
-    words += word_at < b
-    if words:
-        found.append((start, b, words))
-    return found
-
-
-def runs(
-    text: str, parts: list[tuple[int, int, int]], min_sentences: int, min_words: int, back: bool = False
-):
-    """(hash, first, last) of the run that starts at each part; with ``back`` also where one ends."""
-    if len(parts) < min_sentences:
-        return
-    clean = " ".join(text.lower().split()).encode("utf-8", "surrogatepass")
-    space = np.flatnonzero(np.frombuffer(clean, dtype=np.uint8) == 32)
-    count = np.cumsum([0, *[n for _, _, n in parts]])
-    # The part with which a run from each one first has enough words.
-    end = np.searchsorted(count, count[:-1] + min_words)
-    end = np.maximum(end, np.arange(len(parts)) + min_sentences)
-    found = [(first, last) for first, last in enumerate(end.tolist()) if last <= len(parts)]
-    if back:
-        # The last part from which a run to each one has enough words.
-        start = np.searchsorted(count, count[1:] - min_words, side="right") - 1
-        start = np.minimum(start, np.arange(1, len(parts) + 1) - min_sentences)
-        found = sorted({*found, *((a, b + 1) for b, a in enumerate(start.tolist()) if a >= 0)})
-    # Where each part starts, and where the next one would.
-    bounds = np.r_[0, space + 1, len(clean) + 1][count].tolist()
-    digest = xxhash.xxh3_128_digest
-    for first, last in found:
-        yield digest(clean[bounds[first] : bounds[last] - 1]), first, last - 1
-
-
-def _spans(docs: DataFrame, min_sentences: int, min_words: int) -> DataFrame:
-    """Every run of every row of (row key, text)."""
+MIN_PIECES, MIN_WORDS = 2, 12
+PIECE, LONGEST, FRAGMENT = 4, 48, 4
+# Bits of the bitmap, as a power of two; runs a task holds before it sends them; bytes of text of the corpus
+# for each group of packed hashes.
+BITS, HELD, GROUP = 26, 1 << 20, 16 << 20
+
+# Characters that end a sentence, and scripts written without spaces.
+STOPS = ".!?。！？｡．।॥"
+DENSE = "฀-໿ༀ-࿿က-႟ក-៿぀-ヿ㐀-䶿一-鿿豈-﫿ｦ-ﾟ\U00020000-\U0003ffff"
+_DENSE = re.compile(f"[{DENSE}]")
+_WORD, _UNIT = re.compile(r"\S+"), re.compile(rf"[{DENSE}]|[^\s{DENSE}]+")
+
+# Values of words met, up to a bound: a hash, and in its last bits what the word does.
+_VALUES: dict[str, int] = {}
+MOST_VALUES = 1 << 18
+STOP, PICKED, HALF = 1, 2, 4
+
+_ODD = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
+_POWERS: dict[int, np.ndarray] = {}
+ROW = ["row_id", "row_hash"]
+_SCHEMA = "mark bigint, check bigint, row_id bigint, row_hash bigint, first int, last int"
+
+
+def picked(word: str) -> bool:
+    """Whether a piece ends after the word, by its hash."""
+    return zlib.crc32(word.lower().encode("utf-8", "surrogatepass")) % PIECE == 0
+
+
+def _value(word: str) -> int:
+    found = xxhash.xxh3_64_intdigest(word.lower().encode("utf-8", "surrogatepass")) & ~7
+    stop, half = word[-1] in STOPS, len(word) == 1 and _DENSE.match(word)
+    return found | (STOP if stop else 0) | (PICKED if picked(word) else 0) | (HALF if half else 0)
+
+
+def _mixed(x: np.ndarray) -> np.ndarray:
+    x = (x ^ (x >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
+    return x ^ (x >> np.uint64(32))
+
+
+def _powers(factor: int, n: int) -> np.ndarray:
+    """Powers of an odd number in 64 bits, from the zeroth on."""
+    held = _POWERS.get(factor)
+    if held is None or len(held) < n:
+        held = np.full(max(n, 1 << 16), factor, dtype=np.uint64)
+        held[0] = 1
+        held = _POWERS[factor] = np.cumprod(held, dtype=np.uint64)
+    return held[:n]
+
+
+@dataclass
+class Pieces:
+    """The pieces of some texts, end to end: all places are those of words."""
+
+    value: np.ndarray  # of each word
+    start: np.ndarray  # of each piece, with the end
+    weight: np.ndarray  # of all words before each piece, in halves, with the end
+    ends_sentence: np.ndarray  # whether each piece does
+    of_text: np.ndarray  # the first piece of each text, with the end
+
+
+def pieces(parts: list[str]) -> Pieces:
+    words: list[str] = []
+    lines, at = [], [0]
+    for text in parts:
+        dense = _DENSE.search(text)
+        for line in text.split("\n"):
+            words += _UNIT.findall(line) if dense else line.split()
+            lines.append(len(words))
+        at.append(len(words))
+    new = set(words).difference(_VALUES)
+    if len(_VALUES) + len(new) > MOST_VALUES:
+        _VALUES.clear()
+        new = set(words)
+    _VALUES.update((w, _value(w)) for w in new)
+    value = np.fromiter(map(_VALUES.__getitem__, words), np.uint64, len(words))
+    flag = (value & np.uint64(7)).astype(np.uint8)
+    stops = np.zeros(len(words) + 1, dtype=bool)
+    stops[np.array(lines, dtype=np.int64)] = True
+    stops[1:] |= (flag & STOP) > 0
+    ends = stops.copy()
+    ends[1:] |= (flag & PICKED) > 0
+    # Words since the last end: where none is picked, every LONGEST-th ends a piece.
+    place = np.arange(len(words) + 1)
+    since = place - np.maximum.accumulate(np.where(ends, place, 0))
+    ends |= (since > 0) & (since % LONGEST == 0)
+    end = np.flatnonzero(ends[1:]) + 1
+    start = np.r_[0, end]
+    weight = np.r_[0, np.cumsum(np.where(flag & HALF, 1, 2))][start]
+    return Pieces(value, start, weight, stops[end], np.searchsorted(start, at))
+
+
+def runs(held: Pieces) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """First and last piece of every run, and two hashes of its words; no run is listed twice."""
+    n = len(held.start) - 1
+    owner = np.searchsorted(held.of_text, np.arange(n), side="right") - 1
+    piece = np.arange(n)
+    # The piece up to which a run from each one has enough words, and from which a run to each one has.
+    stop = np.searchsorted(held.weight, held.weight[:-1] + 2 * MIN_WORDS)
+    stop = np.maximum(stop, piece + MIN_PIECES)
+    begin = np.searchsorted(held.weight, held.weight[1:] - 2 * MIN_WORDS, side="right") - 1
+    begin = np.minimum(begin, piece + 1 - MIN_PIECES)
+    on, back = stop <= held.of_text[owner + 1], begin >= held.of_text[owner]
+    both = np.unique(np.r_[piece[on] * (n + 1) + stop[on], begin[back] * (n + 1) + piece[back] + 1])
+    first, stop = both // (n + 1), both % (n + 1)
+    a, b = held.start[first], held.start[stop]
+    marks = []
+    for odd in _ODD:
+        # A hash of the words and their places; the inverse power makes it one of the words alone.
+        total = np.r_[np.zeros(1, np.uint64), np.cumsum(
+            _mixed(held.value ^ np.uint64(odd)) * _powers(odd, len(held.value)), dtype=np.uint64)]
+        marks.append(_mixed((total[b] - total[a]) * _powers(pow(odd, -1, 1 << 64), len(total))[a]))
+    return first, stop - 1, *marks
+
+
+def _split(mark: np.ndarray, ranges: int) -> tuple[np.ndarray, np.ndarray]:
+    """The range of a hash, and 32 more bits that tell it from others there."""
+    return ((mark >> np.uint64(32)) * np.uint64(ranges)) >> np.uint64(32), mark & np.uint64(0xFFFFFFFF)
+
+
+def _bit(part: np.ndarray, code: np.ndarray, bits: int) -> np.ndarray:
+    return _mixed((part << np.uint64(32)) | code) >> np.uint64(64 - bits)
+
+
+def _perhaps_repeated(docs: DataFrame, ranges: int) -> DataFrame:
+    """(at): bits of the runs that occur twice or more, and of some that only seem to."""
+    bits, most = BITS, HELD
+
+    def packed(held: list[np.ndarray]) -> pa.RecordBatch:
+        mark, count = np.unique(np.concatenate(held), return_counts=True)
+        mark = np.sort(np.r_[mark, mark[count > 1]])  # twice is enough
+        part, code = _split(mark, ranges)
+        cuts = np.searchsorted(part, np.arange(ranges + 1, dtype=np.uint64))
+        code = code.astype("<u4")
+        full = np.flatnonzero(np.diff(cuts))
+        return pa.RecordBatch.from_pydict({
+            "part": pa.array(full.astype(np.int32)),
+            "codes": pa.array([code[cuts[k] : cuts[k + 1]].tobytes() for k in full], pa.binary()),
+        })
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in blocks(batches, "text"):
-            marks, rows, first, last = [], [], [], []
-            for row, text in enumerate(texts(batch, "text")):
-                for mark, a, b in runs(text, pieces(text), min_sentences, min_words, back=True):
-                    marks.append(mark)
-                    rows.append(row)
-                    first.append(a)
-                    last.append(b)
-            halves = np.frombuffer(b"".join(marks), dtype="<i8").reshape(-1, 2)
-            which = pa.array(rows, pa.int64())
+        held, size = [], 0
+        for batch in blocks(batches, "text", 1 << 20):
+            held.append(runs(pieces(texts(batch, "text")))[2])
+            size += len(held[-1])
+            if size >= most:
+                yield packed(held)
+                held, size = [], 0
+        if size:
+            yield packed(held)
+
+    def twice(key: tuple, group: pa.Table) -> pa.Table:
+        code = np.sort(np.frombuffer(b"".join(group.column("codes").to_pylist()), dtype="<u4"))
+        found = np.unique(code[1:][code[1:] == code[:-1]]).astype(np.uint64)
+        part = np.full(len(found), key[0].as_py(), dtype=np.uint64)
+        return pa.table({"at": pa.array(_bit(part, found, bits).astype(np.int64))})
+
+    sent = docs.select("text").mapInArrow(run, "part int, codes binary")
+    return sent.groupBy("part").applyInArrow(twice, "at bigint")
+
+
+def _spans(docs: DataFrame) -> DataFrame:
+    """Every run of every row of (row key, text) that is perhaps repeated."""
+    total = docs.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
+    tasks = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranges = max(tasks, -(-total // GROUP))
+    bits = BITS
+    again = bitmap_of(_perhaps_repeated(docs, ranges), bits)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bitmap = again.value.view(np.uint64)
+        for batch in blocks(batches, "text", 1 << 20):
+            held = pieces(texts(batch, "text"))
+            first, last, mark, check = runs(held)
+            at = _bit(*_split(mark, ranges), bits)
+            kept = np.flatnonzero((bitmap[at >> np.uint64(6)] >> (at & np.uint64(63))) & np.uint64(1))
+            first, last = first[kept], last[kept]
+            row = np.searchsorted(held.of_text, first, side="right") - 1
+            which = pa.array(row)
             yield pa.RecordBatch.from_pydict({
-                "mark": pa.array(np.ascontiguousarray(halves[:, 0])),
-                "check": pa.array(halves[:, 1].astype(np.int32)),
+                "mark": pa.array(mark[kept].view(np.int64)), "check": pa.array(check[kept].view(np.int64)),
                 **{c: batch.column(c).take(which) for c in ROW},
-                "first": pa.array(first, pa.int32()), "last": pa.array(last, pa.int32()),
+                "first": pa.array((first - held.of_text[row]).astype(np.int32)),
+                "last": pa.array((last - held.of_text[row]).astype(np.int32)),
             })
 
     return docs.mapInArrow(run, _SCHEMA)
 
 
-def repeated(docs: DataFrame, min_sentences: int = MIN_SENTENCES, min_words: int = MIN_WORDS) -> DataFrame:
+def repeated(docs: DataFrame) -> DataFrame:
     """Row key and ``cover``: array of (first, last) pieces of each row's non-first spans.
 
     Rows without one do not appear; the copies of a row share one line.
     """
     keyed = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
-    spans = _spans(keyed.select(*row_key()[:2], F.col("text")), min_sentences, min_words)
+    spans = _spans(keyed.select(*row_key()[:2], F.col("text")))
     # Of two runs that start at one piece only one has a given hash.
     place = F.struct(F.col("row_id").isNull().alias("none"), *ROW, "first")
-    firsts = spans.groupBy(*HASH).agg(F.count(F.lit(1)).alias("n"), F.min(place).alias("lead"))
+    firsts = spans.groupBy("mark", "check").agg(F.count(F.lit(1)).alias("n"), F.min(place).alias("lead"))
     # Only repeated spans, written: a join of two plain exchanges lets Spark split a frequent span.
-    firsts = stage(firsts.filter("n > 1").select(*HASH, "lead"), "repeated-spans")
-    later = spans.join(firsts, HASH).filter(F.col("lead") != place)
+    firsts = stage(firsts.filter("n > 1").select("mark", "check", "lead"), "repeated-spans")
+    later = spans.join(firsts, ["mark", "check"]).filter(F.col("lead") != place)
     return later.groupBy(*ROW).agg(F.collect_set(F.struct("first", "last")).alias("cover"))
 
 
-def remove_repeated(
-    docs: DataFrame, min_sentences: int = MIN_SENTENCES, min_words: int = MIN_WORDS
-) -> DataFrame:
+def remove_repeated(docs: DataFrame) -> DataFrame:
     """Every row with the pieces of its non-first spans cut out of ``text``; adds ``n_removed``.
 
     ``n_removed`` counts the sentences that are gone whole. What follows a piece up to the next one goes
     with it; all else stays as it is. Null texts stay
     null, empty and blank ones as they are. The first copy of a row keeps its spans and so do rows equal
-    to it in identifier and text. A column ``n_removed`` is replaced.
+    to it in identifier and text. A column ``n_removed`` is replaced. Identifiers are numbers, or texts that
+    are one: others stop the job. ``docs`` is read several times: give it a table.
     """
     names = [c for c in docs.columns if c != "n_removed"]
     docs = docs.select(*names)
-    cover = repeated(docs, min_sentences, min_words)
+    cover = repeated(docs)
     rows = docs.select(F.struct(*names).alias("row"), *row_key()[:2])
     rows = rows.withColumn("row_id", F.col("row_id").cast("bigint"))
     same = rows["row_id"].eqNullSafe(cover["row_id"]) & (rows["row_hash"] == cover["row_hash"])
@@ -190,18 +260,14 @@ def remove_repeated(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in blocks(batches, "text"):
             kept, gone = [], []
-            for text, first, last in zip(*[batch.column(i).to_pylist() for i in (1, 2, 3)]):
-                if not first:
-                    kept.append(text)
+            for text, first, last in zip(*[batch.column(i) for i in (1, 2, 3)]):
+                text = text.as_py()
+                if first.is_valid and len(first.values):
+                    text, n = _without(text, first.values.to_numpy(), last.values.to_numpy())
+                    gone.append(n)
+                else:
                     gone.append(0)
-                    continue
-                parts = pieces(text)
-                mark = np.zeros(len(parts) + 1, dtype=np.int64)
-                np.add.at(mark, np.array(first, dtype=np.int64), 1)
-                np.add.at(mark, np.array(last, dtype=np.int64) + 1, -1)
-                covered = _without_fragments(text, parts, np.cumsum(mark)[:-1] > 0)
-                gone.append(_whole_gone(text, parts, covered))
-                kept.append(_without(text, parts, covered))
+                kept.append(text)
             yield output(
                 batch, ("first", "last"), text=pa.array(kept, pa.string()),
                 n_removed=pa.array(gone, pa.int64()),
@@ -216,35 +282,26 @@ def remove_repeated(
     return cut.select(*columns, "n_removed")
 
 
-def _owners(parts: list[tuple[int, int, int]], wholes: list[tuple[int, int, int]]) -> np.ndarray:
-    """The number of the sentence each piece lies in."""
-    starts = [a for a, _, _ in wholes]
-    return np.searchsorted(starts, [a for a, _, _ in parts], side="right") - 1
-
-
-def _without_fragments(text: str, parts: list[tuple[int, int, int]], covered: np.ndarray) -> np.ndarray:
-    """``covered`` but for stretches of a few words in a sentence of which others stay."""
-    wholes = _parts(text, len(text), 1)
-    owner, words = _owners(parts, wholes), np.array([n for _, _, n in parts])
-    change = (np.diff(owner) != 0) | np.diff(covered)
-    stretch = np.r_[0, np.cumsum(change)]
-    size = np.bincount(stretch, words)[stretch]
-    whole = size == np.array([n for _, _, n in wholes])[owner]
-    return covered & (whole | (size >= FRAGMENT))
-
-
-def _whole_gone(text: str, parts: list[tuple[int, int, int]], covered: np.ndarray) -> int:
-    """How many sentences have all their pieces covered."""
-    wholes = sentences(text)
-    left = np.bincount(_owners(parts, wholes), ~covered, len(wholes))
-    return int((left == 0).sum())
-
-
-def _without(text: str, parts: list[tuple[int, int, int]], covered: np.ndarray) -> str:
-    """The text without covered pieces, each with what follows it up to the next one."""
-    kept = [text[: parts[0][0]]]
-    bounds = [a for a, _, _ in parts] + [len(text)]
-    for n, gone in enumerate(covered.tolist()):
-        if not gone:
-            kept.append(text[bounds[n] : bounds[n + 1]])
-    return "".join(kept)
+def _without(text: str, first: np.ndarray, last: np.ndarray) -> tuple[str, int]:
+    """The text without the pieces of these spans, and how many sentences are gone whole."""
+    held = pieces([text])
+    n = len(held.start) - 1
+    mark = np.zeros(n + 1, dtype=np.int64)
+    np.add.at(mark, first, 1)
+    np.add.at(mark, last + 1, -1)
+    covered = np.cumsum(mark)[:-1] > 0
+    sentence = np.cumsum(np.r_[0, held.ends_sentence[:-1]])
+    # Stretches of a few words in a sentence of which others stay are the same by chance.
+    size = np.diff(held.weight)
+    stretch = np.cumsum(np.r_[0, (np.diff(sentence) != 0) | np.diff(covered)])
+    words, whole = np.bincount(stretch, size)[stretch], np.bincount(sentence, size)[sentence]
+    covered &= (words == whole) | (words >= 2 * FRAGMENT)
+    left = np.bincount(sentence, ~covered, int(sentence[-1]) + 1)
+    # Words again, with their places in the text.
+    words_at = (_UNIT if _DENSE.search(text) else _WORD).finditer(text)
+    where = np.fromiter((m.start() for m in words_at), np.int64, len(held.value))
+    bounds = np.r_[where[held.start[:-1]], len(text)]
+    edge = np.flatnonzero(np.diff(np.r_[True, covered, True].astype(np.int8)))
+    parts = [text[: bounds[0]]]
+    parts += [text[bounds[a] : bounds[b]] for a, b in zip(edge[::2], edge[1::2])]
+    return "".join(parts), int((left == 0).sum())
