@@ -88,10 +88,10 @@ def _place(*parts: np.ndarray, lang: str, bits: int) -> np.ndarray:
 
 
 class _Counts:
-    """Phrases of one task, counted by language and handed on when many words are held."""
+    """Phrases of one task, counted by language and handed on, packed by range, when many words are held."""
 
-    def __init__(self, width: int) -> None:
-        self.width = width
+    def __init__(self, edges: np.ndarray) -> None:
+        self.edges = edges
         self.held: dict[str, list[np.ndarray]] = {}
         self.size = 0
 
@@ -102,31 +102,47 @@ class _Counts:
 
     def hand_on(self) -> Iterator[pa.RecordBatch]:
         for lang, parts in self.held.items():
-            rows = np.concatenate(parts)
-            # Words get numbers of their own here, so that a phrase is one number while that fits.
-            words, code = np.unique(rows, return_inverse=True)
-            code = code.reshape(rows.shape).astype(np.int64)
-            one, first, count = code[:, 0], None, None
-            for k in range(1, self.width):
-                one = one * len(words) + code[:, k]
-                if k < self.width - 1:
-                    one = np.unique(one, return_inverse=True)[1]
-            _, first, count = np.unique(one, return_index=True, return_counts=True)
+            rows, count = _summed(np.concatenate(parts), None)
+            place = _place(*rows.T, lang=lang, bits=64)
+            order = np.argsort(place)
+            rows, count = rows[order], count[order].astype(np.int64)
+            cuts = [0, *np.searchsorted(place[order], self.edges).tolist(), len(order)]
+            full = [k for k in range(len(cuts) - 1) if cuts[k + 1] > cuts[k]]
             yield pa.RecordBatch.from_pydict({
-                "lang": pa.array([lang] * len(first), pa.string()),
-                **{f"w{k}": pa.array(rows[first, k].view(np.int64)) for k in range(self.width)},
-                "c": pa.array(count.astype(np.int64)),
+                "lang": pa.array([lang] * len(full), pa.string()), "range": pa.array(full, pa.int32()),
+                "rows": pa.array([rows[cuts[k] : cuts[k + 1]].tobytes() for k in full], pa.binary()),
+                "counts": pa.array([count[cuts[k] : cuts[k + 1]].tobytes() for k in full], pa.binary()),
             })
         self.held, self.size = {}, 0
 
 
-def _counted(docs: DataFrame, width: int, wanted) -> DataFrame:
-    """(lang, w0, .., c): phrases of ``width`` words; ``wanted(lang, words in order)`` tells which."""
+def _summed(rows: np.ndarray, count: np.ndarray | None) -> tuple[np.ndarray, np.ndarray]:
+    """Each row once, and the sum of its counts."""
+    order = np.lexsort(rows.T)
+    rows = rows[order]
+    first = np.flatnonzero(np.r_[True, (rows[1:] != rows[:-1]).any(axis=1)])
+    if count is None:
+        return rows[first], np.diff(np.r_[first, len(rows)])
+    return rows[first], np.add.reduceat(count[order], first)
 
+
+def _ranges(docs: DataFrame, words: int) -> np.ndarray:
+    """Where ranges of hashes begin, but for the first: as many as a corpus of so many words needs."""
+    tasks = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranges = max(tasks, -(-words // GROUP))
+    return np.array([(k << 64) // ranges for k in range(1, ranges)], dtype=np.uint64)
+
+
+def _counted(docs: DataFrame, width: int, wanted, least: int, edges: np.ndarray) -> DataFrame:
+    """(lang, w0, .., c): phrases of ``width`` words that occur ``least`` times or more.
+
+    ``wanted(lang, words in order)`` tells which are counted. Tasks send packed counts, which meet by
+    range of a hash.
+    """
     most = HELD
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = _Counts(width)
+        counts = _Counts(edges)
         for batch in blocks(batches, "text"):
             for lang, parts in _by_language(batch):
                 cut = _cut(lang, parts, width)
@@ -136,9 +152,19 @@ def _counted(docs: DataFrame, width: int, wanted) -> DataFrame:
                 yield from counts.hand_on()
         yield from counts.hand_on()
 
+    def total(key: tuple, group: pa.Table) -> pa.Table:
+        rows = np.frombuffer(b"".join(group.column("rows").to_pylist()), dtype=np.uint64).reshape(-1, width)
+        rows, count = _summed(rows, np.frombuffer(b"".join(group.column("counts").to_pylist()), dtype=np.int64))
+        often = count >= least
+        return pa.table({
+            "lang": pa.array([key[0].as_py()] * int(often.sum()), pa.string()),
+            **{f"w{k}": pa.array(rows[often, k].view(np.int64)) for k in range(width)},
+            "c": pa.array(count[often]),
+        })
+
     columns = ", ".join(f"w{k} bigint" for k in range(width))
-    found = docs.mapInArrow(run, f"lang string, {columns}, c bigint")
-    return found.groupBy("lang", *[f"w{k}" for k in range(width)]).agg(F.sum("c").alias("c"))
+    sent = docs.mapInArrow(run, "lang string, range int, rows binary, counts binary")
+    return sent.groupBy("lang", "range").applyInArrow(total, f"lang string, {columns}, c bigint")
 
 
 def _cut(lang: str, parts: list[str], width: int) -> list[np.ndarray]:
@@ -150,22 +176,19 @@ def _cut(lang: str, parts: list[str], width: int) -> list[np.ndarray]:
     return [x[good] for x in cut]
 
 
-def _frequent_codes(docs: DataFrame, words: int, wanted, least: int) -> DataFrame:
+def _frequent_codes(docs: DataFrame, wanted, least: int, edges: np.ndarray) -> DataFrame:
     """(at): hashes of pairs of words that are ``least`` in number, as far as hashes can tell.
 
     A task sends its distinct hashes, packed by range and with counts up to ``least``, so a pair takes
-    about nine bytes; the hashes of one range meet in one group. ``words`` are those of the corpus.
+    about nine bytes; the hashes of one range meet in one group.
     """
     most = HELD
-    tasks = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ranges = max(tasks, -(-words // GROUP))
-    edges = np.array([(k << 64) // ranges for k in range(1, ranges)], dtype=np.uint64)
 
     def packed(held: list[np.ndarray]) -> pa.RecordBatch:
         code, count = np.unique(np.concatenate(held), return_counts=True)
         count = np.minimum(count, least).astype(np.int32)
         cuts = [0, *np.searchsorted(code, edges).tolist(), len(code)]
-        full = [k for k in range(ranges) if cuts[k + 1] > cuts[k]]
+        full = [k for k in range(len(cuts) - 1) if cuts[k + 1] > cuts[k]]
         return pa.RecordBatch.from_pydict({
             "range": pa.array(full, pa.int32()),
             "codes": pa.array([code[cuts[k] : cuts[k + 1]].tobytes() for k in full], pa.binary()),
@@ -311,13 +334,14 @@ def mine(
         return good
 
     n_words = total.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
-    codes = _frequent_codes(docs, n_words, frequent, least)
+    edges = _ranges(docs, n_words)
+    codes = _frequent_codes(docs, frequent, least, edges)
     likely = bitmap_of(codes.select(F.shiftrightunsigned("at", 64 - BITS).alias("at")), BITS)
 
     def promising(lang: str, cut: list[np.ndarray]) -> np.ndarray:
         return _held(likely, lang, *cut) & frequent(lang, cut)
 
-    pairs = _counted(docs, 2, promising).filter(F.col("c") >= least)
+    pairs = _counted(docs, 2, promising, least, edges)
     for k in (0, 1):
         word = often.select("lang", F.col("w").alias(f"w{k}"), F.col("c").alias(f"f{k}"))
         pairs = pairs.join(word, ["lang", f"w{k}"])
@@ -331,7 +355,7 @@ def mine(
         limits = {lang: t for lang, t in _thresholds(pairs, many).items() if lang not in done}
         if not limits:
             break
-        survivors = stage(_grown(docs, pairs, often, limits, double, least, share), "phrases")
+        survivors = stage(_grown(docs, pairs, limits, double, least, share, edges), "phrases")
         # The top of a language is settled where it lies above what was not opened.
         reached = {r.lang: r["count"] for r in survivors.groupBy("lang").count().collect()}
         settled = [lang for lang, t in limits.items() if t == 0 or reached.get(lang, 0) >= top]
@@ -353,8 +377,8 @@ def _nothing(docs: DataFrame) -> DataFrame:
 
 
 def _grown(
-    docs: DataFrame, pairs: DataFrame, often: DataFrame, limits: dict[str, int], double: Broadcast,
-    least: int, share: int,
+    docs: DataFrame, pairs: DataFrame, limits: dict[str, int], double: Broadcast, least: int, share: int,
+    edges: np.ndarray,
 ) -> DataFrame:
     """Phrases that survive and score their language's threshold or more."""
     table = docs.sparkSession.createDataFrame(list(limits.items()), "lang string, threshold bigint")
@@ -367,7 +391,7 @@ def _grown(
         opened = _held(prefix, lang, *one) | _held(suffix, lang, *two)
         return opened & _held(double, lang, *one) & _held(double, lang, *two)
 
-    threes = stage(_counted(docs, 3, wanted).filter(F.col("c") >= least), "word-triples")
+    threes = stage(_counted(docs, 3, wanted, least, edges), "word-triples")
     # What a pair is dropped for: the most frequent phrase that it begins or ends.
     parts = threes.select("lang", "w0", "w1", "c").union(threes.select("lang", "w1", "w2", "c"))
     above = parts.groupBy("lang", "w0", "w1").agg(F.max("c").alias("above"))

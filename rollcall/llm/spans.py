@@ -13,25 +13,25 @@ scripts without spaces every code point is a word that counts half. Words are co
 space does not count. Of a sentence that is not covered whole, stretches of fewer than ``FRAGMENT`` words stay.
 
 The corpus is read in two passes. The first sends nothing but packed hashes of runs and tells which can be
-repeated, as a bitmap of a fixed size. The second makes rows of those runs alone and compares 128 bits; a bit
+repeated, as a bitmap of a fixed size. The second makes rows of those runs alone and compares 96 bits; a bit
 set by chance costs a row, and loses nothing.
 """
 
 from __future__ import annotations
 
 import re
-import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
-import xxhash
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from rollcall.llm.common import bitmap_of, blocks, output, row_key, texts
+from rollcall.llm.common import bitmap_of, blocks, code_points, output, row_key, texts
 from rollcall.session import stage
 
 MIN_PIECES, MIN_WORDS = 2, 12
@@ -43,29 +43,26 @@ BITS, HELD, GROUP = 26, 1 << 20, 16 << 20
 # Characters that end a sentence, and scripts written without spaces.
 STOPS = ".!?。！？｡．।॥"
 DENSE = "฀-໿ༀ-࿿က-႟ក-៿぀-ヿ㐀-䶿一-鿿豈-﫿ｦ-ﾟ\U00020000-\U0003ffff"
-_DENSE = re.compile(f"[{DENSE}]")
-_WORD, _UNIT = re.compile(r"\S+"), re.compile(rf"[{DENSE}]|[^\s{DENSE}]+")
+SPACE, BREAK, ALONE, STOP = 1, 2, 4, 8
 
-# Values of words met, up to a bound: a hash, and in its last bits what the word does.
-_VALUES: dict[str, int] = {}
-MOST_VALUES = 1 << 18
-STOP, PICKED, HALF = 1, 2, 4
-
-_ODD = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
+_ODD = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9)
 _POWERS: dict[int, np.ndarray] = {}
 ROW = ["row_id", "row_hash"]
-_SCHEMA = "mark bigint, check bigint, row_id bigint, row_hash bigint, first int, last int"
-
+_SCHEMA = "mark bigint, check int, row_id bigint, row_hash bigint, first int, last int"
+# Bytes of text whose runs are found together.
+BLOCK = 1 << 19
 
-def picked(word: str) -> bool:
-    """Whether a piece ends after the word, by its hash."""
-    return zlib.crc32(word.lower().encode("utf-8", "surrogatepass")) % PIECE == 0
 
-
-def _value(word: str) -> int:
-    found = xxhash.xxh3_64_intdigest(word.lower().encode("utf-8", "surrogatepass")) & ~7
-    stop, half = word[-1] in STOPS, len(word) == 1 and _DENSE.match(word)
-    return found | (STOP if stop else 0) | (PICKED if picked(word) else 0) | (HALF if half else 0)
+@cache
+def _kinds() -> np.ndarray:
+    """White space, line break, script without spaces and stop, by code point."""
+    kind = np.zeros(0x110000, dtype=np.uint8)
+    kind[[c for c in range(0x110000) if chr(c).isspace()]] = SPACE
+    kind[10] |= BREAK
+    for a, b in re.findall("(.)-(.)", DENSE):
+        kind[ord(a) : ord(b) + 1] |= ALONE
+    kind[[ord(c) for c in STOPS]] |= STOP
+    return kind
 
 
 def _mixed(x: np.ndarray) -> np.ndarray:
@@ -83,11 +80,58 @@ def _powers(factor: int, n: int) -> np.ndarray:
     return held[:n]
 
 
+def _stretches(value: np.ndarray, a: np.ndarray, b: np.ndarray, odd: int) -> np.ndarray:
+    """A hash of the values from each ``a`` to each ``b``, the same wherever they stand.
+
+    Values times powers for their places are summed up; the inverse power takes the place out again.
+    """
+    total = np.zeros(len(value) + 1, dtype=np.uint64)
+    np.cumsum(value * _powers(odd, len(value)), out=total[1:])
+    return _mixed((total[b] - total[a]) * _powers(pow(odd, -1, 1 << 64), len(total))[a])
+
+
+@dataclass
+class Words:
+    """The words of some texts, end to end."""
+
+    start: np.ndarray  # in code points, as is the end
+    value: np.ndarray  # hashes
+    half: np.ndarray  # whether they count half
+    stops: np.ndarray  # whether a sentence ends before each one, and after the last
+    at: np.ndarray  # the first word of each text, with the end
+
+
+def words(parts: list[str]) -> Words:
+    flat, at = code_points(parts)
+    kind = _kinds()[flat]
+    ink, alone = (kind & SPACE) == 0, (kind & ALONE) > 0
+    edge = np.zeros(len(flat) + 1, dtype=bool)
+    edge[at] = True
+    edge[1:-1] |= ~ink[1:] | ~ink[:-1] | alone[1:] | alone[:-1]
+    start, end = np.flatnonzero(ink & edge[:-1]), np.flatnonzero(ink & edge[1:]) + 1
+    first = np.searchsorted(start, at)
+    stops = np.zeros(len(start) + 1, dtype=bool)
+    stops[first] = True
+    stops[np.searchsorted(start, np.flatnonzero(kind & BREAK))] = True
+    stops[1:] |= (kind[end - 1] & STOP) > 0
+    value = _stretches(flat.astype(np.uint64) + np.uint64(1), start, end, _ODD[2])
+    return Words(start, value, alone[start], stops, first)
+
+
+def picked(word: str) -> bool:
+    """Whether a piece ends after a lower-cased word, by its hash."""
+    return bool(_picked(words([word]).value)[0])
+
+
+def _picked(value: np.ndarray) -> np.ndarray:
+    return (value >> np.uint64(7)) % np.uint64(PIECE) == 0
+
+
 @dataclass
 class Pieces:
     """The pieces of some texts, end to end: all places are those of words."""
 
-    value: np.ndarray  # of each word
+    words: Words
     start: np.ndarray  # of each piece, with the end
     weight: np.ndarray  # of all words before each piece, in halves, with the end
     ends_sentence: np.ndarray  # whether each piece does
@@ -95,34 +139,19 @@ class Pieces:
 
 
 def pieces(parts: list[str]) -> Pieces:
-    words: list[str] = []
-    lines, at = [], [0]
-    for text in parts:
-        dense = _DENSE.search(text)
-        for line in text.split("\n"):
-            words += _UNIT.findall(line) if dense else line.split()
-            lines.append(len(words))
-        at.append(len(words))
-    new = set(words).difference(_VALUES)
-    if len(_VALUES) + len(new) > MOST_VALUES:
-        _VALUES.clear()
-        new = set(words)
-    _VALUES.update((w, _value(w)) for w in new)
-    value = np.fromiter(map(_VALUES.__getitem__, words), np.uint64, len(words))
-    flag = (value & np.uint64(7)).astype(np.uint8)
-    stops = np.zeros(len(words) + 1, dtype=bool)
-    stops[np.array(lines, dtype=np.int64)] = True
-    stops[1:] |= (flag & STOP) > 0
-    ends = stops.copy()
-    ends[1:] |= (flag & PICKED) > 0
+    """The pieces of texts that are lower-cased already."""
+    found = words(parts)
+    n = len(found.start)
+    ends = found.stops.copy()
+    ends[1:] |= _picked(found.value)
     # Words since the last end: where none is picked, every LONGEST-th ends a piece.
-    place = np.arange(len(words) + 1)
+    place = np.arange(n + 1)
     since = place - np.maximum.accumulate(np.where(ends, place, 0))
     ends |= (since > 0) & (since % LONGEST == 0)
     end = np.flatnonzero(ends[1:]) + 1
     start = np.r_[0, end]
-    weight = np.r_[0, np.cumsum(np.where(flag & HALF, 1, 2))][start]
-    return Pieces(value, start, weight, stops[end], np.searchsorted(start, at))
+    weight = np.r_[0, np.cumsum(np.where(found.half, 1, 2))][start]
+    return Pieces(found, start, weight, found.stops[end], np.searchsorted(start, found.at))
 
 
 def runs(held: Pieces) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -139,13 +168,11 @@ def runs(held: Pieces) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     both = np.unique(np.r_[piece[on] * (n + 1) + stop[on], begin[back] * (n + 1) + piece[back] + 1])
     first, stop = both // (n + 1), both % (n + 1)
     a, b = held.start[first], held.start[stop]
-    marks = []
-    for odd in _ODD:
-        # A hash of the words and their places; the inverse power makes it one of the words alone.
-        total = np.r_[np.zeros(1, np.uint64), np.cumsum(
-            _mixed(held.value ^ np.uint64(odd)) * _powers(odd, len(held.value)), dtype=np.uint64)]
-        marks.append(_mixed((total[b] - total[a]) * _powers(pow(odd, -1, 1 << 64), len(total))[a]))
-    return first, stop - 1, *marks
+    return first, stop - 1, *[_stretches(held.words.value, a, b, odd) for odd in _ODD[:2]]
+
+
+def _lower(batch: pa.RecordBatch) -> list[str]:
+    return [t.lower() for t in texts(batch, "text")]
 
 
 def _split(mark: np.ndarray, ranges: int) -> tuple[np.ndarray, np.ndarray]:
@@ -175,8 +202,8 @@ def _perhaps_repeated(docs: DataFrame, ranges: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size = [], 0
-        for batch in blocks(batches, "text", 1 << 20):
-            held.append(runs(pieces(texts(batch, "text")))[2])
+        for batch in blocks(batches, "text", BLOCK):
+            held.append(runs(pieces(_lower(batch)))[2])
             size += len(held[-1])
             if size >= most:
                 yield packed(held)
@@ -204,8 +231,8 @@ def _spans(docs: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bitmap = again.value.view(np.uint64)
-        for batch in blocks(batches, "text", 1 << 20):
-            held = pieces(texts(batch, "text"))
+        for batch in blocks(batches, "text", BLOCK):
+            held = pieces(_lower(batch))
             first, last, mark, check = runs(held)
             at = _bit(*_split(mark, ranges), bits)
             kept = np.flatnonzero((bitmap[at >> np.uint64(6)] >> (at & np.uint64(63))) & np.uint64(1))
@@ -213,7 +240,7 @@ def _spans(docs: DataFrame) -> DataFrame:
             row = np.searchsorted(held.of_text, first, side="right") - 1
             which = pa.array(row)
             yield pa.RecordBatch.from_pydict({
-                "mark": pa.array(mark[kept].view(np.int64)), "check": pa.array(check[kept].view(np.int64)),
+                "mark": pa.array(mark[kept].view(np.int64)), "check": pa.array((check[kept] >> np.uint64(32)).astype(np.uint32).view(np.int32)),
                 **{c: batch.column(c).take(which) for c in ROW},
                 "first": pa.array((first - held.of_text[row]).astype(np.int32)),
                 "last": pa.array((last - held.of_text[row]).astype(np.int32)),
@@ -250,32 +277,28 @@ def remove_repeated(docs: DataFrame) -> DataFrame:
     names = [c for c in docs.columns if c != "n_removed"]
     docs = docs.select(*names)
     cover = repeated(docs)
-    rows = docs.select(F.struct(*names).alias("row"), *row_key()[:2])
+    rest = [F.col(c) for c in names if c != "text"]
+    rows = docs.select(F.struct(*rest).alias("row"), "text", *row_key()[:2])
     rows = rows.withColumn("row_id", F.col("row_id").cast("bigint"))
     same = rows["row_id"].eqNullSafe(cover["row_id"]) & (rows["row_hash"] == cover["row_hash"])
-    met = rows.join(cover, same, "left").select(
-        "row", F.col("row.text").alias("text"), "cover.first", "cover.last"
-    )
+    met = rows.join(cover, same, "left").select("row", "text", "cover.first", "cover.last")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in blocks(batches, "text"):
-            kept, gone = [], []
-            for text, first, last in zip(*[batch.column(i) for i in (1, 2, 3)]):
-                text = text.as_py()
-                if first.is_valid and len(first.values):
-                    text, n = _without(text, first.values.to_numpy(), last.values.to_numpy())
-                    gone.append(n)
-                else:
-                    gone.append(0)
-                kept.append(text)
-            yield output(
-                batch, ("first", "last"), text=pa.array(kept, pa.string()),
-                n_removed=pa.array(gone, pa.int64()),
-            )
-
-    row = met.schema["row"]
+            hit = np.flatnonzero(pc.fill_null(pc.list_value_length(batch.column("first")), 0))
+            gone = np.zeros(batch.num_rows, dtype=np.int64)
+            if len(hit):
+                column = batch.column("text").to_pylist()
+                for k in hit.tolist():
+                    spans = [batch.column(c)[k].values.to_numpy() for c in ("first", "last")]
+                    column[k], gone[k] = _without(column[k], *spans)
+                text = pa.array(column, pa.string())
+            else:
+                text = batch.column("text")
+            yield output(batch, ("first", "last"), text=text, n_removed=pa.array(gone))
+
     schema = T.StructType([
-        row, T.StructField("text", T.StringType()), T.StructField("n_removed", T.LongType()),
+        met.schema["row"], T.StructField("text", T.StringType()), T.StructField("n_removed", T.LongType()),
     ])
     cut = met.mapInArrow(run, schema)
     columns = [F.col("text") if c == "text" else F.col("row")[c].alias(c) for c in names]
@@ -284,7 +307,7 @@ def remove_repeated(docs: DataFrame) -> DataFrame:
 
 def _without(text: str, first: np.ndarray, last: np.ndarray) -> tuple[str, int]:
     """The text without the pieces of these spans, and how many sentences are gone whole."""
-    held = pieces([text])
+    held = pieces([text.lower()])
     n = len(held.start) - 1
     mark = np.zeros(n + 1, dtype=np.int64)
     np.add.at(mark, first, 1)
@@ -294,13 +317,11 @@ def _without(text: str, first: np.ndarray, last: np.ndarray) -> tuple[str, int]:
     # Stretches of a few words in a sentence of which others stay are the same by chance.
     size = np.diff(held.weight)
     stretch = np.cumsum(np.r_[0, (np.diff(sentence) != 0) | np.diff(covered)])
-    words, whole = np.bincount(stretch, size)[stretch], np.bincount(sentence, size)[sentence]
-    covered &= (words == whole) | (words >= 2 * FRAGMENT)
+    run, whole = np.bincount(stretch, size)[stretch], np.bincount(sentence, size)[sentence]
+    covered &= (run == whole) | (run >= 2 * FRAGMENT)
     left = np.bincount(sentence, ~covered, int(sentence[-1]) + 1)
-    # Words again, with their places in the text.
-    words_at = (_UNIT if _DENSE.search(text) else _WORD).finditer(text)
-    where = np.fromiter((m.start() for m in words_at), np.int64, len(held.value))
-    bounds = np.r_[where[held.start[:-1]], len(text)]
+    # Lower-casing can make a text longer, and makes neither words nor gaps.
+    bounds = np.r_[words([text]).start[held.start[:-1]], len(text)]
     edge = np.flatnonzero(np.diff(np.r_[True, covered, True].astype(np.int8)))
     parts = [text[: bounds[0]]]
     parts += [text[bounds[a] : bounds[b]] for a, b in zip(edge[::2], edge[1::2])]

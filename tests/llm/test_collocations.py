@@ -69,7 +69,7 @@ def test_threshold_falls_until_settled(spark, monkeypatch):
     """Opened one pair at a time, with few bits in the bitmaps: more rounds and counts, the same phrases."""
     rounds = []
     grown = collocations._grown
-    monkeypatch.setattr(collocations, "_grown", lambda *a: rounds.append(a[3]) or grown(*a))
+    monkeypatch.setattr(collocations, "_grown", lambda *a: rounds.append(a[2]) or grown(*a))
     monkeypatch.setattr(collocations, "BITS", 7)
     monkeypatch.setattr(collocations, "HELD", 64)
     made = corpus(9)
