@@ -23,7 +23,9 @@ from rollcall.llm.common import KEY, SPACE, ascii_lower, row_key, whole
 from rollcall.session import scratch_path, stage
 
 MIN_CHARS, MIN_DOCS = 40, 5
-FANOUT, BATCHES = 2, 4
+FANOUT = 2
+# Lines of a batch; fewer make two batches all the same.
+BATCH_LINES, MIN_BATCHES = 50_000_000, 2
 HASH = ["h1", "h2"]
 COUNTED = "h1 bigint, h2 bigint, n_docs bigint, last_doc bigint"
 
@@ -138,19 +140,21 @@ def _union(parts: list[DataFrame]) -> DataFrame:
 
 
 def dropped_places(
-    docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MIN_DOCS, batches: int = BATCHES
+    docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MIN_DOCS, batches: int | None = None
 ) -> DataFrame:
     """Row key and ``gone``: the places of lines that a row loses. Rows that lose none are absent.
 
     A line goes if at least ``min_docs`` documents hold its key, save from the largest identifier that
-    does. All documents are taken in, in ``batches`` batches dealt by hash of the identifier.
+    does. All documents are taken in, in ``batches`` batches dealt by hash of the identifier; their number
+    follows that of the lines if it is not given.
     """
     spark = docs.sparkSession
     path = scratch_path(spark, "lines")
-    batch = F.pmod(F.xxhash64("row_id"), F.lit(batches)).cast("int")
-    hashed_lines(docs, min_chars).withColumn("batch", batch).write.partitionBy("batch").parquet(path)
-    schema = "row_id bigint, row_hash bigint, row_check bigint, place int, h1 bigint, h2 bigint, batch int"
+    hashed_lines(docs, min_chars).write.parquet(path)
+    schema = "row_id bigint, row_hash bigint, row_check bigint, place int, h1 bigint, h2 bigint"
     lines = spark.read.schema(schema).parquet(path)
+    batches = batches or max(MIN_BATCHES, -(-lines.count() // BATCH_LINES))
+    lines = lines.withColumn("batch", F.pmod(F.xxhash64("row_id"), F.lit(batches)).cast("int"))
     runs = Runs(spark)
     try:
         for n in range(batches):
