@@ -28,6 +28,7 @@ from rollcall.session import stage
 WORDS, BUDGET, SEED = 4, 4, 42
 # Distinct fingerprints a leaf of the upper trie holds at most, and how many levels one step goes down.
 NODE_SIZE, STEP = 1 << 16, 4
+PAIR = ("a_depth", "a", "b_depth", "b")
 # Comparisons at which two nodes are compared outright.
 LEAF = 1 << 16
 
@@ -100,7 +101,7 @@ def node_pairs(tree: list[DataFrame], budget: int) -> DataFrame:
     """Pairs of leaves of the upper trie whose common bits differ ``budget`` times at most.
 
     The walk begins with the root and itself and goes down both sides level by level, by joins on the
-    parent; a side that is a leaf stays, and then no more bits are common. ``pair`` names each.
+    parent; a side that is a leaf stays, and then no more bits are common.
     """
     spark = tree[0].sparkSession
     pairs = spark.range(1).select(
@@ -129,8 +130,7 @@ def node_pairs(tree: list[DataFrame], budget: int) -> DataFrame:
     every = done[0]
     for part in done[1:]:
         every = every.unionByName(part)
-    kept = every.drop("a_leaf", "b_leaf").withColumn("pair", F.monotonically_increasing_id())
-    return stage(kept, "leaf-pairs")
+    return every.drop("a_leaf", "b_leaf")
 
 
 class _Walk:
@@ -206,8 +206,8 @@ def links(marks: DataFrame, budget: int = BUDGET, node_size: int = NODE_SIZE) ->
     same = (F.col("a") == F.col("b")) & (F.col("a_depth") == F.col("b_depth"))
     sides = [
         side.select(
-            F.col(f"{s}_depth").alias("depth"), F.col(s).alias("prefix"), "pair", F.lit(n).alias("side"),
-            "level", "errors",
+            F.col(f"{s}_depth").alias("depth"), F.col(s).alias("prefix"), F.struct(*PAIR).alias("pair"),
+            F.lit(n).alias("side"), "level", "errors",
         )
         for n, (s, side) in enumerate((("a", pairs), ("b", pairs.filter(~same))))
     ]
