@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Iterable, Mapping
 from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
@@ -26,32 +26,83 @@ def run_load(
     active: Any = marts.ACTIVE,
     min_sector: int = marts.MIN_SECTOR_SIZE,
     since: dt.date | str = marts.GROWTH_SINCE,
+    together: bool = True,
     **thresholds: float,
 ) -> list[str]:
     """Load entities and establishments and publish everything made of them.
 
     ``sources`` names and reads the two raw tables, entities first. Published under ``prefix``: the rows
     set aside (``quarantine``) with the reasons (``quarantine_reasons``), ``gold`` if its gates pass, and
-    all marts. A gate that fails raises and leaves gold and marts as they were. Returns the names of marts
-    that could not be rebuilt. Each table keeps its last ``keep`` versions.
+    all marts. Each table keeps its last ``keep`` versions.
+
+    All of it is one release, ``release`` (``tables.open_release``): a gate or a mart that fails raises and
+    leaves every table as it was. With ``together=False`` tables are published one after another: a failed
+    gate leaves gold and marts as they were, a mart that fails keeps its old version and stops no other, and
+    the names of such marts are returned.
     """
     landed = list(tables.load_bronze(spark, sources, reuse=reuse_bronze).values())
     entities, establishments = landed
     _, aside = gold.split_quarantine(establishments, as_of)
-    tables.publish(aside, f"{prefix}quarantine", order=(), keep=keep)
     reasons = gold.quarantine_reasons(entities, establishments, as_of)
-    tables.publish(reasons, f"{prefix}quarantine_reasons", order=(), keep=keep)
+    rows = gold.build_gold(entities, establishments, as_of)
+
+    def report(current: DataFrame) -> DataFrame:
+        return gates.run_gates(current, entities, as_of=as_of, **thresholds)
+
+    def builders(current: DataFrame) -> dict[str, Callable[[], DataFrame]]:
+        return named(marts.mart_builders(
+            current, sec, mun, closed=closed, active=active, min_sector=min_sector, since=since
+        ))
 
     def named(builders: Mapping[str, Any]) -> dict[str, Any]:
         return {f"{prefix}{n}": b for n, b in builders.items()}
 
-    return tables.publish_with_marts(
-        gold.build_gold(entities, establishments, as_of),
-        f"{prefix}gold",
-        lambda rows: gates.run_gates(rows, entities, as_of=as_of, **thresholds),
-        lambda current: named(marts.mart_builders(
-            current, sec, mun, closed=closed, active=active, min_sector=min_sector, since=since
-        )),
-        named(marts.MART_KEYS),
-        keep,
+    keys = named(marts.MART_KEYS)
+    if not together:
+        tables.publish(aside, f"{prefix}quarantine", order=(), keep=keep)
+        tables.publish(reasons, f"{prefix}quarantine_reasons", order=(), keep=keep)
+        return tables.publish_with_marts(rows, f"{prefix}gold", report, builders, keys, keep)
+    tables.publish_release(
+        spark,
+        f"{prefix}release",
+        {
+            f"{prefix}quarantine": lambda _: aside,
+            f"{prefix}quarantine_reasons": lambda _: reasons,
+            **release_of_gold(f"{prefix}gold", rows, builders, keys),
+        },
+        checks=release_checks(f"{prefix}gold", report, keys),
+        order={f"{prefix}gold": ("opened",)},
+        keep=keep,
     )
+    return []
+
+
+def release_of_gold(
+    name: str,
+    rows: DataFrame,
+    builders: Callable[[DataFrame], Mapping[str, Callable[[], DataFrame]]],
+    marts_of: Iterable[str],
+) -> dict[str, Callable[[Callable[[str], DataFrame]], DataFrame]]:
+    """Gold and its marts for a release: the marts are built from the version of gold it has written."""
+    built: dict[str, Callable[[], DataFrame]] = {}
+
+    def mart(one: str) -> Callable[[Callable[[str], DataFrame]], DataFrame]:
+        def build(read: Callable[[str], DataFrame]) -> DataFrame:
+            if not built:
+                built.update(builders(read(name)))
+            return built[one]()
+
+        return build
+
+    return {name: lambda _: rows, **{one: mart(one) for one in marts_of}}
+
+
+def release_checks(
+    name: str, report: Callable[[DataFrame], DataFrame], keys: Mapping[str, Iterable[str]]
+) -> dict[str, Callable[[DataFrame], object]]:
+    """Gates of gold, and unique keys of its marts."""
+    unique = {
+        one: lambda rows, columns=tuple(columns): gates.require_unique(rows, *columns)
+        for one, columns in keys.items()
+    }
+    return {name: lambda rows: gates.enforce(report(rows)), **unique}

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from rollcall.functions.dates import as_date, decade, years
 from rollcall.functions.numbers import percent
-from rollcall.functions.text import code_prefix
+from rollcall.functions.text import code_prefix, has_prefix
 from rollcall.operators.aggregates import count_by, spread_of_days
 from rollcall.operators.filters import closed_spans, opened_since
 from rollcall.operators.windows import with_share
@@ -62,8 +62,12 @@ def capital_zero(reg: DataFrame) -> DataFrame:
 
 
 def division_share(reg: DataFrame, division: str = RETAIL, pad: int | None = None) -> DataFrame:
-    """Entities of one sector division, and their share of all."""
-    mine = code_prefix(F.col("sector_code"), pad=pad) == F.lit(division)
+    """Entities of one sector division, and their share of all.
+
+    A division is a few ranges of whole-number codes; only ``pad`` needs them as text.
+    """
+    code = F.col("sector_code")
+    mine = has_prefix(code, [division]) if pad is None else code_prefix(code, pad=pad) == F.lit(division)
     counted = reg.agg(F.count_if(mine).alias("empresas"), F.count(F.lit(1)).alias("n"))
     return counted.select("empresas", percent(F.col("empresas"), F.col("n"), 1).alias("pct"))
 

@@ -4,6 +4,10 @@ A table is published in two steps. Its rows are written as a new version; a view
 name is then replaced to read that version. Readers keep the old version until the view changes, and
 a version that fails its gates is dropped and never named by the view. Versions are tables of the
 session's catalogue and lie in its warehouse, not in the scratch folder; the last few are kept.
+
+Tables that belong together are published as a *release*: versions of all are written and checked, then one
+view, the manifest, is replaced, which names the version of each. Readers that open the release see all old
+versions or all new ones, whatever fails and whenever they come.
 """
 
 from __future__ import annotations
@@ -126,6 +130,44 @@ def refresh_marts(
     return failed
 
 
+def publish_release(
+    spark: SparkSession,
+    release: str,
+    builders: Mapping[str, Callable[[Callable[[str], DataFrame]], DataFrame]],
+    *,
+    checks: Mapping[str, Callable[[DataFrame], object]] | None = None,
+    order: Mapping[str, Iterable[str]] | None = None,
+    keep: int = KEEP,
+) -> dict[str, str]:
+    """Write a version of every table, check each, then make all current by one change of the manifest.
+
+    ``builders`` are called in order with a function that reads what this release has written so far. If one
+    fails, or a check raises, every version written is dropped and the manifest and all views stay as they
+    were. Views of the tables' own names follow the manifest one by one, for readers of a single table.
+    """
+    written: dict[str, str] = {}
+    try:
+        for name, build in builders.items():
+            rows = build(lambda earlier: spark.table(written[earlier]))
+            written[name] = _write_version(rows, name, (order or {}).get(name, ()))
+            if checks and name in checks:
+                checks[name](spark.table(written[name]))
+    except Exception:
+        for version in written.values():
+            spark.sql(f"DROP TABLE IF EXISTS {version}")
+        raise
+    rows = ", ".join(f"('{name}', '{version}')" for name, version in written.items())
+    spark.sql(f"CREATE OR REPLACE VIEW {release} AS SELECT * FROM VALUES {rows} AS manifest(name, version)")
+    for name, version in written.items():
+        _point(spark, name, version, keep)
+    return written
+
+
+def open_release(spark: SparkSession, release: str) -> dict[str, DataFrame]:
+    """The tables of a release by name, all of the versions that the manifest names now."""
+    return {r.name: spark.table(r.version) for r in spark.table(release).collect()}
+
+
 def read_mart(spark: SparkSession, name: str, *columns: str) -> DataFrame:
     mart = spark.table(name)
     return mart.select(*columns) if columns else mart

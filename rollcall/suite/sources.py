@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 import datetime as dt
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from rollcall import schemas
+from rollcall import load, schemas
 from rollcall.functions.text import nul_count, strip_nul
 from rollcall.plans import marts
 from rollcall.session import scratch_path
@@ -135,6 +136,29 @@ def _(s: Star) -> DataFrame:
     return counts.withColumn("tabela", F.regexp_extract("tabela", r"(mart_\w+)$", 1))
 
 
+@case("publish_release", f"{_MART_COUNTS} UNION ALL SELECT 'registry_released', count(*) FROM reg")
+def _(s: Star) -> DataFrame:
+    """Gold and marts switched together, and read through the manifest."""
+    name = s._name("registry_released")
+    keys = {f"{name}_{n}": k for n, k in marts.MART_KEYS.items()}
+
+    def builders(gold: DataFrame) -> dict:
+        return {f"{name}_{n}": build for n, build in s.builders(gold).items()}
+
+    tables.publish_release(
+        s.spark, f"{name}_release", load.release_of_gold(name, s.reg, builders, keys),
+        checks=load.release_checks(name, s.gates, keys), order={name: ("opened",)},
+    )
+    opened = tables.open_release(s.spark, f"{name}_release")
+    parts = [
+        rows.agg(F.count(F.lit(1)).alias("linhas")).select(
+            F.lit("registry_released" if n == name else n.removeprefix(f"{name}_")).alias("tabela"), "linhas"
+        )
+        for n, rows in opened.items()
+    ]
+    return reduce(DataFrame.unionByName, parts)
+
+
 @case("overwrite_table", "SELECT codigo, descricao FROM sec")
 def _(s: Star) -> DataFrame:
     path = scratch_path(s.spark, "overwrite")

@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from rollcall import load, schemas
-from rollcall.plans import gates, gold
+from rollcall.plans import gates, gold, marts
 from rollcall.sources import tables, text_files, zip_shards
 
 AS_OF = "2026-02-01"
@@ -287,6 +287,68 @@ def test_load_as_one_call(spark, built, folder):
     assert spark.table("one_gold").count() == df.count() and len(tables.versions(spark, "one_gold")) == 2
 
 
+def test_a_release_switches_all_tables_at_once(spark, built):
+    _, _, df = built
+
+    def release(tag, mart=None, gate=None, rows=df):
+        return tables.publish_release(
+            spark, "t3_release",
+            {"t3_gold": lambda _: rows.withColumn("load", F.lit(tag)),
+             "t3_mart": mart or (lambda read: read("t3_gold").groupBy("uf", "load").count())},
+            checks={"t3_gold": gate or (lambda rows: None),
+                    "t3_mart": lambda rows: gates.require_unique(rows, "uf")},
+            order={"t3_gold": ("opened",)},
+        )
+
+    def seen():
+        opened = tables.open_release(spark, "t3_release")
+        by_view = [{r.load for r in spark.table(t).select("load").collect()} for t in ("t3_gold", "t3_mart")]
+        by_release = [{r.load for r in opened[t].select("load").collect()} for t in ("t3_gold", "t3_mart")]
+        return by_release, by_view
+
+    def fail(rows):
+        raise gates.GateFailure(["volume"])
+
+    release("one")
+    held = tables.open_release(spark, "t3_release")
+    assert seen() == ([{"one"}] * 2, [{"one"}] * 2)
+    with pytest.raises(gates.GateFailure):
+        release("two", gate=fail)
+    with pytest.raises(Exception, match="no_such_column"):
+        release("three", mart=lambda read: read("t3_gold").select("no_such_column"))
+    with pytest.raises(gates.GateFailure):
+        release("four", mart=lambda read: read("t3_gold").select("uf", "load").limit(1).union(
+            read("t3_gold").select("uf", "load").limit(1)))
+    assert seen() == ([{"one"}] * 2, [{"one"}] * 2)
+    assert len(tables.versions(spark, "t3_gold")) == len(tables.versions(spark, "t3_mart")) == 1
+    release("five")
+    assert seen() == ([{"five"}] * 2, [{"five"}] * 2)
+    assert {r.load for r in held["t3_mart"].collect()} == {"one"}  # a reader that came before the switch
+
+
+def test_a_mart_that_fails_keeps_the_whole_load_back(spark, built, folder, monkeypatch):
+    ent, est, df = built
+    sec = spark.createDataFrame([(111301, "x"), (4711301, "y")], schemas.CODES)
+    mun = spark.createDataFrame([(7107, "z")], schemas.CODES)
+    sources = {"two_ent": lambda: ent, "two_est": lambda: est}
+    lenient = dict(min_rows=0, min_retention=0, max_decade_share=101)
+    settings = dict(prefix="two_", as_of=AS_OF, min_sector=1, **lenient)
+    assert load.run_load(spark, sources, sec, mun, **settings) == []
+    before = {r.name: r.version for r in spark.table("two_release").collect()}
+    assert set(before) == {f"two_{n}" for n in ("gold", "quarantine", "quarantine_reasons", *marts.MART_KEYS)}
+    usual = marts.mart_builders
+
+    def broken(*args, **options):
+        return usual(*args, **options) | {"mart_treemap": lambda: args[0].select("no_such_column")}
+
+    monkeypatch.setattr(marts, "mart_builders", broken)
+    with pytest.raises(Exception, match="no_such_column"):
+        load.run_load(spark, sources, sec, mun, **settings)
+    assert {r.name: r.version for r in spark.table("two_release").collect()} == before
+    assert all(len(tables.versions(spark, n)) == 1 for n in before)
+    assert load.run_load(spark, sources, sec, mun, together=False, **settings) == ["two_mart_treemap"]
+
+
 def test_reasons_of_what_is_set_aside(spark):
     est = spark.createDataFrame(
         [("1", d, "1") for d in (None, "", "abc", "20250230", "18991231", "20990101", "20000101")]
