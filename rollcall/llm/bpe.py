@@ -39,9 +39,11 @@ from pyspark.sql import types as T
 from rollcall.llm.common import blocks, code_points, output, texts
 
 # Bytes of text whose distinct words are numbered together, and those cut up at a time.
-BLOCK, PIECE = 6 << 20, 1 << 19
+BLOCK, PIECE = 3 << 20, 1 << 19
 # Bytes of text of the corpus for each group of words, rows of a group handed on together, ids decoded at a time.
 GROUP, ROWS, IDS = 64 << 20, 16, 1 << 20
+# Rows handed to Python at a time: of whole texts, Spark's usual 10,000 are tens of megabytes for each task.
+BATCH_ROWS = 1_000
 # What follows an apostrophe in a pre-token of its own, as in the published pattern.
 SUFFIXES = ("s", "t", "re", "ve", "m", "ll", "d")
 
@@ -147,7 +149,7 @@ class _Block:
         parts = texts(batch, column)
         words, at = pre_tokens(parts)
         number = self.number
-        found = np.fromiter((number.setdefault(w, len(number)) for w in words), np.int64, len(words))
+        found = np.fromiter((number.setdefault(w, len(number)) for w in words), np.int32, len(words))
         self.words.append([found[a:b] for a, b in zip(at, at[1:])])
         self.rows.append(batch)
         for part in parts:
@@ -179,6 +181,13 @@ def _numbered(batches: Iterator[pa.RecordBatch], column: str) -> Iterator[_Block
         yield held
 
 
+def _small_batches(df: DataFrame) -> None:
+    """Have the session hand at most ``BATCH_ROWS`` rows to Python at a time from now on."""
+    name, conf = "spark.sql.execution.arrow.maxRecordsPerBatch", df.sparkSession.conf
+    if not 0 < int(conf.get(name)) <= BATCH_ROWS:
+        conf.set(name, str(BATCH_ROWS))
+
+
 @cache
 def ranks(path: str) -> dict[bytes, int]:
     """Token bytes and ids of a vocabulary file in the form of tiktoken."""
@@ -206,10 +215,12 @@ def encode(docs: DataFrame, path: str | None = None, text: str = "text") -> Data
     """``ids`` (array of int) in place of every row's text; ``docs`` must be a table to read again.
 
     A null or empty text has no ids. Repeated rows, ties and very long texts and words are all
-    encoded whole; a column ``ids`` is replaced. ``path`` names a vocabulary file that all machines have.
+    encoded whole; a column ``ids`` is replaced. The session's Arrow batches are ``BATCH_ROWS`` rows at most from
+    then on. ``path`` names a vocabulary file that all machines have.
     """
     path = path or public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
     docs = docs.select(*[c for c in docs.columns if c != "ids"])
+    _small_batches(docs)
 
     # A group holds the words of about GROUP bytes of text, however large the corpus is.
     total = docs.agg(F.coalesce(F.sum(F.octet_length(text)), F.lit(0))).first()[0]
@@ -338,6 +349,7 @@ def _decoded(
 ) -> DataFrame:
     path = path or public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
     new = ["n_tokens", "ids_sha256", "decoded_sha256"] if digest else ["decoded"]
+    _small_batches(encoded)
     encoded = encoded.select(*[c for c in encoded.columns if c not in new])
 
     # As large as the vocabulary, whatever the corpus.
