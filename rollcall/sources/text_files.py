@@ -16,6 +16,7 @@ from rollcall.functions.numbers import to_long
 from rollcall.functions.text import nul_count, strip_nul, strip_space
 from rollcall.plans.gates import require_unique
 from rollcall.schemas import CODES_RAW, ENTITY, ESTABLISHMENT
+from rollcall.sources.split_text import read_split
 
 log = logging.getLogger(__name__)
 
@@ -33,13 +34,22 @@ def read_raw(
     *,
     multiline: bool = True,
     mode: str = "FAILFAST",
+    split: bool = False,
+    shard: str | None = None,
 ) -> DataFrame:
     """Headerless extract files as text columns, all shards together.
 
-    Quoted fields may hold line breaks. A file read with ``multiline`` is one task; extracts known
-    to have none can be split by turning it off. A record with too few or too many fields stops the
-    load, unless another ``mode`` of the CSV reader is asked for.
+    Quoted fields may hold line breaks. A file read with ``multiline`` is one task; with ``split`` it is
+    one task per byte range, at the price of moving its lines once (:mod:`split_text`), and extracts known
+    to have no breaks are split at none by turning ``multiline`` off. A record with too few or too many
+    fields stops the load, unless another ``mode`` of the CSV reader is asked for. ``shard`` names a
+    column for the file's name, with ``split``.
     """
+    if split:
+        options = {**RAW, "nullValue": _NO_FIELD_TEXT}
+        return read_split(spark, paths, schema, options, mode=mode, shard=shard)
+    if shard:
+        raise ValueError("shard goes with split; else take _metadata.file_name")
     return (
         spark.read.schema(schema)
         .options(**RAW, nullValue=_NO_FIELD_TEXT, multiLine=multiline, mode=mode)

@@ -1,4 +1,4 @@
-"""Spark data source for zipped extract shards: one partition per zip file.
+"""Spark data source for zipped extract shards: one partition per zip file, read or written.
 
     spark.dataSource.register(ZipShards)
     spark.read.format("registry_zip").schema(ENTITY).option("pattern", "Empresas*.zip").load(folder)
@@ -6,21 +6,38 @@
 The first member of each zip is streamed through an Arrow CSV reader in blocks, so a task holds one
 block at a time however large its shard is. A zip member cannot be read from the middle; write the
 result to Parquet once and work from there. The folder must be mounted on every executor.
+
+    df.write.format("registry_zip").mode("append").option("stem", "Empresas").save(folder)
+
+Every task writes one shard into a folder of the job's own; the commit moves the shards of the tasks that
+counted into place, the abort leaves none. Attempts that were lost or repeated leave nothing behind.
 """
 
 from __future__ import annotations
 
 import glob
+import io
 import os
+import shutil
+import time
+import uuid
 import zipfile
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import pyarrow as pa
 import pyarrow.compute as pc
 import pyarrow.csv as pacsv
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
-from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
+from pyspark.sql.datasource import (
+    DataSource,
+    DataSourceArrowWriter,
+    DataSourceReader,
+    InputPartition,
+    WriterCommitMessage,
+)
 
 from rollcall.schemas import ENTITY, ESTABLISHMENT
 
@@ -85,6 +102,7 @@ class ZipShards(DataSource):
     """Options: ``pattern`` (default ``*.zip``); ``report=nul`` gives NUL counts per shard.
 
     ``block`` is the number of bytes read at a time; a record must fit into one (default 8 MiB).
+    ``stem`` begins the names of shards that are written.
     """
 
     @classmethod
@@ -101,6 +119,9 @@ class ZipShards(DataSource):
     def reader(self, schema: T.StructType) -> DataSourceReader:
         return ZipShardReader(schema, self.options)
 
+    def writer(self, schema: T.StructType, overwrite: bool) -> DataSourceArrowWriter:
+        return ZipShardWriter(schema, self.options, overwrite)
+
 
 class ZipShardReader(DataSourceReader):
     def __init__(self, schema: T.StructType, options):
@@ -122,6 +143,98 @@ class ZipShardReader(DataSourceReader):
             yield from shard_batches(partition.path, self.columns, self.block)
 
 
+@dataclass
+class Written(WriterCommitMessage):
+    """A shard that a task has written whole, None if it had no rows, and its place among the tasks."""
+
+    path: str | None
+    task: int
+
+
+class ZipShardWriter(DataSourceArrowWriter):
+    """One zip per task that has rows, named ``<stem><job>-<task>.zip``.
+
+    Shards become visible one after another at the commit, so a reader that comes in between can see some.
+    With ``overwrite`` shards of the same stem that were there before go after the new ones are in place.
+    """
+
+    def __init__(self, schema: T.StructType, options, overwrite: bool):
+        wrong = [f.name for f in schema if not isinstance(f.dataType, T.StringType)]
+        if wrong:
+            raise ValueError(f"shards hold text; cast {', '.join(wrong)}")
+        self.folder, self.overwrite = options["path"], overwrite
+        self.stem = options.get("stem", "Shard")
+        self.job = uuid.uuid4().hex
+        self.staging = os.path.join(self.folder, f"_writing-{self.job}")
+        # Made here and not by the tasks: one that outlives the job then has nowhere left to write.
+        os.makedirs(self.staging)
+
+    def write(self, iterator: Iterator[pa.RecordBatch]) -> Written:
+        task = TaskContext.get()
+        # Attempts of one task run side by side under speculation: each has a file of its own.
+        path = os.path.join(self.staging, f"{task.partitionId()}-{task.taskAttemptId()}.zip")
+        rows = write_shard(path, f"{self.stem}{task.partitionId()}.csv", iterator)
+        return Written(path if rows else None, task.partitionId())
+
+    def commit(self, messages: list) -> None:
+        old = glob.glob(os.path.join(glob.escape(self.folder), f"{glob.escape(self.stem)}*.zip"))
+        for shard in (m for m in messages if m and m.path):
+            name = f"{self.stem}{self.job}-{shard.task:06d}.zip"
+            os.replace(shard.path, os.path.join(self.folder, name))
+        for path in old if self.overwrite else ():
+            os.remove(path)
+        self._leave()
+
+    def abort(self, messages: list) -> None:
+        self._leave()
+
+    def _leave(self) -> None:
+        # A task that is being stopped may add a file while the folder goes.
+        for _ in range(10):
+            shutil.rmtree(self.staging, ignore_errors=True)
+            if not os.path.exists(self.staging):
+                return
+            time.sleep(0.2)
+
+
+def csv_bytes(batch: pa.RecordBatch) -> bytes:
+    """A batch in the layout of the extracts: all that is known in quotes, NULL as nothing.
+
+    A character that Latin-1 lacks stops the job: it would come back as another one.
+    """
+    out = io.BytesIO()
+    options = pacsv.WriteOptions(include_header=False, delimiter=";", quoting_style="all_valid")
+    pacsv.write_csv(batch, out, options)
+    return out.getvalue().decode("utf-8").encode("latin-1")
+
+
+def write_shard(path: str, member: str, batches: Iterator[pa.RecordBatch]) -> int:
+    """Stream batches into the one member of a zip; the number of rows. No file is made for none."""
+    rows = 0
+    archive = stream = None
+    try:
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            if archive is None:
+                archive = zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED)
+                stream = archive.open(member, "w", force_zip64=True)
+            stream.write(csv_bytes(batch))
+            rows += batch.num_rows
+    finally:
+        if archive is not None:
+            stream.close()
+            archive.close()
+    return rows
+
+
+def write_zips(df: DataFrame, folder: str, stem: str, *, overwrite: bool = False) -> None:
+    """Write text columns as zipped shards, one per partition of ``df`` that has rows."""
+    df.sparkSession.dataSource.register(ZipShards)
+    writer = df.write.format("registry_zip").mode("overwrite" if overwrite else "append")
+    writer.option("stem", stem).save(folder)
+
+
 def _read(
     spark: SparkSession, folder: str, pattern: str, schema: T.StructType, block: int
 ) -> DataFrame:

@@ -20,8 +20,8 @@ from rollcall.functions.text import pad_id
 from rollcall.plans import gates, marts
 from rollcall.plans.gold import build_gold
 from rollcall.schemas import ENTITY, ESTABLISHMENT
-from rollcall.session import scratch_path, stage
-from rollcall.sources import tables, text_files
+from rollcall.session import scratch_path, ship_package, stage
+from rollcall.sources import tables, text_files, zip_shards
 
 # Parameters of the binding: reference date, status values, thresholds suited to these tables.
 AS_OF = "2002-01-01"
@@ -218,6 +218,13 @@ class Star:
         text_files.write_raw(df, path, *partitions)
         return path
 
+    def zip_copy(self, df: DataFrame, stem: str) -> str:
+        """The frame written as zipped shards below the shared folder, which must be mounted."""
+        ship_package(self.spark)
+        folder = scratch_path(self.spark, stem.lower()).removeprefix("file:")
+        zip_shards.write_zips(df, folder, stem)
+        return folder
+
 
 def _segment(name: Column) -> Column:
     """Number of a market segment, from 1."""

@@ -13,7 +13,7 @@ from rollcall import load, schemas
 from rollcall.functions.text import nul_count, strip_nul
 from rollcall.plans import marts
 from rollcall.session import scratch_path
-from rollcall.sources import tables, text_files
+from rollcall.sources import tables, text_files, zip_shards
 from rollcall.suite.binding import AS_OF, Star
 from rollcall.suite.registry import case
 
@@ -25,12 +25,24 @@ _REG_TEXT = """SELECT entity_id, name, legal_nature, CAST(capital AS DOUBLE) AS
 
 @case("scan_entity", "SELECT * FROM ent")
 def _(s: Star) -> DataFrame:
-    return text_files.read_entities(s.spark, s.raw_copy(s.ent, "entities"))
+    return text_files.read_entities(s.spark, s.raw_copy(s.ent, "entities"), split=True)
 
 
 @case("scan_establishment", "SELECT * FROM est")
 def _(s: Star) -> DataFrame:
-    return text_files.read_establishments(s.spark, s.raw_copy(s.est, "establishments"))
+    return text_files.read_establishments(s.spark, s.raw_copy(s.est, "establishments"), split=True)
+
+
+@case("scan_entity_zip", "SELECT * FROM ent")
+def _(s: Star) -> DataFrame:
+    folder = s.zip_copy(s.ent, "Empresas")
+    return zip_shards.read_entity_zips(s.spark, folder).drop(zip_shards.SHARD)
+
+
+@case("scan_establishment_zip", "SELECT * FROM est")
+def _(s: Star) -> DataFrame:
+    folder = s.zip_copy(s.est, "Estabelecimentos")
+    return zip_shards.read_establishment_zips(s.spark, folder).drop(zip_shards.SHARD)
 
 
 @case("scan_reference", """
