@@ -65,3 +65,16 @@ def top_groups(df: DataFrame, key: str, value: Column, n: int, name: str) -> Dat
     """Groups with the ``n`` largest aggregates; rows without a key belong to no group."""
     grouped = df.where(F.col(key).isNotNull()).groupBy(key).agg(value.alias(name))
     return top_rows(grouped, n, F.col(name).desc_nulls_last(), F.col(key))
+
+
+def rows_of_top_groups(df: DataFrame, key: str, value: Column, n: int) -> DataFrame:
+    """All rows of the groups with the ``n`` largest aggregates, from one reading of the rows and no join.
+
+    A group's rows travel with its aggregate as one array, so this is for groups of a size that does not
+    follow the facts, such as those of a mart. Rows without a key belong to no group; ties go to the smaller key.
+    """
+    grouped = df.where(F.col(key).isNotNull()).groupBy(key).agg(
+        value.alias("__value"), F.collect_list(F.struct(*df.columns)).alias("__rows")
+    )
+    top = top_rows(grouped, n, F.col("__value").desc_nulls_last(), F.col(key))
+    return top.select(F.inline("__rows"))

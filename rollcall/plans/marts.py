@@ -20,7 +20,7 @@ from rollcall.functions.text import code_prefix
 from rollcall.operators.aggregates import count_by, spread_of_days, weighted_mean
 from rollcall.operators.filters import closed_spans, opened_since, where_in
 from rollcall.operators.joins import attach_name, keep_groups
-from rollcall.operators.topk import top_groups, top_rows
+from rollcall.operators.topk import rows_of_top_groups, top_groups, top_rows
 from rollcall.session import stage
 
 # Status codes, thresholds and percentiles of the published reports.
@@ -125,9 +125,8 @@ def bubbles(reg: DataFrame, mun: DataFrame) -> DataFrame:
 
 
 def bubbles_top_years(mart: DataFrame, n: int = 10) -> DataFrame:
-    """Mart rows of the years with the most entities."""
-    top = top_groups(mart, "ano", F.sum("total_empresas"), n, "sum_total")
-    return keep_groups(mart, top, "ano").orderBy(
+    """Mart rows of the years with the most entities; a year has a row per municipality at most."""
+    return rows_of_top_groups(mart, "ano", F.sum("total_empresas"), n).orderBy(
         "ano", F.col("nome_municipio").asc_nulls_last(), "cod_municipio"
     )
 

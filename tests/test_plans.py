@@ -210,6 +210,22 @@ def test_bubbles_selection_policies(towns):
     assert years == {1996}
 
 
+def test_rows_of_top_groups(spark):
+    rows = [("a", 1, None), ("a", 2, "x"), ("b", 3, "y"), ("c", 3, "z"), ("d", None, "n"), (None, 99, "m")]
+    df = spark.createDataFrame(rows, "g string, v int, t string").repartition(3)
+
+    def top(n):
+        found = topk.rows_of_top_groups(df, "g", F.sum("v"), n)
+        assert found.schema.simpleString() == df.schema.simpleString()
+        return sorted((tuple(r) for r in found.collect()), key=repr)
+
+    # Three groups have the same sum: the smaller keys first; one without any value comes last.
+    assert top(1) == sorted(rows[:2], key=repr)
+    assert top(2) == sorted(rows[:3], key=repr)
+    assert top(9) == sorted(rows[:5], key=repr)
+    assert topk.rows_of_top_groups(df.limit(0), "g", F.sum("v"), 2).collect() == []
+
+
 def test_comparison_takes_any_number_of_regions(towns):
     reg, mun = towns
     every = {r.cod_uf for r in compare.regions_available(reg, mun).collect()}

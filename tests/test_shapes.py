@@ -112,6 +112,15 @@ def test_ranking_is_a_topk_with_its_floor_pushed(reg, star):
     assert "GreaterThanOrEqual(capital,ScalarSubquery" in text
 
 
+def test_top_years_come_from_one_reading_without_a_join(spark, reg, star, tmp_path):
+    marts.bubbles(reg, star.mun).write.parquet(str(tmp_path / "mart"))
+    df = marts.bubbles_top_years(spark.read.parquet(str(tmp_path / "mart")))
+    df.collect()
+    text = plan(df).split("== Initial Plan ==")[0]
+    assert len(scans(df)) >= 1 and text.count("FileScan parquet") == 1
+    assert "Join" not in text and text.count("Exchange") <= 2, text
+
+
 def test_sample_is_cut_before_its_limit(reg, star):
     text = plan(strategic.strategic(reg, star.sec, star.mun, limit=strategic.SAMPLE_ROWS))
     assert re.search(r"Filter .*substring\(entity_id#\d+, 1, 4\) <= \d+", text)
