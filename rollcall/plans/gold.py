@@ -88,12 +88,21 @@ def typed_establishments(establishments: DataFrame) -> DataFrame:
 
 
 def build_gold(
-    entities: DataFrame, establishments: DataFrame, as_of: dt.date | str | None = None
+    entities: DataFrame,
+    establishments: DataFrame,
+    as_of: dt.date | str | None = None,
+    buckets: int | None = None,
 ) -> DataFrame:
     """Entities joined to their head office, typed, quarantined rows left out.
 
-    Both sides are cut to the needed columns and rows before the one shuffle on the identifier.
+    Both sides are cut to the needed columns and rows before the one shuffle on the identifier. With
+    ``buckets`` that shuffle has so many partitions and rows lie as a table of so many buckets is written;
+    adaptive execution then neither merges nor splits them, so an identifier with a large part of all rows
+    is one long task. Gold whose identifiers are unique has none.
     """
     valid, _ = split_quarantine(establishments, as_of)
-    joined = typed_entities(entities).join(typed_establishments(valid), "entity_id")
+    sides = typed_entities(entities), typed_establishments(valid)
+    if buckets is not None:
+        sides = tuple(side.repartition(buckets, "entity_id") for side in sides)
+    joined = sides[0].join(sides[1], "entity_id")
     return joined.select(*GOLD.fieldNames())

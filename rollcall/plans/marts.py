@@ -218,38 +218,83 @@ def _region_figures(codes: DataFrame, region: Column, name: str) -> DataFrame:
 # --- all marts at once --------------------------------------------------------------------------
 
 
+# Keys of the two groupings behind the marts, and what is counted and summed in them: each sum of capital
+# with the count of rows in it.
+PLACE_KEYS = ("ano", "muni_code", "uf", "recent")
+PLACE_SUMS = {"positive_capital": "positive"}
+SECTOR_KEYS = ("sector_code", "days")
+SECTOR_SUMS = {"capital": "with_capital"}
+
+
+def _count(sign: Column | None, where: Column | None = None) -> Column:
+    """Number of rows, or the sum of their signs."""
+    if sign is None:
+        return F.count(F.lit(1)) if where is None else F.count_if(where)
+    return F.coalesce(F.sum(sign if where is None else F.when(where, sign)), F.lit(0))
+
+
+def _amount(sign: Column | None, where: Column) -> Column:
+    capital = F.col("capital") if sign is None else F.col("capital") * sign
+    return F.sum(F.when(where, capital))
+
+
+def place_sums(
+    reg: DataFrame, active: Any = ACTIVE, since: dt.date | str = GROWTH_SINCE, sign: Column | None = None
+) -> DataFrame:
+    """By opening year, municipality, state and whether the growth mart begins by then.
+
+    With a ``sign`` rows count as often as it says: 1 for rows that came, -1 for rows that went.
+    """
+    opened, capital = F.col("opened"), F.col("capital")
+    recent = F.coalesce(opened >= F.lit(since).cast("date"), F.lit(False))
+    return reg.groupBy(F.year(opened).alias("ano"), "muni_code", "uf", recent.alias("recent")).agg(
+        _count(sign).alias("n"),
+        _count(sign, capital > 0).alias("positive"),
+        _amount(sign, capital > 0).alias("positive_capital"),
+        _count(sign, F.col("status") == F.lit(active)).alias("active"),
+    )
+
+
+def sector_sums(reg: DataFrame, closed: Any = CLOSED, sign: Column | None = None) -> DataFrame:
+    """By sector code and, for closed entities, the days they lived; ``sign`` as in :func:`place_sums`."""
+    capital = F.col("capital")
+    lived = (F.col("status") == F.lit(closed)) & (F.col("status_date") >= F.col("opened"))
+    days = F.when(lived, F.datediff("status_date", "opened"))
+    return reg.groupBy("sector_code", days.alias("days")).agg(
+        _count(sign).alias("n"),
+        _count(sign, capital >= 0).alias("with_capital"),
+        _amount(sign, capital >= 0).alias("capital"),
+    )
+
+
 class SharedSums:
     """Two groupings of the facts, each read and written once, from which every mart is summed.
 
-    ``places``: by opening year, municipality, state and whether the growth mart begins by then.
-    ``sectors``: by sector code and, for closed entities, the days they lived.
+    ``places`` and ``sectors`` are :func:`place_sums` and :func:`sector_sums`, or tables given that hold them.
     """
 
-    def __init__(self, reg: DataFrame, closed: Any, active: Any, since: dt.date | str) -> None:
+    def __init__(
+        self,
+        reg: DataFrame,
+        closed: Any,
+        active: Any,
+        since: dt.date | str,
+        stored: tuple[DataFrame, DataFrame] | None = None,
+    ) -> None:
         self.reg, self.closed, self.active, self.since = reg, closed, active, since
+        self.stored = stored
 
     @cached_property
     def places(self) -> DataFrame:
-        opened, capital = F.col("opened"), F.col("capital")
-        recent = F.coalesce(opened >= F.lit(self.since).cast("date"), F.lit(False))
-        keys = [F.year(opened).alias("ano"), "muni_code", "uf", recent.alias("recent")]
-        return stage(self.reg.groupBy(*keys).agg(
-            F.count(F.lit(1)).alias("n"),
-            F.count_if(capital > 0).alias("positive"),
-            F.sum(F.when(capital > 0, capital)).alias("positive_capital"),
-            F.count_if(F.col("status") == F.lit(self.active)).alias("active"),
-        ), "place-sums")
+        if self.stored:
+            return self.stored[0]
+        return stage(place_sums(self.reg, self.active, self.since), "place-sums")
 
     @cached_property
     def sectors(self) -> DataFrame:
-        capital = F.col("capital")
-        lived = (F.col("status") == F.lit(self.closed)) & (F.col("status_date") >= F.col("opened"))
-        days = F.when(lived, F.datediff("status_date", "opened"))
-        return stage(self.reg.groupBy("sector_code", days.alias("days")).agg(
-            F.count(F.lit(1)).alias("n"),
-            F.count_if(capital >= 0).alias("with_capital"),
-            F.sum(F.when(capital >= 0, capital)).alias("capital"),
-        ), "sector-sums")
+        if self.stored:
+            return self.stored[1]
+        return stage(sector_sums(self.reg, self.closed), "sector-sums")
 
     def growth(self, mun: DataFrame) -> DataFrame:
         rows = self.places.where(F.col("recent") & F.col("muni_code").isNotNull())
@@ -304,9 +349,13 @@ def mart_builders(
     active: Any = ACTIVE,
     min_sector: int = MIN_SECTOR_SIZE,
     since: dt.date | str = GROWTH_SINCE,
+    stored: tuple[DataFrame, DataFrame] | None = None,
 ) -> dict:
-    """Every mart as a function without arguments, by name; together they read the facts twice."""
-    sums = SharedSums(reg, closed, active, since)
+    """Every mart as a function without arguments, by name; together they read the facts twice.
+
+    With ``stored`` sums (:func:`place_sums`, :func:`sector_sums`) they do not read the facts at all.
+    """
+    sums = SharedSums(reg, closed, active, since, stored)
     return {
         "mart_survival_sector": lambda: sums.survival(sec, min_sector),
         "mart_growth_muni": lambda: sums.growth(mun),

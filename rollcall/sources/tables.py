@@ -16,6 +16,7 @@ import datetime as dt
 import logging
 import re
 from collections.abc import Callable, Iterable, Mapping
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -28,6 +29,20 @@ log = logging.getLogger(__name__)
 KEEP = 2
 
 
+@dataclass(frozen=True)
+class Buckets:
+    """Rows of a table laid out by the hash of a column: grouping by it and joining on it need no exchange.
+
+    With ``spread`` rows are shuffled into their buckets before they are written, one file each. Without it
+    they must lie so already, as after a join on the column in as many partitions, or every task writes a
+    file for every bucket it meets. Spark takes up to 100,000 buckets (``spark.sql.sources.bucketing.maxBuckets``).
+    """
+
+    column: str
+    count: int
+    spread: bool = True
+
+
 def overwrite_table(df: DataFrame, path: str) -> DataFrame:
     """Replace the Parquet table at ``path``."""
     df.write.mode("overwrite").parquet(path)
@@ -55,12 +70,18 @@ def load_bronze(
     return {name: spark.table(name) for name in sources}
 
 
-def _write_version(df: DataFrame, name: str, order: Iterable[str] = ()) -> str:
+def _write_version(
+    df: DataFrame, name: str, order: Iterable[str] = (), buckets: Buckets | None = None
+) -> str:
     """Write a new version and return the name of its table, without pointing the view at it."""
     version = f"{name}_v{dt.datetime.now(dt.timezone.utc):%Y%m%d%H%M%S%f}"
-    if order:
-        df = df.sortWithinPartitions(*order)
-    df.write.saveAsTable(version)
+    if buckets is None:
+        (df.sortWithinPartitions(*order) if order else df).write.saveAsTable(version)
+        return version
+    if buckets.spread:
+        df = df.repartition(buckets.count, buckets.column)
+    writer = df.write.bucketBy(buckets.count, buckets.column)
+    (writer.sortBy(*order) if order else writer).saveAsTable(version)
     return version
 
 
@@ -84,15 +105,16 @@ def publish(
     gates: Callable[[DataFrame], DataFrame] | None = None,
     order: Iterable[str] = ("opened",),
     keep: int = KEEP,
+    buckets: Buckets | None = None,
 ) -> DataFrame:
     """Write a version of a table, run its gates on what was written, then make it current.
 
-    Rows are sorted by ``order`` inside each file, so that a date filter skips row groups; the
-    partitioning of the last join is kept and nothing is shuffled for it. When a gate fails the old
+    Rows are sorted by ``order`` inside each file, so that a date filter skips row groups; without
+    ``buckets`` the partitioning of the last join is kept and nothing is shuffled for it. When a gate fails the old
     version stays current, the new one is dropped and :class:`GateFailure` is raised.
     """
     spark = df.sparkSession
-    version = _write_version(df, name, order)
+    version = _write_version(df, name, order, buckets)
     try:
         if gates is not None:
             enforce(gates(spark.table(version)))
@@ -137,6 +159,8 @@ def publish_release(
     *,
     checks: Mapping[str, Callable[[DataFrame], object]] | None = None,
     order: Mapping[str, Iterable[str]] | None = None,
+    buckets: Mapping[str, Buckets] | None = None,
+    carry: Mapping[str, str] | None = None,
     keep: int = KEEP,
 ) -> dict[str, str]:
     """Write a version of every table, check each, then make all current by one change of the manifest.
@@ -144,28 +168,37 @@ def publish_release(
     ``builders`` are called in order with a function that reads what this release has written so far. If one
     fails, or a check raises, every version written is dropped and the manifest and all views stay as they
     were. Views of the tables' own names follow the manifest one by one, for readers of a single table.
+    Versions to ``carry``, by name, stay in the manifest as they are.
     """
     written: dict[str, str] = {}
     try:
         for name, build in builders.items():
             rows = build(lambda earlier: spark.table(written[earlier]))
-            written[name] = _write_version(rows, name, (order or {}).get(name, ()))
+            written[name] = _write_version(
+                rows, name, (order or {}).get(name, ()), (buckets or {}).get(name)
+            )
             if checks and name in checks:
                 checks[name](spark.table(written[name]))
     except Exception:
         for version in written.values():
             spark.sql(f"DROP TABLE IF EXISTS {version}")
         raise
-    rows = ", ".join(f"('{name}', '{version}')" for name, version in written.items())
+    current = {**(carry or {}), **written}
+    rows = ", ".join(f"('{name}', '{version}')" for name, version in current.items())
     spark.sql(f"CREATE OR REPLACE VIEW {release} AS SELECT * FROM VALUES {rows} AS manifest(name, version)")
     for name, version in written.items():
         _point(spark, name, version, keep)
-    return written
+    return current
+
+
+def manifest(spark: SparkSession, release: str) -> dict[str, str]:
+    """Name of the version that a release has now of each of its tables."""
+    return {r.name: r.version for r in spark.table(release).collect()}
 
 
 def open_release(spark: SparkSession, release: str) -> dict[str, DataFrame]:
     """The tables of a release by name, all of the versions that the manifest names now."""
-    return {r.name: spark.table(r.version) for r in spark.table(release).collect()}
+    return {name: spark.table(version) for name, version in manifest(spark, release).items()}
 
 
 def read_mart(spark: SparkSession, name: str, *columns: str) -> DataFrame:
@@ -180,9 +213,10 @@ def publish_with_marts(
     builders: Callable[[DataFrame], Mapping[str, Callable[[], DataFrame]]],
     keys: Mapping[str, Iterable[str]] | None = None,
     keep: int = KEEP,
+    buckets: Buckets | None = None,
 ) -> list[str]:
     """Publish gold, then rebuild every mart from the version published; names of marts that failed."""
-    current = publish(gold, name, gates, keep=keep)
+    current = publish(gold, name, gates, keep=keep, buckets=buckets)
     return refresh_marts(gold.sparkSession, builders(current), keys=keys, keep=keep)
 
 
