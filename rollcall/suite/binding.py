@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from rollcall import load
 from rollcall.functions.text import pad_id
 from rollcall.plans import gates, marts
 from rollcall.plans.gold import build_gold
@@ -28,6 +29,7 @@ AS_OF = "2002-01-01"
 CLOSED, ACTIVE = "F", "O"
 MIN_SECTOR = 30
 SINCE = "1997-01-01"
+BEFORE = "1998-01-01"
 MIN_ROWS = 1_000
 MAX_DECADE = 95.0
 DUE_UFS = ["ASIA", "EUROPE", "AFRICA"]
@@ -38,6 +40,7 @@ SEGMENTS = ("AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY")
 _gold: dict[tuple, str] = {}
 _marts: dict[tuple, dict[str, str]] = {}
 _etl: dict[tuple, DataFrame] = {}
+_changed: dict[tuple, str] = {}
 _schemas: dict[tuple[str, str], T.StructType] = {}
 
 
@@ -212,6 +215,65 @@ class Star:
             _marts[self._key] = self.refresh_marts()
         return tables.read_mart(self.spark, _marts[self._key][name], *columns)
 
+    @property
+    def buckets(self) -> int:
+        return int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+
+    def etl_gold_in_buckets(self) -> DataFrame:
+        """Gold from the raw layout, published in buckets of its identifier."""
+        return tables.publish(
+            build_gold(self.ent, self.est, AS_OF, self.buckets),
+            self._name("registry_buckets"),
+            buckets=tables.Buckets("entity_id", self.buckets, spread=False),
+        )
+
+    def earlier(self) -> DataFrame:
+        """The registry as it was: later openings missing, later closings open, and some entities gone since."""
+        later = F.coalesce(F.col("status_date") >= F.lit(BEFORE).cast("date"), F.lit(False))
+        was = self.reg.where(F.col("opened") < F.lit(BEFORE).cast("date")).withColumns({
+            "status": F.when(later, F.lit(ACTIVE)).otherwise(F.col("status")),
+            "status_date": F.when(~later, F.col("status_date")),
+        })
+        gone = was.where(F.col("uf") == "ASIA").withColumn("entity_id", F.concat(F.lit("x"), "entity_id"))
+        return was.unionByName(gone)
+
+    def changed(self) -> dict[str, DataFrame]:
+        """Tables of the release that changes have made of an earlier registry, once per session."""
+        settings = dict(closed=CLOSED, active=ACTIVE, since=SINCE)
+        prefix = _changed.get(self._key)
+        if prefix is None:
+            prefix = f"{self._name('changed')}_"
+            keys = {f"{prefix}{n}": k for n, k in marts.MART_KEYS.items()}
+            name, earlier = f"{prefix}gold", stage(self.earlier(), "earlier")
+
+            def builders(gold: DataFrame, stored: tuple[DataFrame, DataFrame]) -> dict:
+                built = marts.mart_builders(
+                    gold, self.sec, self.mun, min_sector=MIN_SECTOR, stored=stored, **settings
+                )
+                return {f"{prefix}{n}": build for n, build in built.items()}
+
+            tables.publish_release(
+                self.spark, f"{prefix}release",
+                load.release_of_gold(
+                    name, earlier, builders, keys, load.release_of_sums(prefix, CLOSED, ACTIVE, SINCE)
+                ),
+                order={name: ("opened",)},
+                buckets={name: tables.Buckets("entity_id", self.buckets)},
+            )
+            day = F.lit(BEFORE).cast("date")
+            rows = self.reg.where((F.col("opened") >= day) | (F.col("status_date") >= day))
+            kept = load.run_changes(
+                self.spark, rows, self.sec, self.mun, prefix=prefix, as_of=AS_OF,
+                gone=earlier.where(F.col("entity_id").startswith("x")), min_sector=MIN_SECTOR,
+                min_rows=MIN_ROWS, min_retention=50, max_decade_share=MAX_DECADE,
+                buckets=self.buckets, **settings,
+            )
+            if not kept:
+                raise RuntimeError("sums were made anew")
+            _changed[self._key] = prefix
+        opened = tables.open_release(self.spark, f"{prefix}release")
+        return {n.removeprefix(prefix): df for n, df in opened.items()}
+
     def raw_copy(self, df: DataFrame, stem: str, *partitions: str) -> str:
         """The frame written in the raw text layout below the shared folder."""
         path = scratch_path(self.spark, stem)

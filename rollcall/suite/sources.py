@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 from rollcall import load, schemas
 from rollcall.functions.text import nul_count, strip_nul
-from rollcall.plans import marts
+from rollcall.plans import changes, marts
 from rollcall.session import scratch_path
 from rollcall.sources import tables, text_files, zip_shards
 from rollcall.suite.binding import AS_OF, Star
@@ -171,6 +171,36 @@ def _(s: Star) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
+@case("changes_gold", _REG_TEXT)
+def _(s: Star) -> DataFrame:
+    """Gold of an earlier state with changes applied is the gold of today."""
+    return s.changed()["gold"]
+
+
+for _mart in marts.MART_KEYS:
+    def _changed_mart(s: Star, mart: str = _mart) -> DataFrame:
+        return s.changed()[mart]
+
+    case(f"changes_{_mart}", f"SELECT * FROM {_mart}")(_changed_mart)
+
+
+@case("changes_difference", """
+    SELECT CAST(count(*) FILTER (WHERE opened >= DATE '1998-01-01' OR status_date >= DATE '1998-01-01') AS BIGINT)
+               AS came,
+           CAST(count(*) FILTER (WHERE opened < DATE '1998-01-01' AND status_date >= DATE '1998-01-01')
+               + count(*) FILTER (WHERE opened < DATE '1998-01-01' AND uf = 'ASIA') AS BIGINT) AS went
+    FROM reg""")
+def _(s: Star) -> DataFrame:
+    """What two whole versions differ by, both in buckets of the identifier."""
+    layout = tables.Buckets("entity_id", s.buckets)
+    was = tables.publish(s.earlier(), s._name("registry_was"), buckets=layout)
+    now = tables.publish(s.reg, s._name("registry_now"), buckets=layout)
+    sign = F.col(changes.SIGN)
+    return changes.difference(was, now).agg(
+        F.count_if(sign == 1).alias("came"), F.count_if(sign == -1).alias("went")
+    )
+
+
 @case("overwrite_table", "SELECT codigo, descricao FROM sec")
 def _(s: Star) -> DataFrame:
     path = scratch_path(s.spark, "overwrite")
