@@ -10,7 +10,7 @@ from typing import Any
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rollcall.plans import changes, gates, gold, marts
+from rollcall.plans import changes, gates, gold, marts, strategic
 from rollcall.session import stage
 from rollcall.sources import tables
 
@@ -18,6 +18,8 @@ log = logging.getLogger(__name__)
 
 # Tables of the sums behind the marts, and the column that says with which settings they were made.
 PLACES, SECTORS, SETTINGS = "sums_places", "sums_sectors", "made_with"
+# Table of the entities with the most capital, for rankings.
+TOP = "top_capital"
 
 
 def run_load(
@@ -37,6 +39,7 @@ def run_load(
     together: bool = True,
     sums: bool = False,
     buckets: int | None = None,
+    top: bool = False,
     **thresholds: float,
 ) -> list[str]:
     """Load entities and establishments and publish everything made of them.
@@ -51,10 +54,11 @@ def run_load(
     the names of such marts are returned.
 
     ``sums`` publishes in the release what :func:`run_changes` adds changes to. ``buckets`` lays gold out by
-    identifier, so that its gate of unique identifiers and later joins on them shuffle nothing.
+    identifier, so that its gate of unique identifiers and later joins on them shuffle nothing. ``top``
+    publishes in the release the slice of gold that capital rankings ask first.
     """
-    if sums and not together:
-        raise ValueError("sums are published in a release only")
+    if (sums or top) and not together:
+        raise ValueError("sums and the slice for rankings are published in a release only")
     landed = list(tables.load_bronze(spark, sources, reuse=reuse_bronze).values())
     entities, establishments = landed
     _, aside = gold.split_quarantine(establishments, as_of)
@@ -88,6 +92,7 @@ def run_load(
             f"{prefix}quarantine": lambda _: aside,
             f"{prefix}quarantine_reasons": lambda _: reasons,
             **release_of_gold(f"{prefix}gold", rows, builders, keys, made),
+            **(release_of_top(prefix) if top else {}),
         },
         checks=release_checks(f"{prefix}gold", report, keys),
         order={f"{prefix}gold": ("opened",)},
@@ -162,7 +167,10 @@ def run_changes(
     tables.publish_release(
         spark,
         f"{prefix}release",
-        release_of_gold(name, after_all, builders, keys, made),
+        {
+            **release_of_gold(name, after_all, builders, keys, made),
+            **(release_of_top(prefix) if f"{prefix}{TOP}" in before else {}),
+        },
         checks=release_checks(name, report, keys),
         order={name: ("opened",)},
         buckets={name: layout} if layout else None,
@@ -197,6 +205,11 @@ def release_of_sums(
     }
 
 
+def release_of_top(prefix: str) -> dict[str, Callable[[Callable[[str], DataFrame]], DataFrame]]:
+    """The slice for capital rankings, of the version of gold a release has written."""
+    return {f"{prefix}{TOP}": lambda read: strategic.capital_slice(read(f"{prefix}gold"))}
+
+
 def release_of_gold(
     name: str,
     rows: DataFrame,

@@ -11,6 +11,8 @@ from rollcall.operators.topk import first_by_key, largest_rows, top_groups
 
 # Fixed value: size of the published sample.
 SAMPLE_ROWS = 30_000
+# Part of the entities with capital that the slice for rankings holds.
+SLICE_SHARE = 0.01
 
 
 def filter_options(codes: DataFrame) -> DataFrame:
@@ -88,6 +90,18 @@ def capital_by_city(rows: DataFrame, mun: DataFrame, n: int = 10) -> DataFrame:
     return top_groups(cities, "cidade", F.sum("capital"), n, "capital_social")
 
 
+def capital_slice(reg: DataFrame, share: float = SLICE_SHARE) -> DataFrame:
+    """All entities from some capital on, about ``share`` of those with capital, ranges of it in files of their own.
+
+    Whatever the floor, the slice is complete above it: a ranking that finds enough rows in it needs no others.
+    The floor comes from a sketch of fixed size; the few rows of the slice are all that is shuffled.
+    """
+    rows = reg.where(F.col("capital") > 0)
+    floor = rows.agg(F.percentile_approx("capital", 1 - share)).scalar()
+    order = F.col("capital").desc(), F.col("entity_id")
+    return rows.where(F.col("capital") >= floor).repartitionByRange(*order).sortWithinPartitions(*order)
+
+
 def rank_capital(
     reg: DataFrame,
     sec: DataFrame,
@@ -95,11 +109,20 @@ def rank_capital(
     n: int = 25,
     sector: str | None = None,
     city: str | None = None,
+    top: DataFrame | None = None,
 ) -> DataFrame:
-    """Entities with the most capital. Only the n rows found are joined to names."""
+    """Entities with the most capital. Only the n rows found are joined to names.
+
+    ``top`` is :func:`capital_slice` as published with ``reg``. It is asked first, for ``n`` rows of the
+    selection; where it has fewer, all of ``reg`` is ranked.
+    """
     order = (F.col("capital").desc(), F.col("entity_id"))
-    top = largest_rows(selection(reg, sec, mun, sector, city), n, "capital", "entity_id", nulls=False)
-    rows = attach_name(top, sec, "sector_code", "setor")
+    rows = selection(reg, sec, mun, sector, city)
+    if top is not None:
+        few = selection(top, sec, mun, sector, city)
+        rows = few if few.limit(n).count() == n else rows
+    found = largest_rows(rows, n, "capital", "entity_id", nulls=False)
+    rows = attach_name(found, sec, "sector_code", "setor")
     rows = attach_name(rows, mun, "muni_code", "cidade").orderBy(*order)
     return rows.select(
         F.col("name").alias("razao_social"),
