@@ -287,6 +287,30 @@ def test_load_as_one_call(spark, built, folder):
     assert spark.table("one_gold").count() == df.count() and len(tables.versions(spark, "one_gold")) == 2
 
 
+def test_a_load_with_sums_slice_and_buckets_takes_changes(spark, built, folder):
+    ent, est, df = built
+    sec = spark.createDataFrame([(111301, "x"), (4711301, "y")], schemas.CODES)
+    mun = spark.createDataFrame([(7107, "z")], schemas.CODES)
+    sources = {"six_ent": lambda: ent, "six_est": lambda: est}
+    settings = dict(prefix="six_", as_of=AS_OF, min_sector=1, min_rows=0, min_retention=0, max_decade_share=101)
+    assert load.run_load(spark, sources, sec, mun, sums=True, top=True, buckets=3, **settings) == []
+    assert rows_of(spark.table("six_gold")) == rows_of(df)
+    assert rows_of(spark.table("six_mart_region_kpis")) == rows_of(marts.region_kpis(df))
+    largest = spark.table("six_top_capital").first()
+    assert largest.capital == df.agg(F.max("capital")).first()[0]
+    richer = df.where(F.col("entity_id") == "00000456").withColumn("capital", F.lit(10**6).cast("decimal(18,2)"))
+    gone = df.where(F.col("entity_id") == "00000123").select("entity_id")
+    assert load.run_changes(spark, richer, sec, mun, gone=gone, buckets=3, **settings)
+    after = df.where(~F.col("entity_id").isin("00000123", "00000456")).unionByName(richer)
+    opened = tables.open_release(spark, "six_release")
+    assert rows_of(opened["six_gold"]) == rows_of(after)
+    assert rows_of(opened["six_mart_region_kpis"]) == rows_of(marts.region_kpis(after))
+    assert rows_of(opened["six_top_capital"], "entity_id") == [("00000456",)]
+    assert opened["six_quarantine"].count() == 4
+    with pytest.raises(ValueError, match="release only"):
+        load.run_load(spark, sources, sec, mun, sums=True, together=False, **settings)
+
+
 def test_a_release_switches_all_tables_at_once(spark, built):
     _, _, df = built
 
