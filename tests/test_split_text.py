@@ -124,3 +124,44 @@ def test_lines_move_once(spark, tmp_path):
     with_lines = [line for line in moved if "__start" in line and "__size" in line]
     assert "ReusedExchange" in final, final
     assert len(with_lines) <= 2, "\n".join(moved)  # lines, and counts of ranges
+
+
+def test_records_across_batches_of_lines(spark, tmp_path):
+    rng = random.Random(7)
+    content = "".join(f'"{i}";"{"line{}".format(rng.randrange(9)) * 2}\n\nnext";"{chr(10) * (i % 11)}"\n' for i in range(200))
+    path = tmp_path / "one.csv"
+    path.write_bytes(content.encode("latin-1"))
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    old = spark.conf.get(name)
+    spark.conf.set(name, "3")
+    try:
+        with ranges_of(spark, 900):
+            assert rows_of(split(spark, path)) == by_csv(content)
+    finally:
+        spark.conf.set(name, old)
+
+
+def shuffled(node):
+    """Records that a run plan has written to shuffles."""
+    kind = node.getClass().getSimpleName()
+    if kind == "AdaptiveSparkPlanExec":
+        return shuffled(node.executedPlan())
+    if kind.endswith("QueryStageExec"):
+        return shuffled(node.plan())
+    if kind == "ReusedExchangeExec":
+        return 0
+    own = node.metrics().apply("shuffleRecordsWritten").value() if kind == "ShuffleExchangeExec" else 0
+    children = node.children()
+    return own + sum(shuffled(children.apply(i)) for i in range(children.size()))
+
+
+def test_lines_stay_where_they_are_read(spark, tmp_path):
+    """What is shuffled grows with the ranges, not with the lines."""
+    path = tmp_path / "a.csv"
+    path.write_bytes(b'"1";"x\ny";"z"\n' * 2000)
+    with ranges_of(spark, 8000):
+        found = split(spark, path)
+        n = len(found.collect())
+        ranges = _lines(spark, str(path)).select("__start").distinct().count()
+    assert n == 2000 and ranges > 2
+    assert shuffled(found._jdf.queryExecution().executedPlan()) <= 20 * ranges
