@@ -3,9 +3,10 @@
     spark.dataSource.register(ZipShards)
     spark.read.format("registry_zip").schema(ENTITY).option("pattern", "Empresas*.zip").load(folder)
 
-The first member of each zip is streamed through an Arrow CSV reader in blocks, so a task holds one
-block at a time however large its shard is. A zip member cannot be read from the middle; write the
-result to Parquet once and work from there. The folder must be mounted on every executor.
+The first member of each zip is streamed through an Arrow CSV reader in blocks. That reader fetches up to 32
+blocks ahead of the one it parses, so blocks begin small: a task holds about 40 MB of text however large its
+shard is, more only where a record is longer than a small block. A zip member cannot be read from the middle;
+write the result to Parquet once and work from there. The folder must be mounted on every executor.
 
     df.write.format("registry_zip").mode("append").option("stem", "Empresas").save(folder)
 
@@ -41,7 +42,9 @@ from pyspark.sql.datasource import (
 
 from rollcall.schemas import ENTITY, ESTABLISHMENT
 
+# The block a record must fit into at most, and the one that reading begins with.
 BLOCK_BYTES = 8 << 20
+FIRST_BLOCK_BYTES = 1 << 20
 SHARD = "shard"
 
 
@@ -58,8 +61,36 @@ class Shard(InputPartition):
         self.path = path
 
 
+def _block_sizes(block: int) -> list[int]:
+    """Sizes to try one after another, the last one being ``block``."""
+    sizes, size = [], FIRST_BLOCK_BYTES
+    while size < block:
+        sizes.append(size)
+        size *= 8
+    return [*sizes, block]
+
+
 def shard_batches(path: str, columns: list[str], block: int = BLOCK_BYTES) -> Iterator:
-    """Arrow batches of one shard: its text columns and the shard's file name."""
+    """Arrow batches of one shard: its text columns and the shard's file name.
+
+    A record that is too long for small blocks has the shard read again in larger ones, up to ``block``; rows
+    given by then are left out.
+    """
+    *smaller, last = _block_sizes(block)
+    given = 0
+    for size in smaller:
+        try:
+            for batch in _blocks(path, columns, size, given):
+                given += batch.num_rows
+                yield batch
+            return
+        except pa.ArrowInvalid:
+            continue
+    yield from _blocks(path, columns, last, given)
+
+
+def _blocks(path: str, columns: list[str], block: int, skip: int) -> Iterator:
+    """Batches of a shard read in blocks of one size, without its first ``skip`` rows."""
     with zipfile.ZipFile(path) as archive, archive.open(archive.namelist()[0]) as member:
         stream = pa.PythonFile(member, mode="r")
         try:
@@ -84,6 +115,10 @@ def shard_batches(path: str, columns: list[str], block: int = BLOCK_BYTES) -> It
             raise
         name = os.path.basename(path)
         for batch in reader:
+            seen, batch = batch.num_rows, batch.slice(skip)
+            skip = max(0, skip - seen)
+            if seen and not batch.num_rows:
+                continue
             batch = _without_nul(batch)
             shard = pa.array([name] * batch.num_rows, pa.string())
             yield pa.RecordBatch.from_arrays([*batch.columns, shard], [*columns, SHARD])
@@ -101,7 +136,7 @@ def shard_nuls(path: str, block: int = BLOCK_BYTES) -> int:
 class ZipShards(DataSource):
     """Options: ``pattern`` (default ``*.zip``); ``report=nul`` gives NUL counts per shard.
 
-    ``block`` is the number of bytes read at a time; a record must fit into one (default 8 MiB).
+    ``block`` is the largest number of bytes read at a time; a record must fit into one (default 8 MiB).
     ``stem`` begins the names of shards that are written.
     """
 
