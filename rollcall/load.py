@@ -133,7 +133,8 @@ def run_changes(
     before = tables.manifest(spark, f"{prefix}release")
     old = spark.table(before[name])
     rows = stage(rows.select(*old.columns), "changed-rows")
-    moves = stage(changes.changes_of(old, rows, gone), "changes")
+    # Rows that came are written already: only those that went are written beside them.
+    moves = changes.signed_changes(stage(changes.rows_before(old, rows, gone), "went"), rows)
     made = release_of_sums(prefix, closed, active, since)
     kept = all(s in before for s in made) and all(
         made_with(spark.table(before[s])) in (None, _settings(closed, active, since)) for s in made
@@ -145,7 +146,8 @@ def run_changes(
             for df in changes.merged_sums(*stored, moves, closed=closed, active=active, since=since)
         ]
         growth = moves.agg(F.coalesce(F.sum(changes.SIGN), F.lit(0))).first()[0]
-        kept = all(changes.fits(df, old.count() + growth) for df in after)
+        total = old.count() + growth
+        kept = all(changes.fits(df, total) for df in after)
         if kept:
             stamp = F.lit(_settings(closed, active, since)).alias(SETTINGS)
             made = {s: lambda _, df=df: df.select("*", stamp) for s, df in zip(made, after)}

@@ -46,8 +46,9 @@ def difference(
 
 
 def _touched(rows: DataFrame, gone: DataFrame | None, key: str) -> DataFrame:
+    """Keys that changed or are gone, repeated ones included: they only say which rows stay."""
     keys = rows.select(key)
-    return (keys if gone is None else keys.unionByName(gone.select(key))).distinct()
+    return keys if gone is None else keys.unionByName(gone.select(key))
 
 
 def after_changes(
@@ -64,12 +65,22 @@ def after_changes(
     return stay.unionByName(rows if buckets is None else rows.repartition(buckets, key))
 
 
+def rows_before(
+    gold: DataFrame, rows: DataFrame, gone: DataFrame | None = None, key: str = "entity_id"
+) -> DataFrame:
+    """What the marts are made of in those rows of gold that changes replace or take away."""
+    return gold.join(_touched(rows, gone, key), key, "left_semi").select(*MART_COLUMNS)
+
+
 def changes_of(
     gold: DataFrame, rows: DataFrame, gone: DataFrame | None = None, key: str = "entity_id"
 ) -> DataFrame:
     """Signed rows of the same changes. Rows that stay the same come with both signs, which add up to nothing."""
-    went = gold.join(_touched(rows, gone, key), key, "left_semi")
-    return signed(went.select(*MART_COLUMNS), -1).unionByName(signed(rows.select(*MART_COLUMNS), 1))
+    return signed_changes(rows_before(gold, rows, gone, key), rows)
+
+
+def signed_changes(went: DataFrame, came: DataFrame) -> DataFrame:
+    return signed(went, -1).unionByName(signed(came.select(*MART_COLUMNS), 1))
 
 
 # --- sums ---------------------------------------------------------------------------------------

@@ -227,15 +227,17 @@ class Star:
             buckets=tables.Buckets("entity_id", self.buckets, spread=False),
         )
 
-    def earlier(self) -> DataFrame:
+    def earlier(self, reg: DataFrame | None = None) -> DataFrame:
         """The registry as it was: later openings missing, later closings open, and some entities gone since."""
+        reg = self.reg if reg is None else reg
         later = F.coalesce(F.col("status_date") >= F.lit(BEFORE).cast("date"), F.lit(False))
-        was = self.reg.where(F.col("opened") < F.lit(BEFORE).cast("date")).withColumns({
+        was = reg.where(F.col("opened") < F.lit(BEFORE).cast("date")).withColumns({
             "status": F.when(later, F.lit(ACTIVE)).otherwise(F.col("status")),
             "status_date": F.when(~later, F.col("status_date")),
         })
-        gone = was.where(F.col("uf") == "ASIA").withColumn("entity_id", F.concat(F.lit("x"), "entity_id"))
-        return was.unionByName(gone)
+        marks = F.when(F.col("uf") == "ASIA", F.array(F.lit(""), F.lit("x"))).otherwise(F.array(F.lit("")))
+        marked = was.withColumn("mark", F.explode(marks))
+        return marked.withColumn("entity_id", F.concat("mark", "entity_id")).drop("mark")
 
     def changed(self) -> dict[str, DataFrame]:
         """Tables of the release that changes have made of an earlier registry, once per session."""
@@ -244,7 +246,9 @@ class Star:
         if prefix is None:
             prefix = f"{self._name('changed')}_"
             keys = {f"{prefix}{n}": k for n, k in marts.MART_KEYS.items()}
-            name, earlier = f"{prefix}gold", stage(self.earlier(), "earlier")
+            # Joined once; the earlier state and what has changed since are cut from it row by row.
+            name, reg = f"{prefix}gold", stage(self.reg, "registry")
+            earlier = self.earlier(reg)
 
             def builders(gold: DataFrame, stored: tuple[DataFrame, DataFrame]) -> dict:
                 built = marts.mart_builders(
@@ -261,7 +265,7 @@ class Star:
                 buckets={name: tables.Buckets("entity_id", self.buckets)},
             )
             day = F.lit(BEFORE).cast("date")
-            rows = self.reg.where((F.col("opened") >= day) | (F.col("status_date") >= day))
+            rows = reg.where((F.col("opened") >= day) | (F.col("status_date") >= day))
             kept = load.run_changes(
                 self.spark, rows, self.sec, self.mun, prefix=prefix, as_of=AS_OF,
                 gone=earlier.where(F.col("entity_id").startswith("x")), min_sector=MIN_SECTOR,

@@ -201,3 +201,40 @@ def test_gold_is_built_in_its_buckets(spark, tmp_path):
     published = tables.publish(rows, "built_gold", buckets=tables.Buckets("entity_id", 5, spread=False))
     assert len(published.inputFiles()) == 5 and published.count() == 1000
     assert rows_of(published) == rows_of(build_gold(ent, est, AS_OF))
+
+
+def test_the_bound_registry_is_joined_once(spark, monkeypatch):
+    """An earlier registry, what changed since and all that is published of them come from one reading."""
+    from rollcall.suite.binding import Star
+
+    folder = "/root/testdata/sf0.001"
+    star, made = Star(spark, folder), spark.sparkContext.accumulator(0)
+    reg = star.reg
+
+    def counted(batches):
+        for batch in batches:
+            made.add(batch.num_rows)
+            yield batch
+
+    star.__dict__["reg"] = reg.mapInArrow(counted, reg.schema)
+    monkeypatch.setattr("rollcall.suite.binding._changed", {})
+    changed = star.changed()
+    assert made.value == reg.count()
+    assert changed["gold"].exceptAll(reg).count() == 0 == reg.exceptAll(changed["gold"]).count()
+
+
+def test_rows_that_came_are_written_once(spark, tmp_path, monkeypatch):
+    from rollcall.suite.binding import Star
+
+    written, stage = {}, load.stage
+
+    def kept(df, stem):
+        written[stem] = stage(df, stem)
+        return written[stem]
+
+    monkeypatch.setattr(load, "stage", kept)
+    monkeypatch.setattr("rollcall.suite.binding._changed", {})
+    Star(spark, "/root/testdata/sf0.001").changed()
+    came = written["changed-rows"].count()
+    others = [df.count() for stem, df in written.items() if not stem.startswith(("changed-rows", "merged"))]
+    assert others and came > 0 and sum(others) < came
