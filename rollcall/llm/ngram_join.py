@@ -13,6 +13,9 @@ A crowd of near copies yields no pairs of its own. Where many sets meet, each is
 the pivot: the set that meets most others, hence the middle of its crowd. What is still apart after that is
 compared by what it has more or less than the pivot, a few n-grams of each set: two sets differ just where
 these differences do. They meet in tiles of bounded size, and a tile returns a spanning forest of its links.
+
+Most cells and most texts meet nothing. Bitmaps of what meets leave nearly all of them out where they are
+read, before a shuffle; the joins behind them decide, so a bitmap that lets too much through changes no row.
 """
 
 from __future__ import annotations
@@ -24,10 +27,11 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
+from pyspark.broadcast import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rollcall.llm.common import LOWER, UPPER, blocks, row_key, texts
+from rollcall.llm.common import LOWER, UPPER, bitmap_of, blocks, row_key, texts
 from rollcall.llm.components import components, labels
 from rollcall.session import stage
 
@@ -39,6 +43,8 @@ FRAGMENTS = 8
 BAND, PAIRED, STRONG = 1.2, 4, 3
 # Sets of a tile, n-grams that they have more or less than their pivot, and those compared at a time.
 TILE, TILE_GRAMS, COLUMNS = 1024, 1 << 19, 2048
+# Bits of a bitmap for each hash in it, and at most in all, as a power of two.
+SPARSE, BITS = 32, 27
 
 _LOWER = bytes.maketrans(UPPER.encode(), LOWER.encode())
 _MIX = np.random.default_rng(11).integers(0, 2**64, 64, dtype=np.uint64) | np.uint64(1)
@@ -149,6 +155,50 @@ def _sets(docs: DataFrame, words: int, percent: int) -> DataFrame:
     return docs.mapInArrow(run, f"row_id {id_type}, row_hash bigint, row_check bigint, {_SETS}")
 
 
+def _bitmap(hashes: DataFrame, column: str) -> Broadcast:
+    """A broadcast bitmap of the upper bits of a column of hashes; ``hashes`` is read twice."""
+    size = min(BITS, max(10, (SPARSE * hashes.count()).bit_length()))
+    return bitmap_of(hashes.select(F.shiftrightunsigned(column, 64 - size).alias("at")), size)
+
+
+def _held(bitmap: Broadcast, hashes: np.ndarray) -> np.ndarray:
+    """Whether the bitmap has these hashes, and now and then others."""
+    bits = bitmap.value.view(np.uint64)
+    at = hashes.view(np.uint64) >> np.uint64(59 - len(bits).bit_length())
+    return (bits[at >> np.uint64(6)] >> (at & np.uint64(63))) & np.uint64(1) == 1
+
+
+def _likely_cells(seen: DataFrame, shared: DataFrame) -> DataFrame:
+    """(cell, node, n): all cells of the sets that are in ``shared``, and few others."""
+    bitmap = _bitmap(shared, "cell")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            cells = batch.column("cells")
+            found = cells.flatten().to_numpy()
+            owner = np.repeat(np.arange(len(cells)), pc.list_value_length(cells).to_numpy())
+            keep = _held(bitmap, found)
+            at = pa.array(owner[keep])
+            yield pa.RecordBatch.from_pydict({
+                "cell": pa.array(found[keep]), "node": batch.column("node").take(at),
+                "n": batch.column("n").take(at),
+            })
+
+    return seen.select("node", "n", "cells").mapInArrow(run, "cell bigint, node binary, n bigint")
+
+
+def _likely_texts(docs: DataFrame, lead: DataFrame) -> DataFrame:
+    """(row_hash, row_check, text): all texts that are in ``lead``, and few others."""
+    bitmap = _bitmap(lead, "row_hash")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield batch.filter(pa.array(_held(bitmap, batch.column("row_hash").to_numpy())))
+
+    text = docs.select("row_hash", "row_check", F.col("text").cast("string"))
+    return text.mapInArrow(run, "row_hash bigint, row_check bigint, text string")
+
+
 def _segments(docs: DataFrame, words: int) -> DataFrame:
     """(node, fragment, held): the n-grams of every text, by fragment of the global order."""
     cuts = np.array([(f << 64) // FRAGMENTS for f in range(1, FRAGMENTS)], dtype=np.uint64)
@@ -175,16 +225,21 @@ def _read_again(pairs: DataFrame, docs: DataFrame, seen: DataFrame, words: int)
     once = seen.join(nodes, "node", "left_semi").groupBy("node").agg(
         F.min(F.struct("row_hash", "row_check")).alias("lead")
     ).select("lead.*")
-    text = docs.join(once, ["row_hash", "row_check"], "left_semi")
+    once = stage(once, "lead-texts")
+    text = _likely_texts(docs, once).join(once, ["row_hash", "row_check"], "left_semi")
     text = text.groupBy("row_hash", "row_check").agg(F.first("text").alias("text"))
     return stage(_segments(text.select("text"), words), "segments")
 
 
 def _met(pairs: DataFrame, segments: DataFrame) -> DataFrame:
-    """The segments of both sets of every pair, by fragment."""
+    """The segments of both sets of every pair, by fragment.
+
+    Both sides are dealt out by set and fragment, so one shuffle of the segments serves both joins.
+    """
     one = segments.select(F.col("node").alias("a"), "fragment", F.col("held").alias("a_held"))
     two = segments.select(F.col("node").alias("b"), "fragment", F.col("held").alias("b_held"))
-    return pairs.join(two, "b").join(one, ["a", "fragment"])
+    each = pairs.withColumn("fragment", F.explode(F.sequence(F.lit(0), F.lit(FRAGMENTS - 1))))
+    return each.join(two, ["b", "fragment"]).join(one, ["a", "fragment"])
 
 
 def _linked(pairs: DataFrame, segments: DataFrame, percent: int) -> DataFrame:
@@ -258,7 +313,7 @@ def links(docs: DataFrame, seen: DataFrame, words: int = WORDS, percent: int = P
     short = F.xxhash64("node")
     shared = cells.groupBy("cell").agg(F.min(short).alias("lo"), F.max(short).alias("hi"))
     shared = stage(shared.filter("lo <> hi").select("cell"), "shared-cells")
-    members = stage(cells.join(shared, "cell").distinct(), "cell-members")
+    members = stage(_likely_cells(seen, shared).join(shared, "cell").distinct(), "cell-members")
     # The middle of a crowd meets most others; it is the pivot of all cells that it shares with them.
     many = members.groupBy("cell").agg(F.count(F.lit(1)).alias("many"))
     degree = members.join(many, "cell").groupBy("node").agg(F.sum("many").alias("degree"))

@@ -108,6 +108,50 @@ def test_crowds_in_tiles(spark, monkeypatch, sizes):
     assert run(spark, made) == brute(made)
 
 
+def test_what_meets_nothing_is_left_out_before_a_shuffle(spark, monkeypatch):
+    """Of 300 texts 12 meet another: few other cells and texts pass the bitmaps, but none that meets is lost."""
+    rng = random.Random(9)
+    made = [(i, " ".join(f"w{rng.randrange(9000)}" for _ in range(120))) for i in range(300)]
+    made += [(300 + i, edited(rng, made[i][1].split(), 1)) for i in range(6)]
+    passed = {}
+    for name in ("_likely_cells", "_likely_texts"):
+
+        def told(*a, name=name, made=getattr(ngram_join, name)):
+            found = made(*a)
+            passed[name] = found.count()
+            return found
+
+        monkeypatch.setattr(ngram_join, name, told)
+    assert run(spark, made) == brute(made)
+    assert passed["_likely_texts"] < 60
+    assert passed["_likely_cells"] < 0.3 * sum(len(ngram_join.cells_of(ngram_join.shingles(t))) for _, t in made)
+
+
+def test_full_bitmaps_lose_nothing(spark, monkeypatch):
+    monkeypatch.setattr(ngram_join, "BITS", 6)
+    rng = random.Random(10)
+    made = [(i, " ".join(f"w{rng.randrange(900)}" for _ in range(40))) for i in range(80)]
+    made += [(80 + i, edited(rng, made[i][1].split(), 1)) for i in range(40)]
+    assert run(spark, made) == brute(made)
+
+
+def test_one_shuffle_of_the_segments(spark):
+    nodes = [f"{i}".encode() for i in range(6)]
+    segments = spark.createDataFrame(
+        [(x, f, [i * f]) for i, x in enumerate(nodes) for f in range(ngram_join.FRAGMENTS)],
+        "node binary, fragment int, held array<bigint>",
+    )
+    pairs = spark.createDataFrame(list(zip(nodes, nodes[1:])), "a binary, b binary")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        met = ngram_join._met(pairs, segments)
+        assert len(met.collect()) == 5 * ngram_join.FRAGMENTS
+        assert "ReusedExchange" in met._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
 def test_empty_table_and_clashing_columns(spark, no_docs, docs):
     assert ngram_join.similar_groups(no_docs).count() == 0
     clash = docs.withColumnRenamed("lang", "node").withColumnRenamed("source", "row_hash")
